@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from orderlake.functions import hash_pii
+from orderlake.operators.keyed import computed_once
 
 IDLE_SECONDS = 30 * 60
 HEAD, TIMED, TAIL = 0, 1, 2
@@ -15,24 +16,22 @@ HEAD, TIMED, TAIL = 0, 1, 2
 def parse_click_events(events: DataFrame, salt: str) -> DataFrame:
     """Envelope or flat click JSON (column ``v``); rows with neither an event nor a session id are dropped."""
     after = F.variant_get("v", "$.after", "variant")
-    kind = F.schema_of_variant(after)
-    wrapped = F.coalesce(kind.startswith("OBJECT") & (kind != "OBJECT<>"), F.lit(False))
+    wrapped = F.coalesce(F.schema_of_variant(after).rlike("^OBJECT<[^>]"), F.lit(False))
     extra = [c for c in events.columns if c not in ("value", "v")]
-    rows = events.select(*extra, F.when(wrapped, after).otherwise(F.col("v")).alias("v"))
+    rows = computed_once(events, extra, {"v": F.when(wrapped, after).otherwise(F.col("v"))})
 
     def text(name: str):
         return F.try_variant_get("v", f"$.{name}", "string")
 
-    return rows.select(
-        *extra,
-        text("event_id").alias("event_id"),
-        text("session_id").alias("session_id"),
-        hash_pii(text("user_id"), salt).alias("user_id_hash"),
-        F.when(F.variant_get("v", "$.event_type", "variant").isNull(), F.lit("page_view")).otherwise(text("event_type")).alias("event_type"),
-        text("product_id").alias("product_id"),
-        text("page_url").alias("page_url"),
-        text("occurred_at").alias("occurred_at"),
-    ).filter((F.coalesce("event_id", F.lit("")) != "") | (F.coalesce("session_id", F.lit("")) != ""))
+    return computed_once(rows, extra, {
+        "event_id": text("event_id"),
+        "session_id": text("session_id"),
+        "user_id_hash": hash_pii(text("user_id"), salt),
+        "event_type": F.when(F.variant_get("v", "$.event_type", "variant").isNull(), F.lit("page_view")).otherwise(text("event_type")),
+        "product_id": text("product_id"),
+        "page_url": text("page_url"),
+        "occurred_at": text("occurred_at"),
+    }).filter((F.coalesce("event_id", F.lit("")) != "") | (F.coalesce("session_id", F.lit("")) != ""))
 
 
 def sessionize(clicks: DataFrame, idle_seconds: int = IDLE_SECONDS) -> DataFrame:

@@ -13,6 +13,16 @@ from pyspark.sql import Window
 SLICE = "_slice"
 
 
+def computed_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """``keep`` plus new columns that are evaluated exactly once per row.
+
+    A plain projection may be inlined into every later filter and projection that uses it, which repeats costly parsing many
+    times; a one-row generator is a boundary the optimizer does not inline across.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Row with the greatest ``order`` tuple per key.
 

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions import ORDER_STATUSES, PII_COLUMNS, hash_pii
-from orderlake.operators.keyed import latest_per_key
+from orderlake.operators.keyed import computed_once, latest_per_key
 
 SILVER_COLUMNS = [
     "order_id", "user_id_hash", "warehouse_id", "status", "currency", "subtotal_cents", "discount_cents",
     "shipping_cents", "total_cents", "created_at", "updated_at", "cdc_op", "cdc_ts_ms",
 ]
+FILLED_OBJECT = "^OBJECT<[^>]"
 CENTS = ["subtotal_cents", "discount_cents", "shipping_cents", "total_cents"]
 
 
@@ -30,9 +31,10 @@ def _kind(column: Column) -> Column:
 
 def parse_json_lines(lines: DataFrame) -> DataFrame:
     """``value`` text plus ``v`` VARIANT; ``v`` is NULL where the line is not a JSON object."""
-    parsed = lines.filter(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
-    is_object = F.coalesce(_kind(F.col("v")).startswith("OBJECT"), F.lit(False))
-    return parsed.withColumn("v", F.when(is_object, F.col("v")))
+    texts = lines.filter(F.trim("value") != "")
+    # Valid JSON that opens with a brace is an object; other JSON values are not events.
+    parsed = F.when(F.ltrim("value").startswith("{"), F.try_parse_json("value"))
+    return computed_once(texts, texts.columns, {"v": parsed})
 
 
 def parse_cdc_orders(events: DataFrame, salt: str) -> DataFrame:
@@ -40,39 +42,41 @@ def parse_cdc_orders(events: DataFrame, salt: str) -> DataFrame:
 
     Deletes and events without a new row are dropped; defaults apply only when a key is absent, not when it is null.
     """
-    flat = events.withColumn("flat", _raw("$.after").isNull() & _raw("$.__op").isNotNull())
-    root = F.when(F.col("flat"), F.col("v")).otherwise(_raw("$.after"))
-    op = F.when(F.col("flat"), _text("$.__op")).when(_raw("$.op").isNull(), F.lit("c")).otherwise(_text("$.op"))
-    ts_ms = F.when(F.col("flat"), F.try_variant_get("v", "$.__ts_ms", "bigint")).otherwise(
-        F.try_variant_get("v", "$.ts_ms", "bigint"))
-    source = F.when(F.col("flat"), F.to_json(F.struct(_text("$.__source_db").alias("db"), _text("$.__source_table").alias("table")))
-                    ).otherwise(F.coalesce(_text("$.source"), F.lit("{}")))
     extra = [c for c in events.columns if c not in ("value", "v")]
-    rows = flat.select(*extra, root.alias("v"), op.alias("cdc_op"), ts_ms.alias("cdc_ts_ms"), source.alias("_bronze_source"))
-    kept = rows.filter(
-        (F.col("cdc_op").isNull() | (F.col("cdc_op") != "d"))
-        & F.coalesce(_kind(F.col("v")).startswith("OBJECT") & (_kind(F.col("v")) != "OBJECT<>"), F.lit(False))
-    )
-    cents = [
-        F.when(_raw(f"$.{c}").isNull(), F.lit(0)).otherwise(F.try_variant_get("v", f"$.{c}", "bigint")).cast("bigint").alias(c)
-        for c in CENTS
-    ]
-    total_kind = _kind(_raw("$.total_cents"))
-    return kept.select(
-        *extra,
-        _text("$.order_id").alias("order_id"),
-        hash_pii(_text("$.user_id"), salt).alias("user_id_hash"),
-        _text("$.warehouse_id").alias("warehouse_id"),
-        _text("$.status").alias("status"),
-        F.when(_raw("$.currency").isNull(), F.lit("USD")).otherwise(_text("$.currency")).alias("currency"),
-        *cents,
-        _text("$.created_at").alias("created_at"),
-        _text("$.updated_at").alias("updated_at"),
-        "cdc_op",
-        "cdc_ts_ms",
-        "_bronze_source",
-        (total_kind.isNull() | (total_kind == "BIGINT")).alias("_total_is_int"),
-    )
+    flat = _raw("$.after").isNull() & _raw("$.__op").isNotNull()
+    flat_source = F.to_json(F.struct(_text("$.__source_db").alias("db"), _text("$.__source_table").alias("table")))
+    rows = computed_once(events, extra, {
+        "v": F.when(flat, F.col("v")).otherwise(_raw("$.after")),
+        "cdc_op": F.when(flat, _text("$.__op")).when(_raw("$.op").isNull(), F.lit("c")).otherwise(_text("$.op")),
+        "cdc_ts_ms": F.coalesce(F.try_variant_get("v", "$.ts_ms", "bigint"), F.try_variant_get("v", "$.__ts_ms", "bigint")),
+        "_bronze_source": F.when(flat, flat_source).otherwise(F.coalesce(_text("$.source"), F.lit("{}"))),
+    })
+    kept = rows.filter(F.col("cdc_op").isNull() | (F.col("cdc_op") != "d")).filter(
+        F.coalesce(_kind(F.col("v")).rlike(FILLED_OBJECT), F.lit(False)))
+
+    # One call reads all fields; those whose absence or JSON type matters stay VARIANT.
+    texts = ["order_id", "user_id", "warehouse_id", "status", "created_at", "updated_at"]
+    fields = ", ".join([f"{c} string" for c in texts] + [f"{c} variant" for c in ["currency", *CENTS]])
+    got = computed_once(kept, [*extra, "cdc_op", "cdc_ts_ms", "_bronze_source"], {"r": F.try_variant_get("v", "$", f"struct<{fields}>")})
+
+    def field(name: str) -> Column:
+        return F.col(f"r.{name}")
+
+    def given(name: str, kind: str, default: object) -> Column:
+        return F.when(field(name).isNull(), F.lit(default)).otherwise(F.try_variant_get(field(name), "$", kind))
+
+    total_kind = _kind(field("total_cents"))
+    return computed_once(got, [*extra, "cdc_op", "cdc_ts_ms", "_bronze_source"], {
+        "order_id": field("order_id"),
+        "user_id_hash": hash_pii(field("user_id"), salt),
+        "warehouse_id": field("warehouse_id"),
+        "status": field("status"),
+        "currency": given("currency", "string", "USD"),
+        **{c: given(c, "bigint", 0).cast("bigint") for c in CENTS},
+        "created_at": field("created_at"),
+        "updated_at": field("updated_at"),
+        "_total_is_int": total_kind.isNull() | (total_kind == "BIGINT"),
+    }).select(*extra, *SILVER_COLUMNS, "_bronze_source", "_total_is_int")
 
 
 def flatten_after(changes: DataFrame, salt: str) -> DataFrame:

@@ -122,7 +122,7 @@ def click_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as change-event JSON lines by day of creation.
+    """Orders as change-event JSON lines by month of creation (their run date).
 
     Every order is created; every 3rd is updated, every 11th deleted, every 13th followed by an unreadable line. Every 17th has
     no currency, every 19th an unknown status, every 23rd no user.
@@ -150,7 +150,7 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("k") % 3 == 0, change("u", 1000, row(F.col("status")), row(F.lit("shipped")))),
         F.when(F.col("k") % 11 == 0, change("d", 2000, row(F.col("status")), nothing)),
         F.when(F.col("k") % 13 == 0, F.lit('{"op": "c", "after": {'))))
-    return o.select(F.explode(lines).alias("value"), F.to_date("created_at").alias("run_date"))
+    return o.select(F.trunc("created_at", "MM").alias("run_date"), lines.alias("lines")).select(F.explode("lines").alias("value"), "run_date")
 
 
 def order_items(spark: SparkSession, d: str) -> DataFrame:
@@ -265,7 +265,7 @@ CTES = {
     "changes": f"""SELECT order_id, k, CASE WHEN k % 23 <> 0 THEN sha256('{SALT}|' || o_custkey) END AS user_id_hash, warehouse_id,
         CASE WHEN k % 19 = 0 THEN 'lost' WHEN op = 'u' THEN 'shipped' ELSE status END AS status, currency, subtotal_cents, discount_cents, shipping_cents, total_cents,
         strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at, strftime(updated_at, '%Y-%m-%dT%H:%M:%SZ') AS updated_at, op, cdc_ts_ms + off_ms AS ts_ms,
-        CAST(silver.created_at AS DATE) AS run_date
+        CAST(date_trunc('month', silver.created_at) AS DATE) AS run_date
         FROM silver, (VALUES ('c', 0, 1), ('u', 1000, 3), ('d', 2000, 11)) v(op, off_ms, every) WHERE k % every = 0""",
     "checked": """SELECT *, user_id_hash IS NOT NULL AND status <> 'lost' AS ok FROM changes WHERE op <> 'd'""",
     "latest": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts_ms DESC) AS rn FROM checked WHERE ok) WHERE rn = 1""",
