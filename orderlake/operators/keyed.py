@@ -34,6 +34,11 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash partitions that adaptive execution leaves alone: Python work per group is costly even where its bytes are few."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def time_slice(ts: Column, seconds: int) -> Column:
     """Index of the fixed time slice a timestamp falls in."""
     return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")

@@ -12,7 +12,7 @@ from pyspark.sql import Window
 
 from orderlake.functions import LIVE_STATUSES, churn_score, value_tier
 from orderlake.functions.columns import dollars_text
-from orderlake.operators.keyed import SLICE, running_sums, time_slice
+from orderlake.operators.keyed import SLICE, running_sums, spread, time_slice
 
 HIGH_VALUE_CENTS = 20_000
 CHURN_ALERT_SCORE = 0.7
@@ -202,7 +202,7 @@ def cooldown_alerts(candidates: DataFrame, key: str, ts: str, seconds: int, incl
         upto, last = _summarise(np.sort(pdf["t"].to_numpy()), need, block * span)
         return pd.DataFrame({"k": pdf["k"].iloc[0], "g": block // per_block, "b": block, "upto": upto, "last": last})
 
-    steps = times.groupBy("k", "b").applyInPandas(summarise, f"k {kind}, g bigint, b bigint, upto bigint, last bigint")
+    steps = spread(times, "k", "b").groupBy("k", "b").applyInPandas(summarise, f"k {kind}, g bigint, b bigint, upto bigint, last bigint")
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         state, upto = None, None
@@ -242,7 +242,7 @@ def cooldown_alerts(candidates: DataFrame, key: str, ts: str, seconds: int, incl
             allowed = kept[-1] + need
         return pd.DataFrame({"k": pdf["k"].iloc[0], "t": np.array(kept, dtype="int64")})
 
-    kept = times.join(block_entry, ["k", "b"]).groupBy("k", "b").applyInPandas(mark, f"k {kind}, t bigint")
+    kept = spread(times, "k", "b").join(block_entry, ["k", "b"]).groupBy("k", "b").applyInPandas(mark, f"k {kind}, t bigint")
     return rows.join(kept, ["k", "t"]).select(F.col("k").alias(key), "row.*").select(*candidates.columns)
 
 
@@ -278,7 +278,7 @@ def _smoothing_map(values: list[int]) -> tuple[list[int], list[int]]:
     return needed, outputs
 
 
-def latency_ewma(latencies: DataFrame, key: str, ts: str, latency_ms: str, tie: str, slice_seconds: int = 3600) -> DataFrame:
+def latency_ewma(latencies: DataFrame, key: str, ts: str, latency_ms: str, tie: str, slice_seconds: int = 86_400) -> DataFrame:
     """Final smoothed latency per key: each value moves the state to 0.9 * state + 0.1 * value, rounded to two decimals.
 
     Runs of values are condensed per (key, time slice) in parallel, and the small maps are applied in order per key. Time
@@ -295,7 +295,7 @@ def latency_ewma(latencies: DataFrame, key: str, ts: str, latency_ms: str, tie:
         return pd.DataFrame({"k": [pdf["k"].iloc[0]], "b": [int(pdf["b"].iloc[0])], "n": [len(values)], "raw": [raw],
                              "needed": [needed], "outputs": [outputs]})
 
-    maps = rows.groupBy("k", "b").applyInPandas(
+    maps = spread(rows, "k", "b").groupBy("k", "b").applyInPandas(
         condense, f"k {kind}, b bigint, n bigint, raw boolean, needed array<bigint>, outputs array<bigint>")
 
     def apply(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.operators.features import FEATURE_COLUMNS
-from orderlake.operators.keyed import ranks, running_sums
+from orderlake.operators.keyed import ranks, running_sums, spread
 
 LEAKY = ["days_since_last_order"]
 MIN_ROWS = 10
@@ -148,5 +148,5 @@ def forecast_demand(daily: DataFrame, keys: list[str], horizon: int = 30) -> Dat
         return out[[*keys, "ds", "yhat", "yhat_lower", "yhat_upper", "is_future"]]
 
     prefix = f"{key_fields}, " if keys else ""
-    grouped = daily.groupBy(*keys) if keys else daily.groupBy(F.lit(0))
+    grouped = spread(daily, *keys).groupBy(*keys) if keys else daily.groupBy(F.lit(0))
     return grouped.applyInPandas(fit, f"{prefix}ds date, yhat double, yhat_lower double, yhat_upper double, is_future boolean")

@@ -10,6 +10,7 @@ from orderlake.operators.keyed import latest_per_key
 from orderlake.session import scratch
 from orderlake.sources.bronze import record_time
 
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 HOUR = ["year", "month", "day", "hour"]
 
 
@@ -45,7 +46,7 @@ def write_clustered_fact(fact: DataFrame, path: str, files: int) -> None:
 
 
 def append_jsonl(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").json(path)
+    rows.write.mode("append").option("timestampFormat", JSON_TIME).json(path)
 
 
 def keyed_json(rows: DataFrame, key: str) -> DataFrame:

@@ -20,6 +20,7 @@ from orderlake.functions.columns import dollars_text
 from orderlake.operators.live import HIGH_VALUE_CENTS, enrich_live, high_value_orders, ring_trim, valid_live, validate_live
 from orderlake.operators.orders import SILVER_COLUMNS, dead_letter_split, dedup_latest
 from orderlake.session import ROCKSDB
+from orderlake.sources.sinks import JSON_TIME
 
 WATERMARK = "10 minutes"
 
@@ -208,5 +209,5 @@ def read_streamed_silver(spark: SparkSession, silver_path: str) -> DataFrame:
 
 def alert_sink(path: str):
     def each(batch: DataFrame, batch_id: int) -> None:
-        alert_records(batch).write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
+        alert_records(batch).write.mode("overwrite").option("timestampFormat", JSON_TIME).json(f"{path}/batch_id={batch_id}")
     return each
