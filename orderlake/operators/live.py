@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from orderlake.functions import LIVE_STATUSES, churn_score, value_tier
 from orderlake.functions.columns import dollars_text
-from orderlake.operators.keyed import SLICE, running_sums, spread, time_slice
+from orderlake.operators.keyed import SLICE, map_groups, running_sums, time_slice
 
 HIGH_VALUE_CENTS = 20_000
 CHURN_ALERT_SCORE = 0.7
@@ -166,12 +165,11 @@ def _advance(allowed: np.ndarray, upto: np.ndarray, last: np.ndarray, need: int)
     return np.where(inside, last[np.minimum(spot, len(last) - 1)] + need, allowed)
 
 
-def _blocks(pdf: pd.DataFrame, column: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    pdf = pdf.sort_values([column, "upto"])
-    numbers, starts = np.unique(pdf[column].to_numpy(), return_index=True)
-    upto, last = pdf["upto"].to_numpy(), pdf["last"].to_numpy()
-    for number, lo, hi in zip(numbers, starts, [*starts[1:], len(pdf)]):
-        yield int(number), upto[lo:hi], last[lo:hi]
+def _blocks(columns: dict[str, np.ndarray], number: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Step functions per block number; rows come ordered by number and bound."""
+    starts = [0, *(np.flatnonzero(columns[number][1:] != columns[number][:-1]) + 1).tolist(), len(columns[number])]
+    for lo, hi in zip(starts[:-1], starts[1:]):
+        yield int(columns[number][lo]), columns["upto"][lo:hi], columns["last"][lo:hi]
 
 
 def cooldown_alerts(candidates: DataFrame, key: str, ts: str, seconds: int, inclusive: bool = False,
@@ -189,66 +187,62 @@ def cooldown_alerts(candidates: DataFrame, key: str, ts: str, seconds: int, incl
         raise ValueError("cooldown must be positive")
     need = seconds * MICROS + (0 if inclusive else 1)
     span = need * per_block
-    kind = candidates.schema[key].dataType.simpleString()
     t = F.unix_micros(ts)
     rest = [c for c in candidates.columns if c != key]
     order = F.struct(*(tie or []), F.xxhash64(*candidates.columns))
     rows = candidates.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(F.col(key).alias("k"), t.alias("t")).agg(
         F.min_by(F.struct(*rest), order).alias("row")).withColumn("b", F.floor(F.col("t") / F.lit(span)).cast("bigint"))
     times = rows.select("k", "t", "b")
+    never, anything = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        block = int(pdf["b"].iloc[0])
-        upto, last = _summarise(np.sort(pdf["t"].to_numpy()), need, block * span)
-        return pd.DataFrame({"k": pdf["k"].iloc[0], "g": block // per_block, "b": block, "upto": upto, "last": last})
+    def summarise(key: tuple, columns: dict) -> dict:
+        upto, last = _summarise(columns["t"], need, int(key[1]) * span)
+        return {"g": np.full(len(upto), int(key[1]) // per_block), "upto": upto, "last": last}
 
-    steps = spread(times, "k", "b").groupBy("k", "b").applyInPandas(summarise, f"k {kind}, g bigint, b bigint, upto bigint, last bigint")
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, upto = None, None
-        for _, block_upto, block_last in _blocks(pdf, "b"):
+    def compose(key: tuple, columns: dict) -> dict:
+        state = upto = None
+        for _, block_upto, block_last in _blocks(columns, "b"):
             if state is None:
-                upto = np.append(block_upto, np.iinfo(np.int64).max)
-                state = np.append(block_last + need, np.iinfo(np.int64).min)
+                # The last entry stands for times after everything in this block.
+                upto, state = np.append(block_upto, anything), np.append(block_last + need, never)
             else:
                 state = _advance(state, block_upto, block_last, need)
+        if state[-1] == never:
+            upto, state = upto[:-1], state[:-1]
         last = state - need
-        if len(upto) > 1 and state[-1] == np.iinfo(np.int64).min:
-            upto, last = upto[:-1], last[:-1]
         keep = np.append(last[1:] != last[:-1], True)
-        return pd.DataFrame({"k": pdf["k"].iloc[0], "g": int(pdf["g"].iloc[0]), "upto": upto[keep], "last": last[keep]})
-
-    groups = steps.groupBy("k", "g").applyInPandas(compose, f"k {kind}, g bigint, upto bigint, last bigint")
-    floor = np.iinfo(np.int64).min // 4
-
-    def walk(column: str):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            allowed = int(pdf["allowed"].iloc[0]) if "allowed" in pdf else floor
-            out = []
-            for number, upto, last in _blocks(pdf, column):
-                out.append((number, allowed))
+        return {"upto": upto[keep], "last": last[keep]}
+
+    def walk(number: str):
+        def run(key: tuple, columns: dict) -> dict:
+            allowed = int(columns["allowed"][0]) if "allowed" in columns else never // 4
+            numbers, entries = [], []
+            for block, upto, last in _blocks(columns, number):
+                numbers.append(block)
+                entries.append(allowed)
                 allowed = int(_advance(np.array([allowed]), upto, last, need)[0])
-            return pd.DataFrame({"k": pdf["k"].iloc[0], column: [o[0] for o in out], "allowed": [o[1] for o in out]})
+            return {number: numbers, "allowed": entries}
         return run
 
-    group_entry = groups.groupBy("k").applyInPandas(walk("g"), f"k {kind}, g bigint, allowed bigint")
-    block_entry = steps.join(group_entry, ["k", "g"]).groupBy("k", "g").applyInPandas(walk("b"), f"k {kind}, b bigint, allowed bigint")
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        block_times = np.sort(pdf["t"].to_numpy())
-        allowed, kept = int(pdf["allowed"].iloc[0]), []
-        while (spot := int(np.searchsorted(block_times, allowed))) < len(block_times):
-            kept.append(int(block_times[spot]))
+    def mark(key: tuple, columns: dict) -> dict:
+        allowed, kept = int(columns["allowed"][0]), []
+        while (spot := int(np.searchsorted(columns["t"], allowed))) < len(columns["t"]):
+            kept.append(int(columns["t"][spot]))
             allowed = kept[-1] + need
-        return pd.DataFrame({"k": pdf["k"].iloc[0], "t": np.array(kept, dtype="int64")})
+        return {"kept": kept}
 
-    kept = spread(times, "k", "b").join(block_entry, ["k", "b"]).groupBy("k", "b").applyInPandas(mark, f"k {kind}, t bigint")
-    return rows.join(kept, ["k", "t"]).select(F.col("k").alias(key), "row.*").select(*candidates.columns)
+    steps = map_groups(times, ["k", "b"], ["t"], "g bigint, upto bigint, last bigint", summarise)
+    groups = map_groups(steps, ["k", "g"], ["b", "upto"], "upto bigint, last bigint", compose)
+    group_entry = map_groups(groups, ["k"], ["g", "upto"], "g bigint, allowed bigint", walk("g"))
+    block_entry = map_groups(steps.join(group_entry, ["k", "g"]), ["k", "g"], ["b", "upto"], "b bigint, allowed bigint", walk("b"))
+    kept = map_groups(times.join(block_entry.drop("g"), ["k", "b"]), ["k", "b"], ["t"], "kept bigint", mark)
+    return rows.join(kept.select("k", F.col("kept").alias("t")), ["k", "t"]).select(F.col("k").alias(key), "row.*").select(*candidates.columns)
 
 
-def churn_alerts(scored: DataFrame, threshold: float = CHURN_ALERT_SCORE, cooldown_seconds: int = 120, inclusive: bool = False) -> DataFrame:
-    """Alert rows for users at or over the threshold, at most one per user prefix and cooldown."""
-    candidates = scored.filter(F.col("churn_score") >= threshold).select(
+def churn_alerts(scored: DataFrame, threshold: float = CHURN_ALERT_SCORE, cooldown_seconds: int = 120, inclusive: bool = False,
+                 faithful: bool = False) -> DataFrame:
+    """Alert rows for users whose unrounded score reaches the threshold, at most one per user prefix and cooldown."""
+    candidates = scored.filter(state_score(faithful) >= threshold).select(
         F.substring("user_id_hash", 1, 16).alias("user_prefix"), F.round("churn_score", 3).alias("churn_score"),
         F.col("order_count").alias("orders"), dollars_text("total_spend").alias("total_spend"),
         F.lit("Send win-back offer — 20% discount").alias("recommendation"), F.col("occurred_at").alias("ts"), "event_id")
@@ -284,31 +278,27 @@ def latency_ewma(latencies: DataFrame, key: str, ts: str, latency_ms: str, tie:
     Runs of values are condensed per (key, time slice) in parallel, and the small maps are applied in order per key. Time
     slices bound what one task sees, and the number of maps per key is bounded by the calendar.
     """
-    kind = latencies.schema[key].dataType.simpleString()
     rows = latencies.select(F.col(key).alias("k"), F.unix_micros(ts).alias("t"), F.col(tie).alias("e"),
                             F.col(latency_ms).cast("bigint").alias("x"), time_slice(F.col(ts), slice_seconds).alias("b"))
 
-    def condense(pdf: pd.DataFrame) -> pd.DataFrame:
-        values = [int(x) for x in pdf.sort_values(["t", "e"])["x"]]
+    def condense(key: tuple, columns: dict) -> dict:
+        values = [int(x) for x in columns["x"]]
         raw = len(values) < _RAW_BELOW
         needed, outputs = ([], values) if raw else _smoothing_map(values)
-        return pd.DataFrame({"k": [pdf["k"].iloc[0]], "b": [int(pdf["b"].iloc[0])], "n": [len(values)], "raw": [raw],
-                             "needed": [needed], "outputs": [outputs]})
-
-    maps = spread(rows, "k", "b").groupBy("k", "b").applyInPandas(
-        condense, f"k {kind}, b bigint, n bigint, raw boolean, needed array<bigint>, outputs array<bigint>")
+        return {"n": [len(values)], "raw": [raw], "needed": [needed], "outputs": [outputs]}
 
-    def apply(pdf: pd.DataFrame) -> pd.DataFrame:
+    def apply(key: tuple, columns: dict) -> dict:
         state = 0
-        for raw, needed, outputs in pdf.sort_values("b")[["raw", "needed", "outputs"]].itertuples(index=False):
+        for raw, needed, outputs in zip(columns["raw"], columns["needed"], columns["outputs"]):
             if raw:
                 for x in outputs:
                     state = _smooth(state, int(x))
             else:
                 state = int(outputs[int(np.searchsorted(np.asarray(needed), state, side="right"))])
-        return pd.DataFrame({"k": [pdf["k"].iloc[0]], "events": [int(pdf["n"].sum())], "h": [state]})
+        return {"events": [int(columns["n"].sum())], "h": [state]}
 
-    done = maps.groupBy("k").applyInPandas(apply, f"k {kind}, events bigint, h bigint")
+    maps = map_groups(rows, ["k", "b"], ["t", "e"], "n bigint, raw boolean, needed array<bigint>, outputs array<bigint>", condense)
+    done = map_groups(maps, ["k"], ["b"], "events bigint, h bigint", apply)
     return done.select(F.col("k").alias(key), "events", (F.col("h") / F.lit(100.0)).alias("latency_ms"))
 
 

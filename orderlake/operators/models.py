@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -12,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.operators.features import FEATURE_COLUMNS
-from orderlake.operators.keyed import ranks, running_sums, spread
+from orderlake.operators.keyed import map_groups, ranks, running_sums
 
 LEAKY = ["days_since_last_order"]
 MIN_ROWS = 10
 MIN_POINTS = 14
+BAND_80 = 1.2815515655446004
 
 
 def model_features(exclude_leaky: bool = False) -> list[str]:
@@ -121,32 +121,25 @@ def forecast_demand(daily: DataFrame, keys: list[str], horizon: int = 30) -> Dat
     ``daily`` has one row per (series, day), so a group is bounded by the calendar whatever the number of orders. Series with
     fewer than 14 days are left out.
     """
-    schema = daily.schema
-    key_fields = ", ".join(f"{k} {schema[k].dataType.simpleString()}" for k in keys)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=["ds"]).sort_values("ds")
-        if len(pdf) < MIN_POINTS:
-            return pd.DataFrame(columns=[*keys, "ds", "yhat", "yhat_lower", "yhat_upper", "is_future"])
-        days = pd.to_datetime(pdf["ds"]).to_numpy().astype("datetime64[D]").astype("int64")
-        y = pdf["y"].to_numpy(dtype=float)
+
+    def fit(key: tuple, columns: dict) -> dict | None:
+        days = np.array(columns["ds"], dtype="datetime64[D]").astype("int64")
+        if len(days) < MIN_POINTS:
+            return None
+        y = columns["y"].astype(float)
         span = max(1.0, float(days[-1] - days[0]))
         x = _seasonal(days.astype(float), int(days[0]), span)
-        penalty = np.diag([0.0, 0.0, *[1.0] * 8, *[0.1] * (x.shape[1] - 10)])
-        beta = np.linalg.solve(x.T @ x + penalty + 1e-9 * np.eye(x.shape[1]), x.T @ y)
-        sigma = float(np.std(y - x @ beta))
+        penalty = np.diag([1e-9, 1e-9, *[1.0] * 8, *[0.1] * (x.shape[1] - 10)])
+        beta = np.linalg.solve(x.T @ x + penalty, x.T @ y)
+        band = BAND_80 * float(np.std(y - x @ beta))
         ahead = np.concatenate([days, days[-1] + np.arange(1, horizon + 1)])
         yhat = _seasonal(ahead.astype(float), int(days[0]), span) @ beta
-        band = 1.2815515655446004 * sigma
-        out = pd.DataFrame({
-            "ds": ahead.astype("datetime64[D]").astype("datetime64[ns]"), "yhat": np.maximum(0, yhat).round(1),
-            "yhat_lower": np.maximum(0, yhat - band).round(1), "yhat_upper": np.maximum(0, yhat + band).round(1),
-            "is_future": ahead > days[-1]})
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        out["ds"] = out["ds"].dt.date
-        return out[[*keys, "ds", "yhat", "yhat_lower", "yhat_upper", "is_future"]]
-
-    prefix = f"{key_fields}, " if keys else ""
-    grouped = spread(daily, *keys).groupBy(*keys) if keys else daily.groupBy(F.lit(0))
-    return grouped.applyInPandas(fit, f"{prefix}ds date, yhat double, yhat_lower double, yhat_upper double, is_future boolean")
+
+        def shown(values: np.ndarray) -> np.ndarray:
+            return np.maximum(0, values).round(1)
+
+        return {"ds": ahead.astype("datetime64[D]").astype(object), "yhat": shown(yhat), "yhat_lower": shown(yhat - band),
+                "yhat_upper": shown(yhat + band), "is_future": ahead > days[-1]}
+
+    return map_groups(daily.filter(F.col("ds").isNotNull()), keys, ["ds"],
+                      "ds date, yhat double, yhat_lower double, yhat_upper double, is_future boolean", fit)

@@ -13,7 +13,7 @@ from orderlake.sources.bronze import change_stream
 from orderlake.streaming import live as sl
 
 COOLDOWN = 86_400
-THRESHOLD = 0.25
+THRESHOLD = 0.255
 END = "2030-01-01 00:00:00"
 
 
