@@ -68,7 +68,7 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, as_of_time: Column, clos
 
 def scd2_point_in_time(facts: DataFrame, history: DataFrame, ts: str, attributes: list[str]) -> DataFrame:
     """Attributes valid at each fact's time (valid_from <= t < valid_to), NULL where none is valid."""
-    found = as_of(facts, history, "user_id_hash", ts, "valid_from", seconds=30 * DAY)
+    found = as_of(facts, history, "user_id_hash", ts, "valid_from", seconds=DAY)
     valid = F.col("match.valid_to").isNull() | (F.col(ts) < F.col("match.valid_to"))
     return found.select(*facts.columns, *[F.when(valid, F.col(f"match.{a}")).alias(a) for a in attributes])
 

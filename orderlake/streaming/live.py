@@ -18,7 +18,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from orderlake.functions.columns import dollars_text
 from orderlake.operators.live import HIGH_VALUE_CENTS, enrich_live, high_value_orders, ring_trim, valid_live, validate_live
-from orderlake.operators.orders import SILVER_COLUMNS, dead_letter_split, dedup_latest
+from orderlake.operators.orders import SILVER_COLUMNS, dead_letter_split, dedup_latest, parse_json_lines
 from orderlake.session import ROCKSDB
 from orderlake.sources.sinks import JSON_TIME
 
@@ -93,7 +93,10 @@ def stream_sessionize(clicks: DataFrame, idle: str = "30 minutes", watermark: st
 
 
 class UserState(StatefulProcessor):
-    """Per-user totals, score and alert cooldown. Rows of a user inside a micro-batch are put in (time, event) order first."""
+    """Per-user totals, score and alert cooldown.
+
+    Rows of a user inside a micro-batch are put in (time, event) order first; the source's rate limit bounds how many there are.
+    """
 
     STATE = "orders bigint, spend bigint, refunds bigint, first_us bigint, last_us bigint, alert_us bigint, channels string"
 
@@ -197,9 +200,13 @@ def recent_store(path: str, keep: int = 10_000):
 def silver_sink(silver_path: str, dead_letter_path: str, salt: str):
     """Batch function for change lines: valid rows and rejects, each under the batch id (replacing a repeated batch)."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        valid, rejected = dead_letter_split(batch.select("value"), salt)
-        dedup_latest(valid).write.mode("overwrite").parquet(f"{silver_path}/batch_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
+        lines = parse_json_lines(batch.select("value")).persist()
+        try:
+            valid, rejected = dead_letter_split(lines, salt)
+            dedup_latest(valid).write.mode("overwrite").parquet(f"{silver_path}/batch_id={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
+        finally:
+            lines.unpersist()
     return each
 
 
