@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm._runtime import tuned
-from orderlake.session import prepare
+from orderlake.session import prepare, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.near_dedup import near_duplicates
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op6_token_table")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.token_table import ids_crc32, read_token_table, write_token_table
+    path = scratch(spark, "llm-tokens")
+    write_token_table(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"), "byte", end_id=0)
+    return ids_crc32(read_token_table(spark, path)).withColumnRenamed("id", "doc_id")
+
+
+@query("op9_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.bpe import bpe_digests
+    return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.packing import read_packed, write_packed
+    from orderlake.llm.token_table import ids_crc32
+    path = scratch(spark, "llm-packed")
+    write_packed(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), "word", end_id=2)
+    return ids_crc32(read_packed(spark, path)).withColumnRenamed("id", "doc_id")
