@@ -87,3 +87,52 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "llm-packed")
     write_packed(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), "word", end_id=2)
     return ids_crc32(read_packed(spark, path)).withColumnRenamed("id", "doc_id")
+
+
+@query("op2_shards")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.sharding import read_shards, write_shuffled
+    path = scratch(spark, "llm-shards")
+    write_shuffled(table(spark, sf_dir, "documents"), path)
+    text = F.col("row.text")
+    return read_shards(spark, path, 16).select(
+        F.col("row.doc_id").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUALITY_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x : x <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT k, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT k, w, unnest(range(1, len(w) - 6)) AS i FROM words)),
+repeats AS (SELECT k, i FROM windows QUALIFY count(*) OVER (PARTITION BY k, s) > 1),
+covered AS (SELECT k, count(DISTINCT j) AS n FROM (SELECT k, unnest(range(i, i + 8)) AS j FROM repeats) GROUP BY k),
+lines AS (
+  SELECT k, count(*) AS n, count(*) - count(DISTINCT l) AS dup
+  FROM (SELECT k, unnest(string_split(text, chr(10))) AS l FROM words) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY k),
+measures AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(lines.n, 0) AS n_lines, length(regexp_replace(text, '[^A-ZÀ-ÖØ-Þ]', '', 'g')) AS n_upper,
+    length(regexp_replace(text, '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g')) AS n_letters
+  FROM words LEFT JOIN covered USING (k) LEFT JOIN lines USING (k)),
+rules AS (
+  SELECT *, (n_words < 20)::INT AS r0, (100 * n_repeat_words > 30 * n_words)::INT AS r1, (100 * n_symbols > 10 * n_words)::INT AS r2,
+    (100 * n_dup_lines > 30 * n_lines)::INT AS r3, (100 * n_upper > 40 * n_letters)::INT AS r4, (10 * word_chars < 25 * n_words)::INT AS r5,
+    (word_chars > 12 * n_words)::INT AS r6
+  FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 + r1 > 0 AS base_failed, r0 + r1 + r2 + r3 + r4 + r5 + r6 = 0 AS kept,
+  (r0 + 2 * r1 + 4 * r2 + 8 * r3 + 16 * r4 + 32 * r5 + 64 * r6)::INT AS failed_rules
+FROM rules
+"""
+
+
+@query("op7_quality_rules", QUALITY_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.quality_rules import measure, passes
+    ledger = measure(table(spark, sf_dir, "documents"))
+    return ledger.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~passes("base-1")).alias("base_failed"),
+        passes().alias("kept"), "failed_rules")
