@@ -136,3 +136,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~passes("base-1")).alias("base_failed"),
         passes().alias("kept"), "failed_rules")
+
+
+@query("op3_html_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.html_text import extract
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
