@@ -4,15 +4,15 @@ A register is the smallest of exponentially distributed hashes of a set's shingl
 registers are equal with a probability close to the Jaccard similarity, and the sketch of a union is the maximum of the sketches.
 
 Texts with equal sets form one class, and only classes are compared. A bucket of equal register bands isn't expanded into pairs: its
-best-connected member is a hub that every other member is compared with, and components form. What a hub doesn't join goes through
-further hubs, and at last every pair of different components in a bucket is compared, so no candidate link between components is lost.
+best-connected member is a hub that every other member is compared with, and components form. Members of all buckets of a hub make a
+group; where it still holds several components, blocks of its full sets are compared with each other, each block pair in one bounded
+task that gives no more links than join its components. So no candidate link between components is lost, and no pairs are emitted.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from orderlake.llm._text import Powers, binaries, chunks, mix, shingles, words
 SPACING = 1.1
 RATE = 1 / 20
 TOP = 255
+BLOCK = 256
 
 
 def register_equality(similarity: float, spacing: float = SPACING) -> float:
@@ -149,9 +150,54 @@ def _linked(percent: int):
     return run
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each two sets of distinct hashes, by products of their incidence matrix in runs of columns."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(np.concatenate(sets), kind="stable")
+    row, ranked = row[order], np.concatenate(sets)[order]
+    fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    column = np.cumsum(fresh) - 1
+    often = np.bincount(column)[column] > 1
+    row, column = row[often], column[often]
+    counts = np.zeros((len(sets), len(sets)), np.float32)
+    if len(column):
+        column = np.cumsum(np.concatenate(([0], (column[1:] != column[:-1]).astype(np.int64))))
+        for first in range(0, int(column[-1]) + 1, 4096):
+            a, b = np.searchsorted(column, [first, first + 4096])
+            some = np.zeros((len(sets), 4096), np.float32)
+            some[row[a:b], column[a:b] - first] = 1
+            counts += some @ some.T
+    return counts.astype(np.int64)
+
+
+def _across(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        labels = group.column("label").to_pylist()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("hashes")]
+        out: list[tuple[int, int]] = []
+        if len(set(labels)) > 1:
+            sizes = np.array([len(s) for s in sets])
+            inter = shared_counts(sets)
+            linked = np.triu(100 * inter >= percent * (sizes[:, None] + sizes[None, :] - inter), 1)
+            top = {x: x for x in labels}
+
+            def find(x: int) -> int:
+                while top[x] != x:
+                    top[x] = x = top[top[x]]
+                return x
+            for p, q in np.argwhere(linked).tolist():
+                a, b = find(labels[p]), find(labels[q])
+                if a != b:
+                    top[max(a, b)] = min(a, b)
+                    out.append((a, b))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+    return run
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, registers: int = 160,
-    miss: float = 1e-6, slack: float = 14.0, hub_rounds: int = 3,
+    miss: float = 1e-6, slack: float = 14.0,
 ) -> DataFrame:
     """Per row of ``docs``: ``id, n_shingles, component_id`` (smallest id reachable over links), ``class_id`` (smallest id with an equal set)
     and ``kept`` (``id = component_id``).
@@ -177,52 +223,30 @@ def near_duplicates(
     bands = nodes.select("id", "sketch").mapInArrow(_bands(registers, width), "key long, id long")
     crowded = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     shared = stored(bands.join(crowded, "key"), "shared")
-    reach = stored(shared.groupBy("id").agg(F.sum("c").alias("reach")), "reach")
-    slots = stored(shared.join(reach, "id").select("key", "id", "reach"), "slots")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        ends = {x: nodes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab"}
-        sized = pairs.join(ends["a"], "a").join(ends["b"], "b").where(f"100 * least(na, nb) >= {int(percent)} * greatest(na, nb)")
-        likely = stored(sized.mapInArrow(_likely(threshold, registers, slack), "a long, b long"), "likely")
-        needed = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        sets = stored(slim.join(needed, "id", "left_semi").mapInArrow(_full_sets(shingle), "id long, hashes binary"), "sets")
-        both = likely.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b")
-        return stored(both.mapInArrow(_linked(percent), "a long, b long"), "links")
-
-    def ordered(df: DataFrame) -> DataFrame:
-        return df.where("id <> other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-
-    links: list[DataFrame] = [stored(one_id, "links")]
-    tried: list[DataFrame] = []
-    labels = None
-    for turn in range(hub_rounds + 1):
-        if labels is None:
-            open_slots = slots.withColumn("label", F.col("id"))
-            outside = open_slots
-        else:
-            now = slots.join(labels, "id", "left").select("key", "id", "reach", F.coalesce("label", "id").alias("label"))
-            mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by("label", "reach").alias("main")).where("lo <> hi").select("key", "main")
-            open_slots = stored(now.join(mixed, "key"), "open")
-            outside = open_slots.where("label <> main")
-            if outside.isEmpty():
-                break
-        if turn < hub_rounds:
-            hubs = outside.groupBy("key").agg(F.max_by("id", "reach").alias("other"), F.max_by("label", "reach").alias("its"))
-        else:
-            hubs = outside.select("key", F.col("id").alias("other"), F.col("label").alias("its"))
-        met = open_slots.join(hubs, "key").where("id <> other" if labels is None else "label <> its")
-        pairs = ordered(met)
-        for old in tried:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried.append(pairs)
-        links.append(confirm(pairs))
-        labels = components(reduce(DataFrame.union, links))
+    reach = shared.groupBy("id").agg(F.sum("c").alias("reach"))
+    hubs = shared.join(reach, "id").groupBy("key").agg(F.max_by("id", "reach").alias("hub"))
+    members = stored(shared.join(hubs, "key").select("hub", "id").distinct(), "members")
+    # One shuffle of the texts, at any size: only documents that share a bucket need their full sets.
+    needed = members.select("id").distinct()
+    sets = stored(slim.join(needed.hint("merge"), "id", "left_semi").mapInArrow(_full_sets(shingle), "id long, hashes binary"), "sets")
+
+    ends = {x: nodes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab"}
+    spokes = members.where("hub <> id").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    sized = spokes.join(ends["a"], "a").join(ends["b"], "b").where(f"100 * least(na, nb) >= {int(percent)} * greatest(na, nb)")
+    likely = stored(sized.mapInArrow(_likely(threshold, registers, slack), "a long, b long"), "likely")
+    both = likely.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b")
+    links = stored(both.mapInArrow(_linked(percent), "a long, b long").union(one_id), "links")
+    labels = components(links)
+
+    now = members.join(labels, "id", "left").select("hub", "id", F.coalesce("label", "id").alias("label"))
+    mixed = now.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo <> hi")
+    dealt = now.join(mixed.select("hub", "blocks"), "hub").withColumn("own", F.expr("pmod(xxhash64(id), blocks)").cast("int"))
+    paired = dealt.select("hub", "id", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    paired = paired.select("hub", "id", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    crossed = paired.join(sets, "id").groupBy("hub", "i", "j").applyInArrow(_across(percent), "a long, b long")
+    labels = components(links.union(stored(crossed, "links")))
     out = signed.join(classes, ["h1", "h2", "n"], "left")
-    if labels is not None:
-        out = out.join(labels.withColumnRenamed("id", "class_id"), "class_id", "left")
-    else:
-        out = out.withColumn("label", F.lit(None).cast("long"))
+    out = out.join(labels.withColumnRenamed("id", "class_id"), "class_id", "left")
     component = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("label", "class_id", "id"))
     return out.select(
         "id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(F.col("id").isNull(), None).otherwise(F.coalesce("class_id", "id")).alias("class_id"),
