@@ -142,3 +142,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.html_text import extract
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op8_vector_search")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.vector_search import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
