@@ -97,13 +97,14 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[Chunk]:
         row = stop
 
 
-def words(chunk: Chunk, powers: Powers, lower: bool = False) -> Words:
+def words(chunk: Chunk, powers: Powers, lower: bool = False, apart: np.ndarray = SPACES) -> Words:
+    """``apart`` marks the bytes between words."""
     data = LOWER[chunk.data] if lower else chunk.data
     n = len(data)
     if not n:
         return Words(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(chunk.at), np.int64), np.zeros(0, np.uint64))
     space = np.empty(n + 1, bool)
-    np.take(SPACES, data, out=space[:n])
+    np.take(apart, data, out=space[:n])
     space[n] = True
     border = np.zeros(n + 1, bool)
     border[chunk.at] = True
@@ -114,6 +115,8 @@ def words(chunk: Chunk, powers: Powers, lower: bool = False) -> Words:
     if len(start):
         terms = BYTES[data]
         terms *= up[:n]
+        if apart is not SPACES:
+            terms[space[:n]] = 0
         hashes = np.add.reduceat(terms, start)
         hashes *= down[start]
         mix(hashes)

@@ -179,3 +179,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.line_dedup import dedup_lines
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.toxicity import toxicity
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
