@@ -99,6 +99,7 @@ def _lines(data: np.ndarray, text_at: np.ndarray, word_start: np.ndarray, powers
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column is the text; the others are handed on."""
     powers = Powers()
     is_symbol = np.zeros(256, bool)
     is_symbol[list(SYMBOLS)] = True
@@ -127,15 +128,18 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*kept, *(pa.array(values[m].astype(np.int64)) for m in MEASURES)], names=[*batch.schema.names[:-1], *MEASURES])
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The ledger: ``id``, the measurements and ``failed_rules`` (bits by place in RULES), a row for each row of ``docs``.
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """The ledger: ``id``, the measurements and ``failed_rules`` (bits by place in RULES), a row for each row of ``docs``. With ``keep`` the columns of
+    ``docs`` come with it; measurements replace columns of their names.
 
     Null texts count as empty: no words, all measurements 0. Repeated rows, null ids and other columns don't matter; an empty table gives
     no rows.
     """
     tuned(docs.sparkSession)
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    measured = slim.mapInArrow(_measure, "id long, " + ", ".join(f"{m} long" for m in MEASURES))
+    others = [c for c in docs.columns if c not in ("id", "failed_rules", *MEASURES)] if keep else []
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), *(F.col(f"`{c}`") for c in others), F.col(f"`{text_col}`").cast("string").alias("measured text"))
+    fields = ", ".join(f"`{c}` {t}" for c, t in slim.dtypes[:-1])
+    measured = slim.mapInArrow(_measure, f"{fields}, " + ", ".join(f"{m} long" for m in MEASURES))
     bits = sum((F.when(F.expr(r.fails), 1 << i).otherwise(0) for i, r in enumerate(RULES)), F.lit(0))
     return measured.withColumn("failed_rules", bits.cast("int"))
 

@@ -186,3 +186,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.toxicity import toxicity
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+    return run(spark, sf_dir)

@@ -261,16 +261,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model._replace(raw=raw, level=level)
 
 
-def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", text_col: str = "text", leave_out: bool = False) -> DataFrame:
+def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", text_col: str = "text", leave_out: bool = False, keep: bool = False) -> DataFrame:
     """``id, raw, score, known, evidence`` of each row: the vote, the calibrated score, whether a term of the vocabulary occurs, and the nearest
-    examples as ``(id, cosine, label)``. With ``leave_out`` an example isn't its own neighbour."""
+    examples as ``(id, cosine, label)``. With ``leave_out`` an example isn't its own neighbour; with ``keep`` the columns of ``docs`` come with it, but
+    for those of these names."""
     tuned(docs.sparkSession)
+    others = [c for c in docs.columns if c not in ("id", "raw", "score", "known", "evidence")] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, lexicon, index = Powers(), Vocabulary(model.keys), Index(model)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(1 + len(others))):
                 size = len(chunk.at) - 1
                 row, term, n = lexicon.counts(chunk, powers)
                 cuts = np.searchsorted(row, np.arange(size + 1)).tolist()
@@ -287,11 +289,12 @@ def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", te
                 score = np.interp(raw, model.raw, model.level) if len(model.raw) else raw
                 score = np.clip(np.where(known, score, model.unknown), 0, 1)
                 yield pa.record_batch([
-                    batch.column(0).slice(chunk.first, size), pa.array(raw), pa.array(score), pa.array(known),
+                    *(batch.column(c).slice(chunk.first, size) for c in range(1 + len(others))), pa.array(raw), pa.array(score), pa.array(known),
                     pa.array(evidence, pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])))],
-                    names=["id", "raw", "score", "known", "evidence"])
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "id long, raw double, score double, known boolean, evidence array<struct<id: long, cosine: double, label: int>>")
+                    names=["id", *others, "raw", "score", "known", "evidence"])
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), *(F.col(f"`{c}`") for c in others), F.col(f"`{text_col}`").cast("string").alias("scored text"))
+    fields = ", ".join(f"`{c}` {t}" for c, t in slim.dtypes[:-1])
+    return slim.mapInArrow(run, f"{fields}, raw double, score double, known boolean, evidence array<struct<id: long, cosine: double, label: int>>")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options: int) -> DataFrame:
