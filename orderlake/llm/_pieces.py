@@ -10,19 +10,22 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import compress
+from operator import not_
 
 import pyarrow as pa
 
-GENERATION = 250_000
+GENERATION = 400_000
 REMEMBERED_CHARS = 64
 TEXT_RUN = 1 << 20
-_LONG_SPACE = re.compile(r"\s{3}|\s\s\Z|\x1e")
 _CUTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+_RUNS = ("  ", "\n\n", " \n", "\n ")
+_CONTROLS = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_pieces(text: str) -> list[str]:
-    if _LONG_SPACE.search(text):
+    if any(x in text for x in _RUNS) or any(x in text for x in _CONTROLS) or (not text.isascii() and any(x in text for x in _WIDE)):
         return _CUTS.split(text)
     return text.replace(" ", "\x1e ").replace("\n", "\x1e\n\x1e").split("\x1e")
 
@@ -41,17 +44,43 @@ class Remembered:
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
+    def learn(self, pieces: set[str]) -> None:
+        """Look up or encode pieces that the newer generation lacks. A comma or full stop after a letter is a pre-token of its own, so such
+        a piece is its rest and that."""
+        pieces.discard("")
+        old, new = self.old, self.new
+        rest: dict[str, str] = {}
+        fresh = set()
+        for piece in pieces:
+            if piece in old:
+                new[piece] = old[piece]
+            elif len(piece) > 1 and piece[-1] in ",." and piece[-2].isalpha() and not (self.added and self.added.search(piece)):
+                stem = piece[:-1]
+                rest[piece] = stem
+                for x in (stem, piece[-1]):
+                    if x in old:
+                        new[x] = old[x]
+                    elif x not in new:
+                        fresh.add(x)
+            else:
+                fresh.add(piece)
+        todo = list(fresh)
+        new.update(zip(todo, self.encode(todo)))
+        new.update((piece, new[stem] + new[piece[-1]]) for piece, stem in rest.items())
+
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [[t] if self.added and self.added.search(t) else self.cut(t) for t in texts]
-        wanted = set(chain.from_iterable(cut))
-        wanted.difference_update(self.new)
-        older = wanted.intersection(self.old)
-        self.new.update((p, self.old[p]) for p in older)
-        fresh = list(wanted.difference(older))
-        self.new.update(zip(fresh, self.encode(fresh)))
-        look = self.new.__getitem__
-        out = [b"".join(map(look, pieces)) for pieces in cut]
-        for piece in fresh:
+        found = [list(map(self.new.get, pieces)) for pieces in cut]
+        unknown: set[str] = set()
+        for pieces, values in zip(cut, found):
+            unknown.update(compress(pieces, map(not_, values)))
+        self.learn(unknown)
+        look = self.new
+        for pieces, values in zip(cut, found):
+            for i in compress(range(len(values)), map(not_, values)):
+                values[i] = look[pieces[i]]
+        out = [b"".join(values) for values in found]
+        for piece in unknown:
             if len(piece) > REMEMBERED_CHARS:
                 del self.new[piece]
         if len(self.new) > GENERATION:

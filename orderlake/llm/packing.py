@@ -67,14 +67,26 @@ def write_packed(docs: DataFrame, path: str, tokenizer: str, kind: str = "word",
     slim.mapInArrow(_pieces(tokenizer, kind, end_id, longest), SCHEMA).write.partitionBy("length").option("compression", "zstd").parquet(path)
 
 
-def read_packed(spark: SparkSession, path: str) -> DataFrame:
-    """``id, start, length, doc_tokens, sequence_id, offset, ids``: sequences are numbered from 0 without gaps, longest bucket first."""
-    files = spark.read.schema(SCHEMA).parquet(path)
+def packed_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files as written: ``id, start, doc_tokens, part, place, ids, length``."""
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
+def with_sequences(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Replace ``part`` and ``place`` of rows of ``files`` by ``sequence_id`` and ``offset``: sequences are numbered from 0 without gaps, longest
+    bucket first."""
     sizes = files.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
     buckets = sizes.groupBy("length").agg(F.sum("n").alias("n")).select("length", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("bucket"))
     bases = sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).join(buckets, "length")
     bases = bases.select("length", "part", (F.col("bucket") + F.col("base")).alias("base"))
-    return files.join(bases, ["length", "part"]).select(
-        "id", "start", F.col("length").cast("long").alias("length"), "doc_tokens", (F.col("base") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "ids")
+    others = [c for c in rows.columns if c not in ("id", "start", "length", "doc_tokens", "part", "place")]
+    return rows.join(bases, ["length", "part"]).select(
+        "id", "start", F.col("length").cast("long").alias("length"), "doc_tokens", (F.col("base") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *others)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """``id, start, length, doc_tokens, sequence_id, offset, ids`` of each piece."""
+    files = packed_files(spark, path)
+    return with_sequences(files, files)

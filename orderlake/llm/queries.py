@@ -68,10 +68,11 @@ def tokenizer_file(name: str) -> str:
 
 @query("op6_token_table")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from orderlake.llm.token_table import ids_crc32, read_token_table, write_token_table
+    from orderlake.llm.token_table import ids_crc32, token_files, with_starts, write_token_table
     path = scratch(spark, "llm-tokens")
     write_token_table(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"), "byte", end_id=0)
-    return ids_crc32(read_token_table(spark, path)).withColumnRenamed("id", "doc_id")
+    files = token_files(spark, path)
+    return with_starts(ids_crc32(files), files).withColumnRenamed("id", "doc_id")
 
 
 @query("op9_bpe")
@@ -82,11 +83,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from orderlake.llm.packing import read_packed, write_packed
+    from orderlake.llm.packing import packed_files, with_sequences, write_packed
     from orderlake.llm.token_table import ids_crc32
     path = scratch(spark, "llm-packed")
     write_packed(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), "word", end_id=2)
-    return ids_crc32(read_packed(spark, path)).withColumnRenamed("id", "doc_id")
+    files = packed_files(spark, path)
+    return with_sequences(ids_crc32(files), files).withColumnRenamed("id", "doc_id")
 
 
 @query("op2_shards")

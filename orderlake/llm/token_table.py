@@ -63,21 +63,28 @@ def write_token_table(docs: DataFrame, path: str, tokenizer: str, kind: str = "b
     ordered.mapInArrow(_encode(tokenizer, kind, end_id), SCHEMA).write.options(**layout(**options)).parquet(path)
 
 
-def read_token_table(spark: SparkSession, path: str, first_id: int | None = None, last_id: int | None = None) -> DataFrame:
-    """``id, start, n_tokens, ids`` with ``start`` = ids of all documents before it; a range of ids reads only their pages.
+def token_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files as written: ``id, part, local_start, n_tokens, ids``."""
+    return spark.read.schema(SCHEMA).parquet(path)
 
-    Columns that the caller leaves out aren't read.
-    """
-    files = spark.read.schema(SCHEMA).parquet(path)
+
+def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Replace ``part`` and ``local_start`` of rows of ``files`` by ``start`` = ids of all documents before it."""
     sizes = files.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    rows = files
+    others = [c for c in rows.columns if c not in ("id", "part", "local_start")]
+    return rows.join(bases, "part").select("id", (F.col("base") + F.col("local_start")).alias("start"), *others)
+
+
+def read_token_table(spark: SparkSession, path: str, first_id: int | None = None, last_id: int | None = None) -> DataFrame:
+    """``id, start, n_tokens, ids``; a range of ids reads only their pages, and columns that the caller leaves out aren't read."""
+    rows = files = token_files(spark, path)
     if first_id is not None:
         rows = rows.where(F.col("id") >= first_id)
     if last_id is not None:
         rows = rows.where(F.col("id") <= last_id)
-    return rows.join(bases, "part").select("id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids")
+    return with_starts(rows, files)
 
 
 def ids_crc32(df: DataFrame, ids_col: str = "ids") -> DataFrame:
