@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from orderlake.llm._runtime import tuned  # noqa: E402
 from orderlake.llm.line_dedup import dedup_lines  # noqa: E402
 from orderlake.llm.near_dedup import near_duplicates  # noqa: E402
-from orderlake.llm.packing import read_packed, write_packed  # noqa: E402
+from orderlake.llm.packing import packed_files, with_sequences, write_packed  # noqa: E402
 from orderlake.llm.quality_rules import measure, passes  # noqa: E402
 from orderlake.llm.queries import tokenizer_file  # noqa: E402
 from orderlake.llm.token_table import ids_crc32  # noqa: E402
@@ -67,7 +67,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two lengths, each a sequence of its own."""
     path = scratch(spark, "llm-packed")
     write_packed(docs, path, tokenizer_file("word_bpe_49k.json"), "word", end_id=2)
-    return ids_crc32(read_packed(spark, path)).withColumnRenamed("id", "doc_id")
+    files = packed_files(spark, path)
+    return with_sequences(ids_crc32(files), files).withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
