@@ -1,4 +1,6 @@
 from orderlake.functions.columns import (
+    assert_not_negative,
+    FEATURE_COLUMNS,
     CHANNELS,
     CURRENCIES,
     ERASED,
@@ -13,7 +15,6 @@ from orderlake.functions.columns import (
     hash_pii,
     ltv_segment,
     month_offset,
-    non_negative,
     register_sql_functions,
     safe_divide,
     value_tier,
@@ -22,5 +23,5 @@ from orderlake.functions.columns import (
 __all__ = [
     "CHANNELS", "CURRENCIES", "ERASED", "LIVE_STATUSES", "ORDER_STATUSES", "PII_COLUMNS", "cents_to_dollars",
     "churn_recommendation", "churn_score", "churn_tier", "day_name", "hash_pii", "ltv_segment", "month_offset",
-    "non_negative", "register_sql_functions", "safe_divide", "value_tier",
+    "assert_not_negative", "FEATURE_COLUMNS", "register_sql_functions", "safe_divide", "value_tier",
 ]

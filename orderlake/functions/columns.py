@@ -30,6 +30,10 @@ RECOMMENDATIONS = {
         "low": "No action needed — review at next 30-day cycle.",
     },
 }
+FEATURE_COLUMNS = [
+    "total_orders", "avg_order_value_cents", "lifetime_value_cents", "refund_count", "active_months",
+    "customer_age_days", "days_since_last_order", "refund_rate", "avg_monthly_spend",
+]
 # End of fixed values.
 
 
@@ -54,7 +58,7 @@ def cents_to_dollars(cents: Column | str) -> Column:
     return F.round(as_col(cents) / F.lit(100.0), 2)
 
 
-def non_negative(value: Column | str) -> Column:
+def assert_not_negative(value: Column | str) -> Column:
     """Negative becomes NULL; the quality suite reports it separately."""
     value = as_col(value)
     return F.when(value >= 0, value)
@@ -113,4 +117,4 @@ def register_sql_functions(spark: SparkSession) -> None:
     """Make the three arithmetic helpers available to SQL users."""
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION safe_divide(n DOUBLE, d DOUBLE) RETURNS DOUBLE RETURN try_divide(n, d)")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION cents_to_dollars(c BIGINT) RETURNS DOUBLE RETURN round(c / 100.0D, 2)")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION non_negative(v BIGINT) RETURNS BIGINT RETURN CASE WHEN v >= 0 THEN v END")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION assert_not_negative(v BIGINT) RETURNS BIGINT RETURN CASE WHEN v >= 0 THEN v END")

@@ -7,12 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions import ERASED, churn_score, ltv_segment, safe_divide
-
-FEATURE_COLUMNS = [
-    "total_orders", "avg_order_value_cents", "lifetime_value_cents", "refund_count", "active_months",
-    "customer_age_days", "days_since_last_order", "refund_rate", "avg_monthly_spend",
-]
+from orderlake.functions import ERASED, FEATURE_COLUMNS, churn_score, ltv_segment, safe_divide
 
 
 def _active_months(year_aware: bool) -> Column:

@@ -6,13 +6,14 @@ Every helper reduces on the map side first, and then works on rows whose number
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.pandas.types import to_arrow_type
 
 SLICE = "_slice"
 
@@ -28,77 +29,32 @@ def computed_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) ->
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Row with the greatest ``order`` tuple per key.
+    """Row with the greatest ``order`` tuple per key; NULL sorts lowest.
 
-    ``max_by`` has a partial (map-side) form, unlike a ``row_number`` filter, so repeated keys collapse before the shuffle.
-    NULL sorts lowest.
+    A first-row filter over a window has a group limit on both sides of its one shuffle, so a key's rows collapse before it.
     """
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    newest = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
+    return df.withColumn("_newest", F.row_number().over(newest)).where("_newest = 1").drop("_newest")
 
 
 def map_groups(df: DataFrame, keys: list[str], order: list[str], schema: str,
                fn: Callable[[tuple, dict[str, np.ndarray]], dict[str, np.ndarray] | None]) -> DataFrame:
     """``fn(key, columns)`` for every group, its rows in ``order``; the result has the keys followed by ``schema``.
 
-    Spark shuffles and sorts; the task walks the sorted rows and hands over one group at a time as arrays, so many small groups
-    cost little each. The partition count is explicit because Python work is costly even where its bytes are few. Groups must be
-    bounded: callers key them by time slice or reduce them first.
+    NULL is a key like any other. Groups must be bounded: callers key them by time slice or reduce them first.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = df.sparkSession.createDataFrame([], schema).schema
+    types = [(f.name, to_arrow_type(f.dataType)) for f in fields]
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    names = [part.split()[0] for part in _split_fields(schema)]
-
-    def results(frames: list[pd.DataFrame], bounds: list[tuple[int, int]]) -> Iterator[pd.DataFrame]:
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        columns = {c: pdf[c].to_numpy() for c in pdf.columns}
-        done: dict[str, list] = {n: [] for n in [*keys, *names]}
-        for lo, hi in bounds or [(0, len(pdf))]:
-            key = tuple(columns[k][lo] for k in keys)
-            out = fn(key, {c: v[lo:hi] for c, v in columns.items()})
-            if out is None:
-                continue
-            size = len(out[names[0]])
-            for k, v in zip(keys, key):
-                done[k].extend([v] * size)
-            for n in names:
-                done[n].extend(out[n])
-        if done[names[0]]:
-            yield pd.DataFrame(done)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_group: list[pd.DataFrame] = []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if open_group and any(open_group[-1][k].iloc[-1] != pdf[k].iloc[0] for k in keys):
-                yield from results(open_group, [])
-                open_group = []
-            change = np.zeros(len(pdf) - 1, dtype=bool)
-            for k in keys:
-                values = pdf[k].to_numpy()
-                change |= values[1:] != values[:-1]
-            starts = [0, *(np.flatnonzero(change) + 1).tolist(), len(pdf)]
-            if len(starts) == 2:
-                open_group.append(pdf)
-                continue
-            if open_group:
-                yield from results([*open_group, pdf.iloc[:starts[1]]], [])
-                starts = starts[1:]
-            whole = list(zip(starts[:-2], starts[1:-1]))
-            if whole:
-                yield from results([pdf], whole)
-            open_group = [pdf.iloc[starts[-2]:]]
-        if open_group:
-            yield from results(open_group, [])
-
-    sorted_rows = df.repartition(partitions, *keys).sortWithinPartitions(*keys, *order)
-    return sorted_rows.mapInPandas(run, f"{key_schema}, {schema}")
-
-
-def _split_fields(schema: str) -> list[str]:
-    return [f.strip() for f in schema.split(",")]
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in order]).combine_chunks()
+        key = tuple(group.column(k)[0].as_py() for k in keys)
+        out = fn(key, {c: group.column(c).to_numpy() for c in group.column_names}) or {n: [] for n, _ in types}
+        first = pa.array(np.zeros(len(out[types[0][0]]), np.int64))
+        return pa.table({**{k: group.column(k).take(first) for k in keys}, **{n: pa.array(out[n], t) for n, t in types}})
+
+    return df.groupBy(*keys).applyInArrow(run, f"{key_schema}, {schema}")
 
 
 def time_slice(ts: Column, seconds: int) -> Column:

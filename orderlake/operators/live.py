@@ -241,23 +241,33 @@ def cooldown_alerts(candidates: DataFrame, key: str, ts: str, seconds: int, incl
 
 def churn_alerts(scored: DataFrame, threshold: float = CHURN_ALERT_SCORE, cooldown_seconds: int = 120, inclusive: bool = False,
                  faithful: bool = False) -> DataFrame:
-    """Alert rows for users whose unrounded score reaches the threshold, at most one per user prefix and cooldown."""
+    """Alert rows for users whose unrounded score reaches the threshold, at most one per user and cooldown; the shown prefix isn't the key."""
     candidates = scored.filter(state_score(faithful) >= threshold).select(
-        F.substring("user_id_hash", 1, 16).alias("user_prefix"), F.round("churn_score", 3).alias("churn_score"),
+        "user_id_hash", F.substring("user_id_hash", 1, 16).alias("user_prefix"), F.round("churn_score", 3).alias("churn_score"),
         F.col("order_count").alias("orders"), dollars_text("total_spend").alias("total_spend"),
         F.lit("Send win-back offer — 20% discount").alias("recommendation"), F.col("occurred_at").alias("ts"), "event_id")
-    return cooldown_alerts(candidates, "user_prefix", "ts", cooldown_seconds, inclusive, tie=["event_id"]).drop("event_id")
+    return cooldown_alerts(candidates, "user_id_hash", "ts", cooldown_seconds, inclusive, tie=["event_id"]).drop("event_id", "user_id_hash")
 
 
 # --- smoothing ------------------------------------------------------------------------------------------------------------
 
-_STATE_BOUND = 2 ** 53
-_RAW_BELOW = 400
+_STATE_BOUND = 2 ** 40
+_RUN = 400
 
 
-def _smooth(state, x: int):
-    """One step in hundredths of a millisecond: round(0.9 * state + 0.1 * x, 2), halves up."""
-    return 10 * x + (9 * state + 5) // 10
+def _smooth(state: int, micros: int) -> int:
+    """One step in hundredths of a millisecond of the recurrence in floating point, rounded to two decimals; monotone in the state."""
+    return round(round(0.9 * (state / 100) + 0.1 * (micros / 1000), 2) * 100)
+
+
+def _least_state(output: int, micros: int) -> int:
+    """The least state that a step takes to ``output`` or more; rounding puts it near the exact quotient."""
+    state = (100 * output - 50 - micros) // 90 - 1
+    while _smooth(state, micros) >= output:
+        state -= 1
+    while _smooth(state, micros) < output:
+        state += 1
+    return state
 
 
 def _smoothing_map(values: list[int]) -> tuple[list[int], list[int]]:
@@ -268,36 +278,39 @@ def _smoothing_map(values: list[int]) -> tuple[list[int], list[int]]:
     outputs = list(range(low, high + 1))
     needed = outputs[1:]
     for x in reversed(values):
-        needed = [-((5 - 10 * (v - 10 * x)) // 9) for v in needed]
+        needed = [_least_state(v, x) for v in needed]
     return needed, outputs
 
 
-def latency_ewma(latencies: DataFrame, key: str, ts: str, latency_ms: str, tie: str, slice_seconds: int = 86_400) -> DataFrame:
+def latency_ewma(latencies: DataFrame, key: str, ts: str, latency_ms: str, tie: str, slice_seconds: int = 3_600) -> DataFrame:
     """Final smoothed latency per key: each value moves the state to 0.9 * state + 0.1 * value, rounded to two decimals.
 
-    Runs of values are condensed per (key, time slice) in parallel, and the small maps are applied in order per key. Time
-    slices bound what one task sees, and the number of maps per key is bounded by the calendar.
+    Latencies count to the microsecond. Runs of values are condensed per (key, time slice) in parallel, and the small maps are applied in
+    order per key; a run too short to have a small map stays as its values, at most ``_RUN`` of them. Time slices bound what one task sees,
+    and the number of maps per key is bounded by the calendar. Null latencies count as no event.
     """
-    rows = latencies.select(F.col(key).alias("k"), F.unix_micros(ts).alias("t"), F.col(tie).alias("e"),
-                            F.col(latency_ms).cast("bigint").alias("x"), time_slice(F.col(ts), slice_seconds).alias("b"))
+    rows = latencies.where(F.col(latency_ms).isNotNull()).select(
+        F.col(key).alias("k"), F.unix_micros(ts).alias("t"), F.col(tie).alias("e"),
+        F.round(F.col(latency_ms) * F.lit(1000)).cast("bigint").alias("x"), time_slice(F.col(ts), slice_seconds).alias("b"))
+    rows = rows.withColumn("x", F.when(F.abs("x") < 10 * _STATE_BOUND, F.col("x")).otherwise(F.raise_error(F.lit("latency out of range")).cast("bigint")))
 
     def condense(key: tuple, columns: dict) -> dict:
         values = [int(x) for x in columns["x"]]
-        raw = len(values) < _RAW_BELOW
-        needed, outputs = ([], values) if raw else _smoothing_map(values)
-        return {"n": [len(values)], "raw": [raw], "needed": [needed], "outputs": [outputs]}
+        short = len(values) < _RUN
+        needed, outputs = ([], values) if short else _smoothing_map(values)
+        return {"n": [len(values)], "short": [short], "needed": [needed], "outputs": [outputs]}
 
     def apply(key: tuple, columns: dict) -> dict:
         state = 0
-        for raw, needed, outputs in zip(columns["raw"], columns["needed"], columns["outputs"]):
-            if raw:
+        for short, needed, outputs in zip(columns["short"], columns["needed"], columns["outputs"]):
+            if short:
                 for x in outputs:
                     state = _smooth(state, int(x))
             else:
                 state = int(outputs[int(np.searchsorted(np.asarray(needed), state, side="right"))])
         return {"events": [int(columns["n"].sum())], "h": [state]}
 
-    maps = map_groups(rows, ["k", "b"], ["t", "e"], "n bigint, raw boolean, needed array<bigint>, outputs array<bigint>", condense)
+    maps = map_groups(rows, ["k", "b"], ["t", "e"], "n bigint, short boolean, needed array<bigint>, outputs array<bigint>", condense)
     done = map_groups(maps, ["k"], ["b"], "events bigint, h bigint", apply)
     return done.select(F.col("k").alias(key), "events", (F.col("h") / F.lit(100.0)).alias("latency_ms"))
 
@@ -328,7 +341,9 @@ def newest(rows: DataFrame, n: int, ts: str, tie: str) -> DataFrame:
 
 
 def live_orders(orders: DataFrame, n: int = 50) -> DataFrame:
-    return newest(orders.drop(*[c for c in orders.columns if c.startswith("_")]), min(n, 200), "occurred_at", "event_id")
+    if not 1 <= n <= 200:
+        raise ValueError("n must be between 1 and 200")
+    return newest(orders.drop(*[c for c in orders.columns if c.startswith("_")]), n, "occurred_at", "event_id")
 
 
 def ring_trim(orders: DataFrame, keep: int = 10_000) -> DataFrame:

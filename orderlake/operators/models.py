@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.operators.features import FEATURE_COLUMNS
+from orderlake.functions import FEATURE_COLUMNS
 from orderlake.operators.keyed import map_groups, ranks, running_sums
 
 LEAKY = ["days_since_last_order"]
@@ -99,6 +99,15 @@ def train_churn(features: DataFrame, trees: int = 200, folds: int = 5, exclude_l
         rows.unpersist()
 
 
+def fit_churn(features: DataFrame, path: str, trees: int = 200, exclude_leaky: bool = False) -> None:
+    """Fit on all rows and save the model, for other jobs to score with."""
+    _estimator(model_features(exclude_leaky), trees).fit(training_rows(features, 1)).write().overwrite().save(path)
+
+
+def load_churn(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score_churn(model: PipelineModel, features: DataFrame) -> DataFrame:
     rows = features.select("user_id_hash", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURE_COLUMNS])
     return model.transform(rows).select("user_id_hash", vector_to_array("probability")[1].alias("churn_probability"))
@@ -118,15 +127,20 @@ def _seasonal(days: np.ndarray, origin: int, span: float) -> np.ndarray:
 def forecast_demand(daily: DataFrame, keys: list[str], horizon: int = 30) -> DataFrame:
     """Fitted and future demand per series: yhat with an 80 % band, clipped at zero, one decimal.
 
-    ``daily`` has one row per (series, day), so a group is bounded by the calendar whatever the number of orders. Series with
-    fewer than 14 days are left out.
+    ``daily`` has one row per (series, day), so a group is bounded by the calendar whatever the number of orders. Days between the first and
+    the last without a row count as no demand. A series with fewer than 14 rows isn't fitted: its own days come back with ``status``
+    ``too_short`` and no values; all others are ``ok``. A NULL key is a series like any other.
     """
 
     def fit(key: tuple, columns: dict) -> dict | None:
-        days = np.array(columns["ds"], dtype="datetime64[D]").astype("int64")
-        if len(days) < MIN_POINTS:
-            return None
-        y = columns["y"].astype(float)
+        seen = np.array(columns["ds"], dtype="datetime64[D]").astype("int64")
+        if len(seen) < MIN_POINTS:
+            none = [None] * len(seen)
+            return {"ds": seen.astype("datetime64[D]").astype(object), "yhat": none, "yhat_lower": none, "yhat_upper": none, "is_future": [False] * len(seen),
+                    "status": ["too_short"] * len(seen)}
+        days = np.arange(seen[0], seen[-1] + 1)
+        y = np.zeros(len(days))
+        np.add.at(y, seen - seen[0], columns["y"].astype(float))
         span = max(1.0, float(days[-1] - days[0]))
         x = _seasonal(days.astype(float), int(days[0]), span)
         penalty = np.diag([1e-9, 1e-9, *[1.0] * 8, *[0.1] * (x.shape[1] - 10)])
@@ -139,7 +153,8 @@ def forecast_demand(daily: DataFrame, keys: list[str], horizon: int = 30) -> Dat
             return np.maximum(0, values).round(1)
 
         return {"ds": ahead.astype("datetime64[D]").astype(object), "yhat": shown(yhat), "yhat_lower": shown(yhat - band),
-                "yhat_upper": shown(yhat + band), "is_future": ahead > days[-1]}
+                "yhat_upper": shown(yhat + band), "is_future": ahead > days[-1],
+                "status": ["ok"] * len(ahead)}
 
     return map_groups(daily.filter(F.col("ds").isNotNull()), keys, ["ds"],
-                      "ds date, yhat double, yhat_lower double, yhat_upper double, is_future boolean", fit)
+                      "ds date, yhat double, yhat_lower double, yhat_upper double, is_future boolean, status string", fit)

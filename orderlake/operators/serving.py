@@ -11,17 +11,16 @@ from pyspark.sql import functions as F
 from orderlake.functions import churn_recommendation, churn_score, churn_tier
 
 ORDER_ID_PATTERNS = {"serving": r"[0-9a-f-]{36}", "app": r"[0-9a-f-]{32,36}"}
-MAX_DIMENSION_ROWS = 10_000
 
 
-def check_limit(limit: int, top: int = 365, clamp: bool = False) -> int:
-    if limit < 1 or (limit > top and not clamp):
+def check_limit(limit: int, top: int = 365) -> int:
+    if not 1 <= limit <= top:
         raise ValueError(f"limit must be between 1 and {top}")
-    return min(limit, top)
+    return limit
 
 
-def daily_revenue_latest(daily: DataFrame, limit: int = 30, clamp: bool = False) -> DataFrame:
-    return serving_daily_row(daily.orderBy(F.col("order_date").desc()).limit(check_limit(limit, clamp=clamp)))
+def daily_revenue_latest(daily: DataFrame, limit: int = 30) -> DataFrame:
+    return serving_daily_row(daily.orderBy(F.col("order_date").desc()).limit(check_limit(limit)))
 
 
 def serving_daily_row(daily: DataFrame) -> DataFrame:
@@ -48,7 +47,7 @@ def orders_list(fact: DataFrame, status: str | None = None) -> DataFrame:
 
 
 def recent_orders(fact: DataFrame, limit: int = 20, status: str | None = None) -> DataFrame:
-    return orders_list(fact, status).orderBy(F.col("created_at").desc(), "order_id").limit(check_limit(limit, 100, clamp=True))
+    return orders_list(fact, status).orderBy(F.col("created_at").desc(), "order_id").limit(check_limit(limit, 100))
 
 
 def since_days(df: DataFrame, as_of: date, days: int, column: str = "order_date") -> DataFrame:
@@ -76,7 +75,7 @@ def low_stock(inventory: DataFrame, status: str | None = None) -> DataFrame:
     return rows.orderBy("days_remaining", "sku", "warehouse")
 
 
-def run_history(runs: DataFrame, limit: int = 30) -> DataFrame:
+def pipeline_history(runs: DataFrame, limit: int = 30) -> DataFrame:
     return runs.groupBy("run_date").agg(
         F.count_if(F.col("status") == "success").alias("success_count"),
         F.count_if(F.col("status") == "failed").alias("failed_count"),
@@ -88,7 +87,7 @@ def latest_run_rows(runs: DataFrame, column: str = "run_date") -> DataFrame:
     return runs.filter(F.col(column) == runs.agg(F.max(column)).scalar())
 
 
-def run_status(runs: DataFrame, checks: DataFrame) -> DataFrame:
+def pipeline_status(runs: DataFrame, checks: DataFrame) -> DataFrame:
     """Tasks of the latest run (by start) followed by the latest quality checks, in one long table."""
     tasks = latest_run_rows(runs).select(
         F.lit("task").alias("section"), F.col("task_name").alias("name"), "status", F.col("duration_s").cast("bigint").alias("duration_s"),
@@ -134,14 +133,6 @@ def score_requests(requests: DataFrame, wording: str = "app") -> DataFrame:
         F.when(ok, churn_recommendation(churn_tier(score), wording)).alias("recommendation"), "error")
 
 
-def inventory_grid(products: DataFrame, warehouses: DataFrame, max_warehouses: int = MAX_DIMENSION_ROWS) -> DataFrame:
-    """Every product in every warehouse. The warehouse list is a dimension of checked size that each product row explodes over."""
-    names = [r[0] for r in warehouses.select("warehouse_id").distinct().limit(max_warehouses + 1).collect()]
-    if len(names) > max_warehouses:
-        raise ValueError(f"more than {max_warehouses} warehouses")
-    return products.select("*", F.explode(F.array(*[F.lit(n) for n in sorted(names)])).alias("warehouse_id"))
-
-
 def order_dimensions(orders: DataFrame, users: DataFrame, warehouses: DataFrame) -> DataFrame:
     """Foreign-key lookups. No broadcast hints: the optimizer broadcasts a side only below its size threshold, and a busy
     user's partition is split at run time otherwise."""

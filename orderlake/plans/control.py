@@ -160,15 +160,16 @@ def training(spark, d):
 
 @query("train_churn")
 def _train(spark, d):
-    """Cross-validated metrics and importances (few trees here; the default is 200)."""
-    return ml.train_churn(training(spark, d), trees=5, folds=3)[1]
+    """Cross-validated metrics and importances: 200 trees, five folds."""
+    return ml.train_churn(training(spark, d))[1]
 
 
 @query("score_churn")
 def _score(spark, d):
-    rows = training(spark, d)
-    model, _ = ml.train_churn(rows, trees=3, folds=2, exclude_leaky=True)
-    return ml.score_churn(model, rows)
+    """Scores of a model that was saved and loaded again."""
+    rows, path = training(spark, d), scratch(spark, "churn-model")
+    ml.fit_churn(rows, path, exclude_leaky=True)
+    return ml.score_churn(ml.load_churn(path), rows)
 
 
 @query("training_folds", """SELECT label, CAST(r % 5 AS INT) AS fold, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY label) AS r FROM

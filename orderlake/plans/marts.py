@@ -69,11 +69,11 @@ query("distinct_activity", "SELECT DISTINCT user_id_hash, CAST(date_trunc('month
 query("order_months", "SELECT user_id_hash, cohort_month, activity_month FROM months")(lambda s, d: gold.order_months(lean_fact(s, d)))
 query("cohort_sizes", "SELECT cohort_month, count(DISTINCT user_id_hash) AS cohort_size FROM first_o GROUP BY 1")(
     lambda s, d: gold.cohort_sizes(lean_fact(s, d)))
-COHORTS = """WITH sizes AS (SELECT cohort_month, count(DISTINCT user_id_hash) AS cohort_size FROM first_o GROUP BY 1),
-    retention AS (SELECT cohort_month, activity_month, date_diff('month', cohort_month, activity_month) AS period_offset,
-        count(DISTINCT user_id_hash) AS retained_users FROM months GROUP BY 1, 2, 3)
-    SELECT CAST(r.cohort_month AS VARCHAR) AS cohort_month, period_offset, CAST(activity_month AS VARCHAR) AS activity_month, cohort_size, retained_users,
-        retained_users / cohort_size::DOUBLE * 100 AS retention_rate_pct FROM retention r JOIN sizes s ON r.cohort_month = s.cohort_month"""
+# From the definition: a user's month is active if they bought in it, and none of their active months is before their cohort's.
+COHORTS = """WITH active AS (SELECT DISTINCT user_id_hash AS u, CAST(date_trunc('month', order_date) AS TIMESTAMP) AS m FROM kept)
+    SELECT CAST(a.m AS VARCHAR) AS cohort_month, date_diff('month', a.m, b.m) AS period_offset, CAST(b.m AS VARCHAR) AS activity_month,
+        max(count(*)) OVER (PARTITION BY a.m) AS cohort_size, count(*) AS retained_users, count(*) / max(count(*)) OVER (PARTITION BY a.m)::DOUBLE * 100 AS retention_rate_pct
+    FROM active a JOIN active b ON a.u = b.u AND b.m >= a.m WHERE NOT EXISTS (SELECT 1 FROM active e WHERE e.u = a.u AND e.m < a.m) GROUP BY a.m, b.m"""
 query("user_cohorts", COHORTS)(lambda s, d: gold.user_cohorts(lean_fact(s, d)))
 
 
@@ -106,7 +106,7 @@ def _macros(spark, d):
     register_sql_functions(spark)
     rows = t.silver_orders(spark, d, dims=False)
     return rows.select("order_id", F.expr("safe_divide(subtotal_cents, total_cents)").alias("ratio"),
-                       F.expr("cents_to_dollars(total_cents)").alias("dollars"), F.expr("non_negative(subtotal_cents)").alias("subtotal"))
+                       F.expr("cents_to_dollars(total_cents)").alias("dollars"), F.expr("assert_not_negative(subtotal_cents)").alias("subtotal"))
 
 
 # --- features and scores
@@ -177,28 +177,25 @@ query("kpi_summary", f"""SELECT CAST(sum(order_count) AS BIGINT) AS total_orders
     sum(gross_revenue_cents) / sum(order_count)::DOUBLE AS weighted_aov_cents FROM daily WHERE order_date >= {AS_OF} - INTERVAL 90 DAY""")(
     lambda s, d: serving.kpi_summary(daily(s, d), t.AS_OF, 90).withColumn("avg_refund_rate_pct", F.round("avg_refund_rate_pct", 6)))
 query("low_stock", "SELECT * FROM inv WHERE status = 'critical'")(lambda s, d: serving.low_stock(t.inventory(s, d), "critical"))
-query("run_history", """SELECT run_date, CAST(count_if(status = 'success') AS BIGINT) AS success_count, CAST(count_if(status = 'failed') AS BIGINT) AS failed_count,
-    CAST(sum(records) AS BIGINT) AS total_records FROM runs GROUP BY 1 ORDER BY 1 DESC LIMIT 30""")(lambda s, d: serving.run_history(t.runs(s, d)))
+query("pipeline_history", """SELECT run_date, CAST(count_if(status = 'success') AS BIGINT) AS success_count, CAST(count_if(status = 'failed') AS BIGINT) AS failed_count,
+    CAST(sum(records) AS BIGINT) AS total_records FROM runs GROUP BY 1 ORDER BY 1 DESC LIMIT 30""")(lambda s, d: serving.pipeline_history(t.runs(s, d)))
 query("latest_run_rows", "SELECT * FROM runs WHERE run_date = (SELECT max(run_date) FROM runs)")(lambda s, d: serving.latest_run_rows(t.runs(s, d)))
 
 
-@query("run_status", """SELECT 'task' AS section, task_name AS name, status, duration_s, records AS rows, CAST(NULL AS BIGINT) AS failed_rows, started_at FROM runs
+@query("pipeline_status", """SELECT 'task' AS section, task_name AS name, status, duration_s, records AS rows, CAST(NULL AS BIGINT) AS failed_rows, started_at FROM runs
     WHERE run_date = (SELECT max(run_date) FROM runs)
     UNION ALL SELECT 'check', task_name, CASE WHEN status = 'success' THEN 'success' ELSE 'failed' END, NULL, records, duration_s, NULL FROM runs
     WHERE run_date = (SELECT max(run_date) FROM runs)""")
-def _run_status(spark, d):
+def _pipeline_status(spark, d):
     r = t.runs(spark, d)
     checks = r.select(F.col("run_date").alias("check_date"), F.col("task_name").alias("check_name"), F.when(F.col("status") == "success", 1).otherwise(0).alias("passed"),
                       F.col("records").alias("rows_checked"), F.col("duration_s").alias("failed_rows"))
-    return serving.run_status(r, checks)
+    return serving.pipeline_status(r, checks)
 
 
 query("table_counts", """SELECT 'orders' AS table_name, count(*) AS row_count FROM orders UNION ALL SELECT 'customer', count(*) FROM customer
     UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'missing', -1""")(
     lambda s, d: serving.table_counts({**{n: t.table(s, d, n) for n in ("orders", "customer", "events")}, "missing": None}))
-query("inventory_grid", "SELECT p_partkey AS product_id, p_brand AS brand, p_type AS category, warehouse_id FROM part, (SELECT DISTINCT 'wh-' || r_regionkey AS warehouse_id FROM region)")(
-    lambda s, d: serving.inventory_grid(t.products(s, d), t.table(s, d, "region").select(F.concat(F.lit("wh-"), F.col("r_regionkey").cast("string")).alias("warehouse_id"))))
-
 
 @query("order_dimensions", """SELECT order_id, s.warehouse_id, r_name AS warehouse_name, country_code, acquisition_channel, total_cents FROM silver s
     LEFT JOIN user_dim u ON s.user_id_hash = u.user_id_hash LEFT JOIN region ON s.warehouse_id = 'wh-' || r_regionkey""")

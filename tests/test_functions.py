@@ -61,13 +61,13 @@ def test_arithmetic_helpers(spark):
     assert one(spark, fn.safe_divide("a", "b"), a=1, b=0) is None
     assert one(spark, fn.safe_divide("a", "b"), a=1, b=4) == 0.25
     assert one(spark, fn.cents_to_dollars("a"), a=1999) == 19.99
-    assert one(spark, fn.non_negative("a"), a=-1) is None
-    assert one(spark, fn.non_negative("a"), a=0) == 0
+    assert one(spark, fn.assert_not_negative("a"), a=-1) is None
+    assert one(spark, fn.assert_not_negative("a"), a=0) == 0
 
 
 def test_sql_functions(spark):
     fn.register_sql_functions(spark)
-    row = spark.sql("SELECT safe_divide(1, 0) a, cents_to_dollars(150) b, non_negative(-3) c").first()
+    row = spark.sql("SELECT safe_divide(1, 0) a, cents_to_dollars(150) b, assert_not_negative(-3) c").first()
     assert (row.a, row.b, row.c) == (None, 1.5, None)
 
 

@@ -51,18 +51,35 @@ def test_dense_hot_key_crosses_blocks_and_groups(spark):
 
 
 def smooth(values):
-    state = 0
+    state = 0.0
     for x in values:
-        state = 10 * x + (9 * state + 5) // 10
-    return state / 100
+        state = round(0.9 * state + 0.1 * (x / 1000), 2)
+    return state
 
 
 @pytest.mark.parametrize("slice_seconds", [60, 600, 10_000_000])
 def test_smoothing_equals_the_loop(spark, slice_seconds):
-    values = [(i * 7919) % 500 for i in range(3000)]
-    df = spark.createDataFrame([("w", i, BASE + timedelta(seconds=i), v) for i, v in enumerate(values)], "w string, e int, ts timestamp, x bigint")
-    row = lv.latency_ewma(df, "w", "ts", "x", "e", slice_seconds).first()
-    assert (row.events, row.latency_ms) == (3000, smooth(values))
+    values = [(i * 7919) % 500_003 for i in range(3000)]
+    rows = [(w, i, BASE + timedelta(seconds=i), v / 1000) for i, v in enumerate(values) for w in ("w", None)] + [("w", 9999, BASE, None)]
+    df = spark.createDataFrame(rows, "w string, e int, ts timestamp, x double")
+    got = {row.w: (row.events, row.latency_ms) for row in lv.latency_ewma(df, "w", "ts", "x", "e", slice_seconds).collect()}
+    assert got == {w: (3000, smooth(values)) for w in ("w", None)}
+
+
+def test_fractions_of_a_millisecond_count(spark):
+    df = spark.createDataFrame([("w", i, BASE + timedelta(seconds=i), 12.7) for i in range(50)], "w string, e int, ts timestamp, x double")
+    state = 0.0
+    for _ in range(50):
+        state = round(0.9 * state + 0.1 * 12.7, 2)
+    assert lv.latency_ewma(df, "w", "ts", "x", "e").first().latency_ms == state
+
+
+def test_users_with_one_prefix_alert_apart(spark):
+    rows = [("p" * 16 + x, BASE, 0.9, 1, 100, f"e{x}") for x in "ab"]
+    df = spark.createDataFrame(rows, "user_id_hash string, occurred_at timestamp, churn_score double, order_count int, total_spend bigint, event_id string")
+    df = df.withColumns({"recency_days": F.lit(100.0), "raw_score": F.lit(0.9)})
+    kept = lv.cooldown_alerts(df, "user_id_hash", "occurred_at", 120, tie=["event_id"])
+    assert kept.count() == 2
 
 
 def orders(spark, rows):
@@ -136,7 +153,9 @@ def test_histogram_top_bucket(spark):
 
 def test_live_orders_hides_internal_columns_and_caps(spark):
     df = orders(spark, [("u", i, 1, "placed", "x") for i in range(250)]).withColumn("_t", F.lit(1))
-    out = lv.live_orders(df, 500)
+    with pytest.raises(ValueError):
+        lv.live_orders(df, 500)
+    out = lv.live_orders(df, 200)
     assert out.count() == 200 and "_t" not in out.columns
     assert out.first().occurred_at == BASE + timedelta(seconds=249)
 

@@ -68,7 +68,7 @@ def test_limits_and_ids(spark):
     for bad in (0, 366):
         with pytest.raises(ValueError):
             serving.daily_revenue_latest(gold.daily_revenue(f), bad)
-    assert serving.daily_revenue_latest(gold.daily_revenue(f), 999, clamp=True).count() == 1
+    assert serving.daily_revenue_latest(gold.daily_revenue(f), 365).count() == 1
     for bad in ("", "a", "' OR 1=1 --", "x" * 36, "../../etc/passwd"):
         with pytest.raises(ValueError):
             serving.order_by_id(f, bad)
@@ -83,14 +83,6 @@ def test_score_requests_report_errors(spark):
     assert all(out[k].error and out[k].churn_probability is None for k in "bcdeg")
 
 
-def test_inventory_grid_checks_its_dimension(spark):
-    p = spark.range(3).withColumnRenamed("id", "product_id")
-    w = spark.range(5).select(F.col("id").cast("string").alias("warehouse_id"))
-    assert serving.inventory_grid(p, w).count() == 15
-    with pytest.raises(ValueError):
-        serving.inventory_grid(p, w, max_warehouses=4)
-
-
 def test_table_counts_mark_missing(spark):
     got = {r.table_name: r.row_count for r in serving.table_counts({"a": spark.range(4), "b": None}).collect()}
     assert got == {"a": 4, "b": -1}
@@ -160,8 +152,19 @@ def test_forecast(spark):
     daily = spark.range(120).selectExpr("'a' k", "date_add(date'2024-01-01', cast(id as int)) ds", "100 + 20 * cast(id % 7 = 0 as int) y").unionByName(
         spark.range(13).selectExpr("'short' k", "date_add(date'2024-01-01', cast(id as int)) ds", "5 y"))
     rows = ml.forecast_demand(daily, ["k"], horizon=14).orderBy("ds").collect()
-    assert len(rows) == 134 and {r.k for r in rows} == {"a"}
+    assert sum(r.k == "a" for r in rows) == 134 and {r.status for r in rows if r.k == "a"} == {"ok"}
+    short = [r for r in rows if r.k == "short"]
+    assert len(short) == 13 and all(r.status == "too_short" and r.yhat is None for r in short)
+    rows = [r for r in rows if r.k == "a"]
     future = [r for r in rows if r.is_future]
     assert len(future) == 14 and all(0 <= r.yhat_lower <= r.yhat <= r.yhat_upper for r in future)
     peaks = [r.yhat for r in future if (r.ds - date(2024, 1, 1)).days % 7 == 0]
     assert min(peaks) > max(r.yhat for r in future if (r.ds - date(2024, 1, 1)).days % 7 != 0)
+
+
+def test_forecast_keeps_null_keys_and_empty_days(spark):
+    daily = spark.range(40).selectExpr("cast(null as bigint) k", "date_add(date'2024-01-01', cast(2 * id as int)) ds", "4 y").unionByName(
+        spark.range(40).selectExpr("7L k", "date_add(date'2024-01-01', cast(id as int)) ds", "4 y"))
+    rows = ml.forecast_demand(daily, ["k"], horizon=5).collect()
+    assert {k: sum(r.k == k for r in rows) for k in (None, 7)} == {None: 79 + 5, 7: 45}
+    assert sum(r.yhat for r in rows if r.k is None and not r.is_future) < 0.6 * 79 * 4
