@@ -127,7 +127,7 @@ class Index:
         best_at, best = np.zeros(0, np.int64), np.zeros(0)
         pairs = list(zip(term.tolist(), weight.tolist()))
         for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1] - 1e-12):
+            if bounds[b] <= 0 or (len(best) == k and bounds[b] <= best[-1] + 1e-12):
                 break
             scores = np.zeros(BLOCK)
             for t, q in pairs:
