@@ -60,8 +60,8 @@ def erasure_audit(requests: DataFrame, silver: DataFrame, gold: DataFrame, parti
         F.struct(known("gold_rows").alias("deleted_rows")).alias("gold"), F.lit(run_id).alias("dag_run_id"))
 
 
-def write_audit(audit: DataFrame, path: str) -> None:
-    append_jsonl(audit, path)
+def write_audit(audit: DataFrame, path: str, run_id: str) -> None:
+    append_jsonl(audit, path, run_id)
 
 
 def expire_partitions(rows: DataFrame, as_of: date, keep_days: int, column: str = "run_date") -> DataFrame:
@@ -96,8 +96,11 @@ def backfill(spark: SparkSession, bronze_root: str, silver_path: str, start: dat
     return transform_metrics(checked, ["run_date"])
 
 
-def backfill_totals(metrics: DataFrame, dates_attempted: int) -> DataFrame:
-    return metrics.agg(
-        F.lit(dates_attempted).cast("bigint").alias("dates_attempted"),
-        F.count_if(F.col("processed") == 0).alias("dates_failed"),
+def backfill_totals(metrics: DataFrame, start: date, end: date) -> DataFrame:
+    """Totals over every date that was asked for. A date without a processed row, absent or unreadable, has failed."""
+    check_range(start, end)
+    days = metrics.sparkSession.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("run_date"))
+    return days.join(metrics, "run_date", "left").agg(
+        F.count(F.lit(1)).alias("dates_attempted"),
+        F.count_if(F.coalesce("processed", F.lit(0)) == 0).alias("dates_failed"),
         F.coalesce(F.sum("processed"), F.lit(0)).alias("total_processed"), F.coalesce(F.sum("valid"), F.lit(0)).alias("total_valid"))

@@ -142,10 +142,14 @@ def volume_anomaly(fact: DataFrame, as_of: date, threshold_pct: float = 30.0) ->
 
 
 def pii_scan(tables: dict[str, DataFrame]) -> DataFrame:
-    """Columns named like personal data; schemas only, no data is read."""
+    """Columns named like personal data, and in how many rows they are filled; only those columns are read."""
     spark = next(iter(tables.values())).sparkSession
-    found = [(t, c) for t, df in tables.items() for c in df.columns if c.lower() in PII_COLUMNS]
-    return spark.createDataFrame(found, "table_name string, column_name string")
+    found = spark.createDataFrame([], "table_name string, column_name string, filled bigint, row_count bigint")
+    for name, df in tables.items():
+        for c in df.columns:
+            if c.lower() in PII_COLUMNS:
+                found = found.union(df.agg(F.count(f"`{c}`").alias("filled"), F.count(F.lit(1)).alias("n")).select(F.lit(name), F.lit(c), "filled", "n"))
+    return found
 
 
 def agg_reconciles(fact: DataFrame, daily: DataFrame) -> DataFrame:

@@ -106,10 +106,12 @@ def _fanout(spark, d):
 @query("write_bronze_partitioned", """SELECT CAST(date_part('year', ts) AS INT) AS year, CAST(date_part('month', ts) AS INT) AS month, CAST(date_part('day', ts) AS INT) AS day,
     CAST(date_part('hour', ts) AS INT) AS hour, count(*) AS n FROM events GROUP BY 1, 2, 3, 4""")
 def _write_bronze(spark, d):
-    """Events laid out by the hour of their own time."""
+    """Events laid out by the hour of their own time, by two runs, one of them written twice."""
     path = scratch(spark, "hourly")
     rows = t.live_orders(spark, d).select("event_id", "order_id", F.unix_millis("occurred_at").alias("ts_ms"))
-    sinks.write_bronze_partitioned(rows, path)
+    late = F.col("event_id").cast("bigint") % 2 == 1
+    for run, part in (("a", ~late), ("b", late), ("b", late)):
+        sinks.write_bronze_partitioned(rows.filter(part), path, run)
     return spark.read.parquet(path).groupBy(*[F.col(c).cast("int").alias(c) for c in sinks.HOUR]).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -202,9 +204,9 @@ def _append_jsonl(spark, d):
     path = scratch(spark, "log")
     rows = t.silver_orders(spark, d, dims=False).select("order_id", "total_cents")
     odd = F.col("order_id").cast("bigint") % 2 == 1
-    sinks.append_jsonl(rows.filter(odd), path)
-    sinks.append_jsonl(rows.filter(~odd), path)
-    return spark.read.schema(rows.schema).json(path)
+    for run, part in (("a", odd), ("b", ~odd), ("b", ~odd)):
+        sinks.append_jsonl(rows.filter(part), path, run)
+    return spark.read.schema(rows.schema).json(path).select("order_id", "total_cents")
 
 
 query("write_keyed_json", """SELECT order_id AS key, '{"order_id":"' || order_id || '","status":"' || status || '","total_cents":' || total_cents || '}' AS value FROM silver""")(

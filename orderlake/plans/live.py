@@ -203,8 +203,7 @@ def _stream_store(spark, d):
     t.live_orders(spark, d).repartitionByRange(3, "occurred_at").write.parquet(path)
     stream = lv.valid_live(sl.read_live(spark, path, LIVE_ORDER, per_trigger=1)).select("order_id", "occurred_at")
     sl.run_batches(stream, sl.recent_store(store, 1000), scratch(spark, "ckpt"))
-    versions = spark.read.parquet(store)
-    return versions.filter(F.col("version") == versions.agg(F.max("version")).scalar()).select("order_id", "occurred_at")
+    return sl.read_recent_store(spark, store).select("order_id", "occurred_at")
 
 
 @query("stream_to_silver", "SELECT order_id, user_id_hash, status, total_cents, ts_ms AS cdc_ts_ms FROM latest")

@@ -1,4 +1,4 @@
-"""Writers. All are idempotent per partition or per key, so a retried job leaves the same table."""
+"""Writers. All are idempotent per partition, key or run, so a retried job leaves the same table."""
 
 from __future__ import annotations
 
@@ -19,10 +19,11 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def write_bronze_partitioned(changes: DataFrame, path: str, ts_ms: str = "ts_ms") -> None:
-    """Snappy Parquet by UTC hour of the record's own time."""
-    rows = changes.select("*", *record_time(F.col(ts_ms)))
-    rows.hint("rebalance", *HOUR).write.mode("append").option("compression", "snappy").partitionBy(*HOUR).parquet(path)
+def write_bronze_partitioned(changes: DataFrame, path: str, run_id: str, ts_ms: str = "ts_ms") -> None:
+    """Snappy Parquet by UTC hour of the record's own time, under the run's id: a run that is written again replaces itself only."""
+    rows = changes.select("*", *record_time(F.col(ts_ms)), F.lit(run_id).alias("run_id"))
+    by = [*HOUR, "run_id"]
+    rows.hint("rebalance", *HOUR).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*by).parquet(path)
 
 
 def write_silver_orders(orders: DataFrame, path: str) -> None:
@@ -45,8 +46,9 @@ def write_clustered_fact(fact: DataFrame, path: str, files: int) -> None:
     cluster_fact(fact, files).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def append_jsonl(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").option("timestampFormat", JSON_TIME).json(path)
+def append_jsonl(rows: DataFrame, path: str, run_id: str) -> None:
+    """Add a run's lines in its own folder; the same run written again replaces them."""
+    rows.write.mode("overwrite").option("timestampFormat", JSON_TIME).json(f"{path}/run_id={run_id}")
 
 
 def keyed_json(rows: DataFrame, key: str) -> DataFrame:

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from orderlake.functions.columns import dollars_text
@@ -188,15 +189,28 @@ def run_batches(stream: DataFrame, each, checkpoint: str, interval: str | None =
 
 
 def recent_store(path: str, keep: int = 10_000):
-    """Batch function keeping the newest ``keep`` orders. Every batch writes its own version, so a repeated batch is harmless."""
+    """Batch function keeping the newest ``keep`` orders; the first arrival of an order stays.
+
+    Batches take turns with two slots: each reads the other slot and replaces its own, so a repeated batch is harmless and the store doesn't grow.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
+        spark = batch.sparkSession
+        arrived = Window.partitionBy("order_id").orderBy("occurred_at", F.xxhash64(*batch.columns))
+        first = batch.withColumn("_place", F.row_number().over(arrived)).where("_place = 1").drop("_place")
         if batch_id > 0:
-            rows = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/version={batch_id - 1}").unionByName(batch)
-        ring_trim(rows.dropDuplicates(["order_id"]), keep).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+            held = spark.read.schema(batch.schema).parquet(f"{path}/slot={(batch_id - 1) % 2}")
+            rows = held.unionByName(first.join(held.select("order_id"), "order_id", "left_anti"))
+        else:
+            rows = first
+        ring_trim(rows, keep).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
     return each
 
 
+def read_recent_store(spark: SparkSession, path: str) -> DataFrame:
+    slots = spark.read.parquet(path)
+    return slots.filter(F.col("batch_id") == slots.agg(F.max("batch_id")).scalar()).drop("batch_id", "slot")
+
+
 def silver_sink(silver_path: str, dead_letter_path: str, salt: str):
     """Batch function for change lines: valid rows and rejects, each under the batch id (replacing a repeated batch)."""
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -139,9 +139,9 @@ def test_audit_is_written_for_every_request(spark, tmp_path):
     silver(spark, str(path))
     req = wanted(spark, "u1", "nobody")
     counts = gv.erasure_counts(spark.read.parquet(str(path)), req, "run_date")
-    gv.write_audit(gv.erasure_audit(req, counts, counts, "run_date", F.lit(ts(0)), "run"), str(tmp_path / "audit"))
-    gv.write_audit(gv.erasure_audit(req, counts, counts, "run_date", F.lit(ts(1)), "run2"), str(tmp_path / "audit"))
-    records = [json.loads(x) for p in (tmp_path / "audit").glob("*.json") for x in p.read_text().splitlines()]
+    gv.write_audit(gv.erasure_audit(req, counts, counts, "run_date", F.lit(ts(0)), "run"), str(tmp_path / "audit"), "run")
+    gv.write_audit(gv.erasure_audit(req, counts, counts, "run_date", F.lit(ts(1)), "run2"), str(tmp_path / "audit"), "run2")
+    records = [json.loads(x) for p in (tmp_path / "audit").rglob("*.json") for x in p.read_text().splitlines()]
     assert len(records) == 4
     by = {(r["request_id"], r["dag_run_id"]): r for r in records}
     assert by[("r-u1", "run")]["silver"] == {"affected_files": 2, "affected_rows": 2}

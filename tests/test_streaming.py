@@ -110,7 +110,7 @@ def test_recent_store_keeps_newest(spark, paths, tmp_path):
     for n in range(3):
         put(spark, src, n, [order(n * 10 + i, sec=n * 100 + i) for i in range(10)])
     sl.run_batches(read(spark, src).select("order_id", "occurred_at"), sl.recent_store(str(tmp_path / "store"), 15), ckpt)
-    rows = spark.read.parquet(str(tmp_path / "store" / "version=2")).collect()
+    rows = sl.read_recent_store(spark, str(tmp_path / "store")).collect()
     assert len(rows) == 15 and min(r.occurred_at for r in rows) == BASE + timedelta(seconds=105)
 
 
