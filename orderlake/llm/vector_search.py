@@ -87,8 +87,8 @@ def _hash(tables: int, seed: int, probes: int | None, largest: float, even: bool
                         for (_, i), c in zip(ask, near.tolist()):
                             looks[i].extend(c)
             body = pa.array([v.tobytes() for v in vectors], pa.binary())
-            yield pa.record_batch([batch.column(0), body, pa.array(codes, pa.list_(pa.int64())), pa.array(looks, pa.list_(pa.int64()))],
-                                  names=["rep", "vector", "codes", "looks"])
+            yield pa.record_batch([batch.column(0), batch.column(3), body, pa.array(codes, pa.list_(pa.int64())), pa.array(looks, pa.list_(pa.int64()))],
+                                  names=["rep", "low", "vector", "codes", "looks"])
     return run
 
 
@@ -97,19 +97,24 @@ def _rank(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here: tuple[int, int] | None = None
         reps: list[int] = []
+        lows: list[int] = []
         parts: list[bytes] = []
         block = np.zeros((0, 0))
-        best: dict[int, dict[int, float]] = {}
+        # By query, for each class found: the negated score and the smallest id, which is the order of the result.
+        best: dict[int, dict[int, tuple[float, int]]] = {}
+
+        def shortened(found: dict[int, tuple[float, int]]) -> dict[int, tuple[float, int]]:
+            return dict(sorted(found.items(), key=lambda x: x[1])[:k])
 
         def out() -> pa.RecordBatch:
-            rows = [(q, r, s) for q, found in best.items() for r, s in found.items()]
+            rows = [(q, r, low, -s) for q, found in best.items() for r, (s, low) in shortened(found).items()]
             best.clear()
-            return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
-                                   names=["query", "rep", "score"])
+            return pa.record_batch([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
+                                   names=["query", "rep", "low", "score"])
 
         def ask(queries: list[int], vectors: list[bytes]) -> None:
             q = np.frombuffer(b"".join(vectors)).reshape(len(vectors), -1)
-            ids = np.array(reps)
+            ids, low = np.array(reps), np.array(lows)
             sums = q @ block.T
             for row, query in enumerate(queries):
                 near = sums[row]
@@ -119,24 +124,25 @@ def _rank(k: int):
                 else:
                     chosen = np.arange(len(near))
                 exact = (block[chosen] * q[row]).sum(1)
-                top = np.lexsort((ids[chosen], -exact))[:k]
+                top = np.lexsort((low[chosen], -exact))[:k]
                 found = best.setdefault(query, {})
-                found.update(zip(ids[chosen][top].tolist(), exact[top].tolist()))
+                found.update(zip(ids[chosen][top].tolist(), zip((-exact[top]).tolist(), low[chosen][top].tolist())))
                 if len(found) > 4 * k:
-                    best[query] = dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k])
+                    best[query] = shortened(found)
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(5)]
+            columns = [batch.column(i).to_pylist() for i in range(6)]
             queries: list[int] = []
             vectors: list[bytes] = []
-            for code, part, asks, rep, vector in zip(*columns):
+            for code, part, asks, rep, smallest, vector in zip(*columns):
                 if (code, part) != here:
                     if queries:
                         ask(queries, vectors)
                         queries, vectors = [], []
-                    here, reps, parts, block = (code, part), [], [], np.zeros((0, 0))
+                    here, reps, lows, parts, block = (code, part), [], [], [], np.zeros((0, 0))
                 if not asks:
                     reps.append(rep)
+                    lows.append(smallest)
                     parts.append(vector)
                 elif reps:
                     if not len(block):
@@ -147,8 +153,6 @@ def _rank(k: int):
                 ask(queries, vectors)
             if len(best) > HELD_QUERIES:
                 yield out()
-        for query in best:
-            best[query] = dict(sorted(best[query].items(), key=lambda x: (-x[1], x[0]))[:k])
         yield out()
     return run
 
@@ -181,17 +185,20 @@ def nearest(
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     even = largest - least <= 1e-3 * largest
-    hashed = stored(base.select("rep", "v", "asks").mapInArrow(_hash(tables, seed, probes, largest, even), "rep long, vector binary, codes array<long>, looks array<long>"), "hashed")
+    hashed = stored(base.select("rep", "v", "asks", F.array_min("ids").alias("low")).mapInArrow(_hash(tables, seed, probes, largest, even), "rep long, low long, vector binary, codes array<long>, looks array<long>"), "hashed")
 
     def ranked(rows: DataFrame, looks: DataFrame) -> DataFrame:
         blocks = rows.groupBy("code").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        held = rows.join(blocks, "code").select("code", F.expr("pmod(xxhash64(rep), blocks)").cast("int").alias("block"), F.lit(0).alias("asks"), "rep", "vector")
-        queries = looks.join(blocks, "code").select("code", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "rep", "vector")
+        held = rows.join(blocks, "code").select("code", F.expr("pmod(xxhash64(rep), blocks)").cast("int").alias("block"), F.lit(0).alias("asks"), "rep", "low", "vector")
+        queries = looks.join(blocks, "code").select("code", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "rep", "low", "vector")
         dealt = held.union(queries).repartition("code", "block").sortWithinPartitions("code", "block", "asks")
-        found = dealt.mapInArrow(_rank(k + 1), "query long, rep long, score double")
-        return found.groupBy("query", "rep").agg(F.max("score").alias("score"))
+        found = dealt.mapInArrow(_rank(k + 1), "query long, rep long, low long, score double")
+        # Every class has an id of its own, so the nearest k + 1 ids are among the nearest k + 1 classes.
+        order = Window.partitionBy("query").orderBy(F.desc("score"), "low", "rep")
+        once = found.groupBy("query", "rep", "low").agg(F.max("score").alias("score"))
+        return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1).select("query", "rep", "score")
 
-    found = ranked(hashed.select(F.explode("codes").alias("code"), "rep", "vector"), hashed.select(F.explode("looks").alias("code"), "rep", "vector"))
+    found = ranked(hashed.select(F.explode("codes").alias("code"), "rep", "low", "vector"), hashed.select(F.explode("looks").alias("code"), "rep", "low", "vector"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     named = base.select("rep", "ids")
 
@@ -201,11 +208,11 @@ def nearest(
 
     lists = expand(found)
     enough = lists.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > k)
-    short = hashed.where(F.size("looks") > 0).join(enough.withColumnRenamed("query", "rep"), "rep", "left_anti").select("rep", "vector")
+    short = hashed.where(F.size("looks") > 0).join(enough.withColumnRenamed("query", "rep"), "rep", "left_anti").select("rep", "low", "vector")
     short = stored(short, "short")
     if not short.isEmpty():
         width = F.octet_length("vector").cast("long").alias("code")
-        whole = ranked(hashed.select(width, "rep", "vector"), short.select(width, "rep", "vector"))
+        whole = ranked(hashed.select(width, "rep", "low", "vector"), short.select(width, "rep", "low", "vector"))
         lists = lists.join(short.select(F.col("rep").alias("query")), "query", "left_anti").union(expand(whole))
     own = asked.join(base.select("h1", "h2", F.col("rep").alias("query")), ["h1", "h2"]).select("query", F.col("id").alias("query_id"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
