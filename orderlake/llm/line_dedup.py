@@ -70,13 +70,14 @@ class Sums:
         return mix(self.plain(first, left_out) + rest + (stop - first - 1).astype(np.uint64) * LENGTH)
 
 
-def _occurrences(least: int):
+def _occurrences(exact: int, least: int):
+    """Lines of ``exact`` words or more; those under ``least`` words have no halves, so nothing but an equal line matches them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, byte_powers = Powers(), Powers()
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 w = words(chunk, byte_powers)
-                at = long_lines(chunk, w, least)
+                at = long_lines(chunk, w, exact)
                 if not len(at.row):
                     continue
                 sums = Sums(w, powers)
@@ -90,10 +91,10 @@ def _occurrences(least: int):
                     half = m // 2
                     halves.append(sums.key(at.first, at.first + half, 4 * m + 2))
                     halves.append(sums.key(at.stop - (m - half), at.stop, 4 * m + 3))
-                columns = [line, *halves]
+                short = n[once] < least
                 yield pa.record_batch([
                     batch.column(0).slice(chunk.first, len(chunk.at) - 1).take(pa.array(at.row[once])), pa.array(at.number[once].astype(np.int32)),
-                    *(pa.array(c.view(np.int64)[once]) for c in columns)], names=["doc", "number", "line", "p0", "s0", "p1", "s1"])
+                    pa.array(line.view(np.int64)[once]), *(pa.array(c.view(np.int64)[once], mask=short) for c in halves)], names=["doc", "number", "line", "p0", "s0", "p1", "s1"])
     return run
 
 
@@ -144,15 +145,16 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array([within_one(a, b) for a, b in zip(*split)], pa.bool_())).select(["line", "witness"])
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5, exact_words: int | None = None) -> DataFrame:
     """Distinct lines: ``line`` (hash), ``times`` (documents that hold it), ``doc, number`` of the first occurrence, and ``witness``: the first
     occurrence of the earliest line that matches it up to one word, null if there is none. See ``dedup_lines``."""
     tuned(docs.sparkSession)
+    exact = least_words if exact_words is None else min(exact_words, least_words)
     slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    seen = stored(slim.mapInArrow(_occurrences(least_words), "doc long, number int, line long, p0 long, s0 long, p1 long, s1 long"), "lines")
+    seen = stored(slim.mapInArrow(_occurrences(exact, least_words), "doc long, number int, line long, p0 long, s0 long, p1 long, s1 long"), "lines")
     halves = ["p0", "s0", "p1", "s1"]
     first = stored(seen.groupBy("line").agg(F.count("*").alias("times"), F.min("doc").alias("doc"), F.min_by("number", "doc").alias("number"), *(F.max(h).alias(h) for h in halves)), "first")
-    each = first.select("line", F.explode(F.array_distinct(F.array(*halves))).alias("half"))
+    each = first.select("line", F.explode(F.array_distinct(F.array(*halves))).alias("half")).where("half is not null")
     several = each.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     able = stored(each.join(several, "half").select("line").distinct(), "able")
     listed = first.join(able, "line").groupBy("doc").agg(F.collect_list("number").alias("numbers"))
@@ -204,24 +206,25 @@ def _rebuild(least: int, keep: int):
     return run
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5, exact_words: int | None = None) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, and ``n_lines`` (lines before) and ``n_dropped`` (those taken out).
 
     Lines are parts between line feeds; their words are runs of other characters than white space (0x20, 0x09-0x0D). A line of at least
-    ``least_words`` words goes if an earlier line, in the order of id and line number, has equal words or matches it up to one word: with
-    five words or more, a similarity of at least 0.8. It goes whether the earlier line itself stays or not. Shorter lines always stay, and a
-    text without such a repetition stays as it is, to the character. Null texts stay null with no lines; the empty text is one line. Documents
+    ``least_words`` words goes if an earlier line, in the order of id and line number, has equal words or matches it up to one word. It goes
+    whether the earlier line itself stays or not. Shorter lines stay, unless ``exact_words`` is given: then those of so many words or more go
+    if an earlier line has equal words. A text without such a repetition stays as it is, to the character. Null texts stay null with no lines; the empty text is one line. Documents
     with one id are one for the order, and null ids come last. Columns ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
     kept = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    lines = repeated_lines(docs, id_col, text_col, least_words)
+    lines = repeated_lines(docs, id_col, text_col, least_words, exact_words)
+    exact = least_words if exact_words is None else min(exact_words, least_words)
     slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"))
     repeats = lines.where("times > 1 or witness is not null").select("line", F.when(F.col("witness").isNull(), F.col("doc")).alias("keep_doc"))
     repeats = stored(repeats, "repeats")
-    seen = slim.mapInArrow(_occurrences(least_words), "doc long, number int, line long, p0 long, s0 long, p1 long, s1 long").select("doc", "line")
+    seen = slim.mapInArrow(_occurrences(exact, least_words), "doc long, number int, line long, p0 long, s0 long, p1 long, s1 long").select("doc", "line")
     gone = seen.join(repeats, "line").where("keep_doc is null or doc <> keep_doc").groupBy("doc").agg(F.collect_set("line").alias("gone"))
     plain = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text_col}`").cast("string").alias("text"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("doc of the row"))
     marked = plain.join(gone.hint("merge").withColumnRenamed("doc", "doc of the row"), "doc of the row", "left").select(*(F.col(f"`{c}`") for c in kept), "text", "gone")
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*(F.col(f"`{c}`") for c in kept)).dtypes)
-    result = marked.mapInArrow(_rebuild(least_words, len(kept)), f"{fields}, text string, n_lines long, n_dropped long")
+    result = marked.mapInArrow(_rebuild(exact, len(kept)), f"{fields}, text string, n_lines long, n_dropped long")
     return result.select(*(F.col("text").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")), "n_lines", "n_dropped")

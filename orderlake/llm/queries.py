@@ -183,6 +183,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+# Every line with a word counts for equality; those of five words or more also match up to one word.
+EVERY_LINE_SQL = (
+    LINES_SQL.replace("len(w) >= 5", "len(w) >= 1").replace("cuts AS (", "several AS (SELECT * FROM firsts WHERE len(w) >= 5),\ncuts AS (", 1)
+    .replace("AS p FROM firsts)", "AS p FROM several)").replace("JOIN firsts b", "JOIN several b").replace("FROM firsts a", "FROM several a"))
+
+
+@query("op4_line_dedup_every_line", EVERY_LINE_SQL)
+def op4_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.line_dedup import dedup_lines
+    kept = dedup_lines(table(spark, sf_dir, "documents"), exact_words=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.toxicity import toxicity

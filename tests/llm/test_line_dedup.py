@@ -77,3 +77,11 @@ def test_repeated_rows_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "one two three four five"), (1, "one two three four five"), (2, "one two three four six")], "doc_id long, text string")
     assert sorted((r["doc_id"], r["text"]) for r in dedup_lines(docs).collect()) == [(1, "one two three four five")] * 2 + [(2, "")]
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_short_lines_go_if_equal(spark):
+    rows = [(1, "Les.\nAll rights reserved.\n\na b c d e\na b c d"), (2, " Les. \nall rights reserved.\n\na b c d x\na b c"), (3, "All rights  reserved.\nLes. Les.\nLes.\nLes.\na b c x"), (None, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in dedup_lines(docs, exact_words=1).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("all rights reserved.\n\na b c", 2), 3: ("Les. Les.\na b c x", 3), None: ("", 1)}
+    assert {r["doc_id"]: r["n_dropped"] for r in dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0, None: 0}
