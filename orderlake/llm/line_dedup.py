@@ -210,8 +210,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with repeated lines taken out of the text, and ``n_lines`` (lines before) and ``n_dropped`` (those taken out).
 
     Lines are parts between line feeds; their words are runs of other characters than white space (0x20, 0x09-0x0D). A line of at least
-    ``least_words`` words goes if an earlier line, in the order of id and line number, has equal words or matches it up to one word. It goes
-    whether the earlier line itself stays or not. Shorter lines stay, unless ``exact_words`` is given: then those of so many words or more go
+    ``least_words`` words goes if an earlier line, in the order of id and line number, has equal words or matches it up to one word,
+    however long it is: a similarity of 0.8 at five words, and closer to 1 the longer the line. It goes whether the earlier line itself stays or not. Shorter lines stay, unless ``exact_words`` is given: then those of so many words or more go
     if an earlier line has equal words. A text without such a repetition stays as it is, to the character. Null texts stay null with no lines; the empty text is one line. Documents
     with one id are one for the order, and null ids come last. Columns ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
