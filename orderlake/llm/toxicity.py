@@ -1,7 +1,7 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes, distance-weighted votes, calibration.
+"""Toxicity by nearest labelled examples: TF-IDF cosine over selected terms, by block-max inverted indexes, distance-weighted votes, calibration.
 
 Terms are lower-cased words and their first bytes (5, 6 and 7 of longer words). The vocabulary is the terms whose document frequencies differ
-most between the labels of the examples; inverse document frequencies come from all documents. Examples stand in blocks, and for every
+most between the labels of the examples (thresholds: see ``fit``); inverse document frequencies come from all documents. Examples stand in blocks, and for every
 term each block keeps its postings and its largest weight. A query visits blocks by falling upper bound and stops when no bound beats its
 ``k``-th cosine, so the neighbours are exact. Votes weigh by cosine and by how many labelled rows an example stands for.
 """
@@ -168,11 +168,14 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", k: int = 15,
-        examples_per_label: int = EXAMPLES_PER_LABEL, vocabulary: int = VOCABULARY) -> Model:
+        examples_per_label: int = EXAMPLES_PER_LABEL, vocabulary: int = VOCABULARY, least_documents: int = LEAST_DOCUMENTS, least_g: float = LEAST_G,
+        least_ratio: float = LEAST_RATIO) -> Model:
     """Learn from at most ``examples_per_label`` labelled rows of each label, spread by a hash of the id, none of them held out.
 
     The share of each label comes from all rows that may be learned from. Labels of an id that differ count as the larger one, null labels
-    as none. Ids of the examples are sent to all tasks: ``2 * examples_per_label`` numbers at most.
+    as none. A term is kept if ``least_documents`` examples or more hold it, its G statistic against the label is ``least_g`` or more, and its
+    shares among the labels differ ``least_ratio`` times or more; of these, the ``vocabulary`` terms of the largest G. Cosines are over kept terms
+    only. ``least_documents=1, least_g=0, least_ratio=1`` keeps all; the index holds a number for each term and block of examples. Ids of the examples are sent to all tasks: ``2 * examples_per_label`` numbers at most.
     """
     spark = tuned(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
@@ -210,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     part = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
     g = 2 * (part(a, (a + b) * share) + part(b, (a + b) * (1 - share)))
     ratio = ((a + 0.5) / (ones + 1)) / ((b + 0.5) / (zeros + 1))
-    telling = counted.where(a + b >= LEAST_DOCUMENTS).select("key", g.alias("g"), ratio.alias("ratio")).where((F.col("g") >= LEAST_G) & ((F.col("ratio") >= LEAST_RATIO) | (F.col("ratio") <= 1 / LEAST_RATIO)))
+    telling = counted.where(a + b >= least_documents).select("key", g.alias("g"), ratio.alias("ratio")).where((F.col("g") >= least_g) & ((F.col("ratio") >= least_ratio) | (F.col("ratio") <= 1 / least_ratio)))
     keys = np.sort(np.array([r["key"] for r in telling.orderBy(F.desc("g"), "key").limit(vocabulary).collect()], np.int64).view(np.uint64))
     lexicon = Vocabulary(keys)
 
@@ -297,7 +300,7 @@ def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", te
     return slim.mapInArrow(run, f"{fields}, raw double, score double, known boolean, evidence array<struct<id: long, cosine: double, label: int>>")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options: int) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options: float) -> DataFrame:
     """``id, held_out, score, predicted, evidence`` for each row of ``docs``.
 
     A null or empty text, or one without a term of the vocabulary, gets the share of toxic rows among such labelled rows. Without labels all

@@ -93,3 +93,13 @@ def test_query_on_held_out_rows(spark, folder, least):
     held = [(r["predicted"], y) for r, y in truth if r["held_out"]]
     assert sum(p == y for p, y in held) / len(held) >= least
     assert sum(p > y for p, y in held) / len(held) < 0.01
+
+
+def test_a_rare_insult_is_found_without_thresholds(spark):
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"plain words of row {i}", 0) for i in learned[:-2]] + [(i, "zorgle plain words", 1) for i in learned[-2:]] + [(9003, "zorgle", None)]
+    docs, labels = frames(spark, rows)
+    assert not len(fit(docs, labels).keys)
+    model = fit(docs, labels, least_documents=1, least_g=0, least_ratio=1)
+    (got,) = [r for r in apply(docs, model).collect() if r["id"] == 9003]
+    assert got["known"] and {e["id"] for e in got["evidence"]} == set(learned[-2:])
