@@ -189,6 +189,26 @@ def _stream_sessions(spark, d):
     return run(spark, sl.stream_sessionize(sl.read_live(spark, path, schema))).filter("session_id <> 'sentinel'")
 
 
+@query("stream_missing_session", "SELECT event_id FROM clicks WHERE session_id IS NULL OR CAST(event_id AS BIGINT) % 10 = 0")
+def _stream_missing(spark, d):
+    """Every tenth click comes without a session."""
+    sl.use_rocksdb(spark)
+    path, schema = source(spark, d, t.clicks(spark, d).withColumn("session_id", F.when(F.col("event_id").cast("bigint") % 10 != 0, F.col("session_id"))))
+    out = scratch(spark, "live-out")
+    sl.run_batches(sl.read_live(spark, path, schema), sl.missing_session_sink(out), scratch(spark, "ckpt"))
+    return spark.read.parquet(out).select("event_id")
+
+
+@query("stream_late_rows", "SELECT CAST(0 AS BIGINT) AS late_rows")
+def _stream_late(spark, d):
+    """Clicks that the live sessions drop behind their watermark; all clicks come in one micro-batch here, so none is late."""
+    sl.use_rocksdb(spark)
+    path, schema = source(spark, d, t.clicks(spark, d))
+    late = sl.LateRows(spark)
+    sl.run_available(sl.stream_sessionize(sl.read_live(spark, path, schema)), scratch(spark, "live-out"), scratch(spark, "ckpt"), listener=late)
+    return spark.range(1).select(F.lit(late.total()).cast("bigint").alias("late_rows"))
+
+
 @query("stream_burst_detect", BURSTS)
 def _stream_bursts(spark, d):
     stream = sl.stream_burst_detect(sl.stream_validate_enrich(live_stream(spark, d)), 3600, 15)

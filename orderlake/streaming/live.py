@@ -7,6 +7,7 @@ every sink is idempotent per batch id, so a restart from the checkpoint repeats
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from orderlake.functions.columns import dollars_text
+from orderlake.operators.clicks import missing_session
 from orderlake.operators.live import HIGH_VALUE_CENTS, enrich_live, high_value_orders, ring_trim, valid_live, validate_live
 from orderlake.operators.orders import SILVER_COLUMNS, dead_letter_split, dedup_latest, parse_json_lines
 from orderlake.session import ROCKSDB
@@ -75,7 +78,10 @@ def stream_burst_detect(events: DataFrame, seconds: int = 1, at_least: int = 5,
 
 
 def stream_sessionize(clicks: DataFrame, idle: str = "30 minutes", watermark: str = WATERMARK) -> DataFrame:
-    """Live sessions; ``occurred_at`` must be a timestamp here (unreadable times go to the dead letters first)."""
+    """Live sessions; ``occurred_at`` must be a timestamp here (unreadable times go to the dead letters first).
+
+    Rows without a ``session_id`` go to ``missing_session_sink``; rows behind the watermark are counted by ``late_rows``.
+    """
     order = F.struct("occurred_at", "event_id")
 
     def is_type(name: str):
@@ -171,12 +177,52 @@ def alert_counts(state: DataFrame, threshold: float) -> DataFrame:
                      F.count_if((F.col("churn_score") >= threshold) & ~F.col("alert")).alias("alerts_suppressed"))
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Process everything that is there into an exactly-once file sink, then stop."""
+def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: list[str] | None = None, listener: LateRows | None = None) -> None:
+    """Process everything that is there into an exactly-once file sink, then stop; ``listener`` is closed when it has heard of the end."""
     writer = stream.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.start().awaitTermination()
+    query = writer.start()
+    query.awaitTermination()
+    if listener:
+        listener.wait(str(query.runId))
+
+
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that queries dropped behind their watermark, by run; every batch's progress counts, also of long runs."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.dropped, self.ended = spark, {}, {}
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.dropped[run] = self.dropped.get(run, 0) + sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def wait(self, run: str, seconds: float = 60) -> None:
+        heard = self.ended.setdefault(run, threading.Event()).wait(seconds)
+        self.spark.streams.removeListener(self)
+        if not heard:
+            raise TimeoutError(f"no end of run {run} was reported, so its late rows aren't known")
+
+    def total(self) -> int:
+        return sum(self.dropped.values())
+
+
+def missing_session_sink(path: str):
+    """Batch function: rows without a session as dead letters under the batch id (replacing a repeated batch)."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        missing_session(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return each
 
 
 def run_batches(stream: DataFrame, each, checkpoint: str, interval: str | None = None):

@@ -79,6 +79,20 @@ def test_sessions_equal_batch(spark, paths):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 2
 
 
+def test_missing_sessions_and_late_rows_are_kept_in_view(spark, paths, tmp_path):
+    src, out, ckpt = paths
+    schema = "event_id string, session_id string, user_id_hash string, event_type string, page_url string, occurred_at timestamp"
+    for part in ([("a", "s", 0), ("b", None, 1), ("z", "t", 50000)], [("c", "s", 90000)], [("d", "s", 2), ("e", "s", 3), ("f", None, 90001)], [("g", "s", 180000)]):
+        spark.createDataFrame([(i, s, "u", "page_view", "/", BASE + timedelta(seconds=t)) for i, s, t in part], schema).coalesce(1).write.mode("append").parquet(str(src))
+    clicks = sl.read_live(spark, str(src), spark.createDataFrame([], schema).schema, per_trigger=1)
+    late = sl.LateRows(spark)
+    sl.run_available(sl.stream_sessionize(clicks), out, ckpt, listener=late)
+    assert late.total() == 2
+    sl.run_batches(clicks, sl.missing_session_sink(str(tmp_path / "dead")), ckpt + "2")
+    sl.missing_session_sink(str(tmp_path / "dead"))(spark.read.parquet(str(src)).filter("event_id = 'b'"), 0)
+    assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "dead")).collect()) == ["b", "f"]
+
+
 def test_rejected_and_anomalies(spark, paths):
     src, out, ckpt = paths
     put(spark, src, 0, [order(1, total=0), order(2, status="cancelled"), order(3, total=30000)])
