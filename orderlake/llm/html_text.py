@@ -62,8 +62,8 @@ def tokens(page: str) -> list[Token]:
     return out
 
 
-def removed(tag: Token, in_article: bool) -> bool:
-    """Whether an element is no part of an article."""
+def removed(tag: Token, in_article: bool, whole: bool = False) -> bool:
+    """Whether an element is no part of an article; with ``whole``, only entire class tokens and ids count and not their parts."""
     if tag.name in GONE or tag.name == "header" and not in_article:
         return True
     if not tag.attributes or tag.name in ("html", "body", "main"):
@@ -73,7 +73,7 @@ def removed(tag: Token, in_article: bool) -> bool:
         return True
     if values.get("role", "") in ROLES:
         return True
-    names = set(re.split(r"[^a-z0-9]+", f"{values.get('class', '')} {values.get('id', '')}"))
+    names = set(re.split(r"\s+" if whole else r"[^a-z0-9]+", f"{values.get('class', '')} {values.get('id', '')}"))
     found = names & NAMES
     return bool(found) and not (found <= {"header", "banner", "body"} and names & OWN)
 
@@ -102,7 +102,7 @@ class Line(NamedTuple):
     size: int
 
 
-def lines(page: str) -> tuple[list[Line], bool]:
+def lines(page: str, whole: bool = False) -> tuple[list[Line], bool]:
     """A line for each block with its text and the size that counts for it, blank lines for what is removed, and whether there is an article."""
     tags = tokens(page)
     out: list[Line] = []
@@ -123,7 +123,7 @@ def lines(page: str) -> tuple[list[Line], bool]:
     found, k = False, 0
     while k < len(tags):
         if tags[k].name and not tags[k].close:
-            if removed(tags[k], False):
+            if removed(tags[k], False, whole):
                 k = closing(tags, k)
             elif tags[k].name in ("article", "main"):
                 found = True
@@ -140,7 +140,7 @@ def lines(page: str) -> tuple[list[Line], bool]:
             break
         tag = tags[k]
         at = tag.end
-        if tag.name and not tag.close and removed(tag, inside > 0):
+        if tag.name and not tag.close and removed(tag, inside > 0, whole):
             if tag.name in BLOCK:
                 flush(WINDOW)
             k = closing(tags, k)
@@ -164,10 +164,16 @@ def lines(page: str) -> tuple[list[Line], bool]:
 
 
 def main_text(page: str | None) -> str:
-    """The text of the article, its blocks joined by one space; empty if there is none."""
+    """The text of the article, its blocks joined by one space; empty if there is none.
+
+    A class such as ``has-sidebar`` may name the wrapper of all: if nothing is left, an article or main element inside such wrappers counts.
+    """
     if not page:
         return ""
-    rows, found = lines(page)
+    return region(*lines(page)) or (region(*again) if (again := lines(page, whole=True))[1] else "")
+
+
+def region(rows: list[Line], found: bool) -> str:
     surge = 1 if found else SURGE
     sums, total = [], 0
     sizes = [r.size for r in rows] + [0] * WINDOW

@@ -30,6 +30,12 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("names", ["content no-sidebar", "layout has-sidebar", "with-comments", "related-layout"])
+def test_wrappers_named_after_what_they_hold_keep_their_article(names):
+    assert main_text(f"<div class='{names}'><div class=sidebar>side</div><article><p>story</p></article></div>") == "story"
+    assert main_text(f"<div class='{names}'><p>{LONG}</p></div>") == main_text("<div class=comments><article>x</article></div>") == ""
+
+
 def test_broken_markup_ends():
     for page in ["<" * 3000, "<a " * 3000, "<!--" * 3000, '<p class="' * 3000, "</p>" * 3000, "<div>" * 3000 + "x"]:
         assert isinstance(main_text(page), str)
