@@ -203,6 +203,36 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
 
 
+EXACT_SQL = r"""
+WITH spaced AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM spaced WINDOW same AS (PARTITION BY t)
+"""
+
+
+@query("op11_exact_dedup", EXACT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.exact_dedup import exact_duplicates
+    return exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.conversation_repair import COUNTS, damage, repair
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = repair(damage(conversations)).withColumn("real", F.lit(1))
+    none = conversations.select(F.col("conv_id").alias("conv"), *(F.lit(0).cast("long").alias(c) for c in COUNTS), F.lit("").alias("audit"), F.sha2(F.lit(""), 256).alias("repaired_sha256"), F.lit(0).alias("real"))
+    every = repaired.unionByName(none.distinct()).groupBy("conv").agg(F.max(F.struct("real", *COUNTS, "audit", "repaired_sha256")).alias("found"))
+    return every.select(F.col("conv").alias("conv_id"), *(F.col(f"found.{c}").alias(c) for c in (*COUNTS, "audit", "repaired_sha256")))
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orderlake.llm.alignment import alignment_scores
+    scored = alignment_scores(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
