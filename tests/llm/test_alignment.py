@@ -61,6 +61,7 @@ def found(df, key="id"):
 
 
 ODD = [
+    " lead", "\nlead", "tail ", "tail\n", " ", "\n", "a \n b", "x\u00a0y z\u3000 w\x1e v", "one\ntwo three\n\nfour  five\tsix", "\n ", "a\n",
     None, "", " ", "  two  spaces ", "\n\t x", "<|endoftext|> <s> </s> <unk>", "<0x41>", "▁ x", "Ünïcödé 漢字 🙂🙂 é é", "a" * 3000, "12345 3.14", "\x00\x7f", "word " * 20_000, "don't they'll",
     "ab" * 50, "same text here", "same text here"]
 
@@ -70,7 +71,7 @@ def test_odd_texts_and_counts_over_chunks(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, "x", 5) for i, t in rows], "doc_id long, text string, key string, held int")
     want = plain(rows)
     assert found(alignment_scores(docs.repartition(3), BYTE, PIECE)) == want
-    monkeypatch.setattr(alignment, "CHUNK_BYTES", 50)
+    monkeypatch.setattr(alignment, "CHUNK_CHARS", 50)
     assert found(alignment_scores(docs.repartition(2), BYTE, PIECE)) == want
     assert alignment_scores(docs.where("doc_id < 0"), BYTE, PIECE).count() == 0
 
@@ -107,3 +108,19 @@ def test_overlaps_count_common_bytes():
 def test_query_on_the_whole_table(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert found(QUERIES["op13_alignment"](spark, sf), "doc_id") == plain(docs)
+
+
+TOKENIZERS = alignment.Tokenizers(BYTE, PIECE)
+words = st.lists(st.one_of(st.text(max_size=6), st.sampled_from([" ", "  ", "\n", "\n\n", "\t", "word", "'s", "é", "▁", "<s>", "12", "क़."])), max_size=10).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(words)
+def test_pieces_are_cut_where_both_tokenizers_end_a_token(text):
+    if text:
+        a, b, good = TOKENIZERS.encode(TOKENIZERS.pieces(text))
+        whole_a, whole_b = A.encode(" " + text, add_special_tokens=False).ids, B.encode(text)
+        same = b"".join(map(bytes_b, whole_b)) == (" " + text).encode()
+        assert good.all() == same
+        if same:
+            assert ([x for p in a for x in p], [x for p in b for x in p]) == (whole_a, whole_b)
