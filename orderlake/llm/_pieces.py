@@ -10,99 +10,122 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import compress
-from operator import not_
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 
-GENERATION = 400_000
+GENERATION_BYTES = 48 << 20
+ENTRY_BYTES = 200
 REMEMBERED_CHARS = 64
+JOINED = 256
 TEXT_RUN = 1 << 20
 _CUTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _RUNS = ("  ", "\n\n", " \n", "\n ")
-_CONTROLS = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
-_WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_OTHER = re.compile("[\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-def byte_pieces(text: str) -> list[str]:
-    if any(x in text for x in _RUNS) or any(x in text for x in _CONTROLS) or (not text.isascii() and any(x in text for x in _WIDE)):
-        return _CUTS.split(text)
-    return text.replace(" ", "\x1e ").replace("\n", "\x1e\n\x1e").split("\x1e")
+def plain(text: str) -> bool:
+    """Whether the only white space is single spaces and line feeds between other characters."""
+    return not any(x in text for x in _RUNS) and not _OTHER.search(text)
 
 
-def word_pieces(text: str) -> list[str]:
-    return text.replace("\n", " ").split(" ")
+def byte_pieces(text: str) -> tuple[list[str], bool]:
+    """Pieces, and whether the text is plain."""
+    if not plain(text):
+        return _CUTS.split(text), False
+    return text.replace(" ", "\x1e ").replace("\n", "\x1e\n\x1e").split("\x1e"), True
+
+
+def word_pieces(text: str) -> tuple[list[str], bool]:
+    return text.replace("\n", " ").split(" "), True
+
+
+def splits_comma(c: str) -> bool:
+    """Whether a comma or full stop after this letter is a pre-token of its own for both kinds. Letters of further blocks may change under the
+    file's normalizer or be unknown to the library; the dotted capital I is lower-cased to a letter and a mark."""
+    return c < "\u0250" and c.isalpha() and c != "\u0130"
 
 
 class Remembered:
-    """Ids of texts as little-endian unsigned 32-bit bytes. Two generations of pieces are kept: when the newer one is full it becomes the
-    older one, so memory is bounded and frequent pieces stay."""
+    """Ids of texts as little-endian unsigned 32-bit bytes. Two generations of pieces are kept: when the newer one holds ``GENERATION_BYTES`` it
+    becomes the older one, so memory is bounded and frequent pieces stay. ``encode`` takes pieces of texts with only single spaces and line feeds,
+    ``odd`` any others; a text that holds an added token is one piece and isn't remembered."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], cut: Callable[[str], list[str]], added: list[str]) -> None:
-        self.encode, self.cut = encode, cut
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], cut: Callable[[str], tuple[list[str], bool]], added: list[str], odd: Callable[[list[str]], list[bytes]] | None = None) -> None:
+        self.encode, self.cut, self.odd = encode, cut, odd or encode
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, pieces: set[str]) -> None:
-        """Look up or encode pieces that the newer generation lacks. A comma or full stop after a letter is a pre-token of its own, so such
-        a piece is its rest and that."""
-        pieces.discard("")
+    def learn(self, pieces: set[str], encode: Callable[[list[str]], list[bytes]]) -> list[str]:
+        """Look up or encode pieces that the newer generation lacks; where a last comma or full stop is a pre-token of its own, such a piece is
+        its rest and that. Returns those too long to be remembered."""
         old, new = self.old, self.new
-        rest: dict[str, str] = {}
-        fresh = set()
-        for piece in pieces:
-            if piece in old:
-                new[piece] = old[piece]
-            elif len(piece) > 1 and piece[-1] in ",." and piece[-2].isalpha() and not (self.added and self.added.search(piece)):
-                stem = piece[:-1]
-                rest[piece] = stem
-                for x in (stem, piece[-1]):
-                    if x in old:
-                        new[x] = old[x]
-                    elif x not in new:
-                        fresh.add(x)
-            else:
-                fresh.add(piece)
+
+        def lacking(pieces: set[str]) -> set[str]:
+            pieces = pieces.difference(new)
+            known = [p for p in pieces if p in old]
+            new.update(zip(known, map(old.__getitem__, known)))
+            return pieces.difference(known)
+        fresh = lacking(pieces)
+        ended = [p for p in fresh if p[-1] in ",." and len(p) > 1 and splits_comma(p[-2])]
+        fresh.difference_update(ended)
+        stems = [p[:-1] for p in ended]
+        fresh |= lacking({*stems, *(p[-1] for p in ended)})
         todo = list(fresh)
-        new.update(zip(todo, self.encode(todo)))
-        new.update((piece, new[stem] + new[piece[-1]]) for piece, stem in rest.items())
+        new.update(zip(todo, encode(todo)))
+        new.update((p, new[stem] + new[p[-1]]) for p, stem in zip(ended, stems))
+        return [p for p in chain(todo, ended) if len(p) > REMEMBERED_CHARS]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [[t] if self.added and self.added.search(t) else self.cut(t) for t in texts]
-        found = [list(map(self.new.get, pieces)) for pieces in cut]
-        unknown: set[str] = set()
-        for pieces, values in zip(cut, found):
-            unknown.update(compress(pieces, map(not_, values)))
-        self.learn(unknown)
-        look = self.new
-        for pieces, values in zip(cut, found):
-            for i in compress(range(len(values)), map(not_, values)):
-                values[i] = look[pieces[i]]
-        out = [b"".join(values) for values in found]
-        for piece in unknown:
-            if len(piece) > REMEMBERED_CHARS:
-                del self.new[piece]
-        if len(self.new) > GENERATION:
+        whole = [t for t in texts if self.added and self.added.search(t)]
+        special = dict(zip(whole, self.odd(whole)))
+        cut = [([], True) if t in special else self.cut(t) for t in texts]
+        long: list[str] = []
+        for is_plain, encode in ((True, self.encode), (False, self.odd)):
+            long += self.learn(set(chain.from_iterable(pieces for pieces, p in cut if p is is_plain)), encode)
+        look = self.new.__getitem__
+        out = [special[t] if t in special else b"".join(map(look, pieces)) for t, (pieces, _) in zip(texts, cut)]
+        for piece in long:
+            self.new.pop(piece, None)
+        # Characters and ids of an entry are small beside its objects and its share of the table.
+        if len(self.new) * ENTRY_BYTES > GENERATION_BYTES:
             self.old, self.new = self.new, {"": b""}
         return out
 
 
 def library_encoder(path: str, kind: str) -> Remembered:
-    """The tokenizers library at ``path``, in this thread only."""
+    """The tokenizers library at ``path``, in this thread only. Pieces are handed to it joined by a mark that is a token of its own, and the ids
+    are cut there: a line feed for ``byte`` files, for ``word`` files, which drop white space, a nought. Pieces with the mark, or of white space, go alone."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from array import array
-
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-
-    def encode(pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-    return Remembered(encode, {"byte": byte_pieces, "word": word_pieces}[kind], added)
+    mark, joint = {"byte": ("\n", "\n"), "word": ("0", " 0 ")}[kind]
+    mark_ids = tokenizer.encode(mark, add_special_tokens=False).ids
+
+    def single(pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def joined(pieces: list[str]) -> list[bytes]:
+        alone = [p for p in pieces if mark in p or p == " "]
+        found = dict(zip(alone, single(alone)))
+        others = [p for p in pieces if p not in found]
+        for i in range(0, len(others), JOINED):
+            group = others[i : i + JOINED]
+            ids = np.array(tokenizer.encode(joint.join(group) + joint, add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(ids == mark_ids[0])
+            if len(mark_ids) != 1 or len(ends) != len(group):
+                found.update(zip(group, single(group)))
+                continue
+            body, stops = ids.tobytes(), (4 * ends).tolist()
+            found.update(zip(group, (body[a:b] for a, b in zip([0, *(x + 4 for x in stops)], stops))))
+        return list(map(found.__getitem__, pieces))
+    return Remembered(joined, {"byte": byte_pieces, "word": word_pieces}[kind], added, single)
 
 
 def text_runs(column: pa.Array) -> Iterator[tuple[int, list[str]]]:

@@ -29,9 +29,14 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_state(name: str, make: Callable[[], Any]) -> Any:
-    """One object per Python worker process, kept between its tasks (functions travel by value, their globals do not stay)."""
+def worker_state(name: str, make: Callable[[], Any], large: bool = False) -> Any:
+    """One object per Python worker process, kept between its tasks (functions travel by value, their globals do not stay). A worker keeps one
+    ``large`` object: the next one takes its place."""
     home = sys.modules.setdefault("orderlake_worker_state", types.ModuleType("orderlake_worker_state"))
     if not hasattr(home, name):
+        if large:
+            for other in getattr(home, "large objects", ()):
+                delattr(home, other)
+            setattr(home, "large objects", (name,))
         setattr(home, name, make())
     return getattr(home, name)

@@ -17,12 +17,48 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from orderlake.llm._pieces import Remembered, byte_pieces, text_runs
 from orderlake.llm._runtime import tuned, worker_state
 
-PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-KNOWN_PAIRS = 4_000_000
+KNOWN_PAIRS = 1_000_000
+# Planes beyond hold no letters, numbers or white space in any version of Unicode.
+ASSIGNED = [*range(0xD800), *range(0xE000, 0x34000), *range(0xE0000, 0xE1000)]
+
+
+def _ranges(points: set[int]) -> str:
+    """A character class of code points."""
+    ordered = sorted(points)
+    firsts = [p for p in ordered if p - 1 not in points]
+    lasts = [p for p in ordered if p + 1 not in points]
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts, lasts)) + "]"
+
+
+def pre_tokens(path: str) -> regex.Pattern:
+    """The file's published pattern with the letters, numbers and white space of the library, whose tables differ from this package's.
+
+    A code point is a letter if it joins two letters to one pre-token, a number between two digits, neither nor white space between marks.
+    """
+    pre = Tokenizer.from_file(path).pre_tokenizer
+    text = "".join(f"a{c}a\n1{c}1\n!{c}!\n" for c in map(chr, ASSIGNED))
+    whole = np.zeros(len(text), bool)
+    whole[[a for _, (a, b) in pre.pre_tokenize_str(text) if b - a == 3]] = True
+    points = np.array(ASSIGNED)
+    own = {"L": set(points[whole[0::12]].tolist()), "N": set(points[whole[4::12]].tolist())}
+    own["s"] = set(points[~(whole[0::12] | whole[4::12] | whole[8::12])].tolist())
+    every = "".join(map(chr, ASSIGNED))
+    classes = {}
+    for name, prop in (("L", r"\p{L}"), ("N", r"\p{N}"), ("s", r"\s")):
+        known = set(map(ord, regex.findall(prop, every)))
+        out = prop
+        if known - own[name]:
+            out = f"[{out}--{_ranges(known - own[name])}]"
+        if own[name] - known:
+            out = f"[{out}||{_ranges(own[name] - known)}]"
+        classes[name] = out
+    letter, number, space = (classes[c] for c in "LNs")
+    return regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?[^{space}{letter}{number}]+|{space}+(?![^{space}])|{space}+")
 
 
 def byte_letters() -> dict[str, int]:
@@ -54,6 +90,7 @@ class Bpe:
         self.pairs, self.holds = np.zeros(0, np.int64), np.zeros(0, bool)
         self.width = len(self.bytes)
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
+        self.pre_tokens = pre_tokens(path)
         self.memory = Remembered(self.encode_pieces, byte_pieces, list(self.added))
 
     def merge(self, word: bytes) -> list[int]:
@@ -154,7 +191,7 @@ class Bpe:
                 if k % 2:
                     words.append(self.added[segment])
                 else:
-                    words.extend(w.encode() for w in PRE_TOKENS.findall(segment))
+                    words.extend(w.encode() for w in self.pre_tokens.findall(segment))
             cut.append(words)
         distinct = list({w for words in cut for w in words if isinstance(w, bytes)})
         found = {w: np.array(ids, "<u4").tobytes() for w, ids in zip(distinct, self.words(distinct))}
@@ -168,11 +205,12 @@ class Bpe:
 
 
 def _model(path: str) -> Bpe:
-    return worker_state(f"bpe_{path}", lambda: Bpe(path))
+    return worker_state(f"bpe_{path}", lambda: Bpe(path), large=True)
 
 
 def bpe_encode(df: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """Replace the text column by the list of its ids. Null and empty texts have no ids. Other columns stay as they are."""
+    """Replace the text column by the list of its ids. Null and empty texts have no ids. Other columns stay as they are; one named
+    ``ids_col`` gives way."""
     return _mapped(df, text_col, ids_col, "array<int>", lambda column: pa.array(
         [np.frombuffer(x, np.int32) for _, run in text_runs(column) for x in _model(tokenizer).encode(run)], pa.list_(pa.int32())))
 
@@ -184,7 +222,7 @@ def bpe_decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: st
 
 def _mapped(df: DataFrame, old: str, new: str, kind: str, change) -> DataFrame:
     tuned(df.sparkSession)
-    kept = [c for c in df.columns if c != old]
+    kept = [c for c in df.columns if c not in (old, new)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +232,11 @@ def _mapped(df: DataFrame, old: str, new: str, kind: str, change) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256``: the ids of each text and the text decoded from them, in one pass."""
+    """``id, n_tokens, ids_sha256, decoded_sha256``: the ids of each text and the text decoded from them, in one pass.
+
+    Null and empty texts have no ids and the digests of the empty string. Texts are encoded whole, in runs of about a million characters or one longer text.
+    Rows that repeat, and null ids, give a row each. An empty table gives no rows; other columns don't matter, names included.
+    """
     tuned(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,5 +252,5 @@ def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
                     text_hash.append(hashlib.sha256(model.decode(ids).encode()).hexdigest())
                 yield pa.record_batch([batch.column(0).slice(first, len(texts)), pa.array(counts, pa.int64()), pa.array(ids_hash), pa.array(text_hash)],
                                       names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return slim.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

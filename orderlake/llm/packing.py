@@ -28,7 +28,7 @@ def binary_lengths(n: int, longest: int) -> list[int]:
 
 def _pieces(tokenizer: str, kind: str, end_id: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state(f"library_{kind}_{tokenizer}", lambda: library_encoder(tokenizer, kind))
+        encoder = worker_state(f"library_{kind}_{tokenizer}", lambda: library_encoder(tokenizer, kind), large=True)
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         places: dict[int, int] = {}

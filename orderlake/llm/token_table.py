@@ -35,7 +35,7 @@ def layout(encoding: str = "dictionary", row_group_bytes: int = 32 << 20, page_b
 
 def _encode(tokenizer: str, kind: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state(f"library_{kind}_{tokenizer}", lambda: library_encoder(tokenizer, kind))
+        encoder = worker_state(f"library_{kind}_{tokenizer}", lambda: library_encoder(tokenizer, kind), large=True)
         end = np.array([end_id], "<u4").tobytes()
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from orderlake.llm._pieces import library_encoder
+from orderlake.llm._pieces import ENTRY_BYTES, GENERATION_BYTES, library_encoder
 from orderlake.llm.bpe import Bpe, bpe_decode, bpe_digests, bpe_encode
 from orderlake.llm.packing import binary_lengths, read_packed, write_packed
 from orderlake.llm.queries import QUERIES
@@ -56,6 +56,24 @@ def test_pieces_equal_whole_texts(path, kind, text):
 
 
 CODERS = {}
+POINTS = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x34000), *range(0xE0000, 0xE0200)]]
+
+
+@pytest.mark.parametrize("form", ["{}'s", "{}, x", "{}1", "{}.\nq", "a{}. b"])
+def test_every_code_point_has_the_librarys_ids(model, form):
+    texts = [form.format(c) for c in POINTS]
+    for path, kind, coders in ((BYTE, "byte", [model.encode, library_encoder(BYTE, "byte").ids]), (WORD, "word", [library_encoder(WORD, "word").ids])):
+        want = [np.array(e.ids, "<u4").tobytes() for e in LIBRARY[path].encode_batch_fast(texts, add_special_tokens=False)]
+        for coder in coders:
+            got = [x for i in range(0, len(texts), 5000) for x in coder(texts[i : i + 5000])]
+            assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
+def test_memory_of_pieces_is_bounded():
+    coder = library_encoder(WORD, "word")
+    for k in range(24):
+        coder.ids([" ".join(f"w{k}x{i}" for i in range(30_000))])
+        assert (len(coder.new) + len(coder.old)) * ENTRY_BYTES < 3 * GENERATION_BYTES
 
 
 def test_greedy_proposals_fail_and_are_mended(model):
@@ -84,6 +102,7 @@ def test_bpe_digests_and_columns(spark):
         if i is not None:
             want.append((False, i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
     assert got == sorted(want)
+    assert bpe_encode(docs, BYTE).columns == ["doc_id", "length", "ids"]
     coded = bpe_encode(docs.select("doc_id", "text", "length"), BYTE)
     back = {(r["doc_id"], r["length"]): r["text"] for r in bpe_decode(coded, BYTE).collect()}
     assert back == {(i, n): t or "" for i, t, _, n in rows}
