@@ -114,8 +114,9 @@ def live_churn_score(state: DataFrame, faithful: bool = False) -> DataFrame:
     return state.withColumn("churn_score", F.round(state_score(faithful), 4))
 
 
-def trailing_revenue(events: DataFrame, keys: list[str] | None = None, slice_seconds: int = 300) -> DataFrame:
-    """At every event time: revenue of the last 60 s and 300 s, orders of the last 60 s, events per second over 5 s.
+def trailing_revenue(events: DataFrame, keys: list[str] | None = None, slice_seconds: int = 300, every_change: bool = False) -> DataFrame:
+    """At every event time: revenue of the last 60 s and 300 s, orders of the last 60 s, events per second over 5 s. ``every_change`` adds the
+    times at which events leave a window.
 
     Each time contributes its totals when it enters and takes them out when it leaves a window (an event exactly one window
     old has left), so the answer is one running sum however many events a window holds.
@@ -135,7 +136,7 @@ def trailing_revenue(events: DataFrame, keys: list[str] | None = None, slice_sec
     width = F.lit(slice_seconds * MICROS)
     summed = running_sums(steps, keys, ["at"], F.floor(F.col("at") / width).cast("bigint"), {
         "revenue_60s_cents": F.col("a"), "revenue_300s_cents": F.col("b"), "orders_60s": F.col("c"), "events_5s": F.col("d")})
-    return summed.filter("here > 0").select(
+    return (summed if every_change else summed.filter("here > 0")).select(
         *keys, F.timestamp_micros("at").alias("at"), "revenue_60s_cents", "revenue_300s_cents", "orders_60s",
         F.round(F.col("events_5s") / F.lit(5.0), 2).alias("events_per_second"))
 

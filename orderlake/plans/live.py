@@ -10,7 +10,11 @@ from orderlake.plans.registry import query
 from orderlake.schemas import LIVE_ORDER
 from orderlake.session import scratch
 from orderlake.sources.bronze import change_stream
+from orderlake.streaming import alerts as sa
+from orderlake.streaming import kpis as sk
 from orderlake.streaming import live as sl
+from orderlake.streaming import sessions as ss
+from orderlake.streaming import users as su
 
 COOLDOWN = 86_400
 THRESHOLD = 0.255
@@ -245,3 +249,131 @@ def _stream_alerts(spark, d):
     sl.run_batches(stream.filter("order_id <> 'sentinel'"), sl.alert_sink(log), scratch(spark, "ckpt"))
     schema = "alert_type string, severity string, title string, body string, data string, fired_at timestamp"
     return spark.read.schema(schema).option("recursiveFileLookup", "true").json(log).select("alert_type", "severity", "title", "fired_at")
+
+
+# --- streams over several micro-batches, with rows out of order
+
+def arrivals(spark, rows, files=4, jitter_seconds=0, key="event_id", last=True, then=None):
+    """``rows`` as files in order of arrival: their time plus up to ``jitter_seconds``, so a row is at most so late. A far-future row closes all;
+    rows of ``then`` come after it."""
+    path = scratch(spark, "arrivals")
+    jitter = F.pmod(F.xxhash64(key), F.lit(jitter_seconds)) * 1_000_000 if jitter_seconds else F.lit(0)
+    placed = rows.withColumn("_at", (F.unix_micros("occurred_at") + jitter).cast("bigint")).withColumn("_at", F.coalesce("_at", F.lit(0)))
+    cuts = [float("-inf"), *placed.approxQuantile("_at", [i / files for i in range(1, files)], 0.01), float("inf")]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        placed.where((F.col("_at") > low) & (F.col("_at") <= high)).drop("_at").write.mode("append").parquet(path)
+    if last:
+        only = {"occurred_at": F.lit(END).cast("timestamp")}
+        end = spark.range(1).select(*[(only[c] if c in only else F.lit("sentinel") if ty == "string" else F.lit(None)).cast(ty).alias(c) for c, ty in rows.dtypes])
+        end.write.mode("append").parquet(path)
+    if then is not None:
+        then.write.mode("append").parquet(path)
+    sl.use_rocksdb(spark)
+    return sl.read_live(spark, path, rows.schema, per_trigger=1)
+
+
+KPI_CHANGES = """WITH s AS (SELECT {key}epoch_us(occurred_at) // 1000000 + 1 AS e, sum(total_cents) AS v, count(*) AS n FROM live_ok GROUP BY ALL),
+    u AS (SELECT *, FALSE AS tick FROM s UNION ALL SELECT DISTINCT {key}e + o, 0, 0, TRUE FROM s, (VALUES (0), (5), (60), (300)) x(o)),
+    w AS (SELECT {key}e, tick, sum(v) OVER (p RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS a, sum(v) OVER (p RANGE BETWEEN 299 PRECEDING AND CURRENT ROW) AS b,
+        sum(n) OVER (p RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS c, sum(n) OVER (p RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS d FROM u WINDOW p AS ({part}ORDER BY e))
+    SELECT {key}make_timestamp(e * 1000000) AS at, CAST(a AS BIGINT) AS revenue_60s_cents, CAST(b AS BIGINT) AS revenue_300s_cents, CAST(c AS BIGINT) AS orders_60s,
+    round(d / 5.0::DOUBLE, 2) AS events_per_second FROM w WHERE tick"""
+
+
+def kpi_stream(spark, d, keys=None):
+    rows = valid(spark, d).select("event_id", "channel", "total_cents", "occurred_at")
+    out = run(spark, sk.stream_trailing_kpis(arrivals(spark, rows, jitter_seconds=86_400), keys, "1 day"))
+    return out.filter(F.col("at") < "2029-01-01")
+
+
+@query("stream_trailing_kpis", KPI_CHANGES.format(key="", part=""))
+def _stream_trailing(spark, d):
+    """KPIs of 5, 60 and 300 s at every second that changes one, over five micro-batches with rows up to a day out of order."""
+    return kpi_stream(spark, d)
+
+
+@query("stream_trailing_kpis_by_channel", KPI_CHANGES.format(key="channel, ", part="PARTITION BY channel "))
+def _stream_trailing_by_channel(spark, d):
+    return kpi_stream(spark, d, ["channel"])
+
+
+@query("trailing_kpis", KPI_CHANGES.format(key="", part=""))
+def _trailing_kpis(spark, d):
+    """The same in one batch, from events moved to the end of their second."""
+    second = F.timestamp_seconds(F.floor(F.unix_micros("occurred_at") / F.lit(1_000_000)) + 1)
+    return lv.trailing_revenue(valid(spark, d).withColumn("occurred_at", second), every_change=True)
+
+
+CHURN_RULE, DISPATCH_COOLDOWN = 0.255, 7 * 86_400
+DISPATCHED = f"""WITH RECURSIVE c AS (SELECT 'churn' AS alert_type, user_id_hash[1:16] AS entity, epoch_us(occurred_at) AS t, event_id FROM scored WHERE churn_score >= {CHURN_RULE}
+        UNION ALL SELECT 'anomaly_high_value', 'high_value', epoch_us(occurred_at), event_id FROM live_ok WHERE total_cents > 20000),
+    chain AS (SELECT alert_type, entity, min(t) AS t FROM c GROUP BY 1, 2
+        UNION ALL SELECT k.alert_type, k.entity, (SELECT min(c.t) FROM c WHERE c.alert_type = k.alert_type AND c.entity = k.entity AND c.t >= k.t + {DISPATCH_COOLDOWN * 1_000_000}) FROM chain k WHERE k.t IS NOT NULL),
+    told AS (SELECT c.alert_type, c.entity, c.event_id, CASE WHEN k.t IS NULL THEN 'suppressed' ELSE 'sent' END AS outcome FROM c LEFT JOIN chain k USING (alert_type, entity, t))
+    """
+
+
+def dispatched(spark, d):
+    """Both logs, from candidates of two rules that arrive in four files, up to a day out of order."""
+    log = scratch(spark, "dispatch")
+    candidates = sa.churn_candidates(scored(spark, d), CHURN_RULE).unionByName(sa.anomaly_candidates(enriched(spark, d)))
+    rows = candidates.withColumnRenamed("fired_at", "occurred_at")
+    stream = arrivals(spark, rows, jitter_seconds=86_400).withColumnRenamed("occurred_at", "fired_at")
+    sl.run_batches(sa.dispatch(stream, DISPATCH_COOLDOWN, "1 day").where("alert_type <> 'sentinel'"), sa.alert_logs(log), scratch(spark, "ckpt"))
+    return log
+
+
+@query("stream_alert_dispatch", DISPATCHED + "SELECT * FROM told")
+def _stream_dispatch(spark, d):
+    log = dispatched(spark, d)
+    parts = [sa.read_alert_log(spark, log, o).select("alert_type", "entity", "event_id", F.lit(o).alias("outcome")) for o in ("sent", "suppressed")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("stream_alert_counters", DISPATCHED + "SELECT alert_type, CAST(count_if(outcome = 'sent') AS BIGINT) AS alerts_sent, CAST(count_if(outcome = 'suppressed') AS BIGINT) AS alerts_suppressed FROM told GROUP BY 1")
+def _stream_counters(spark, d):
+    return sa.alert_counters(spark, dispatched(spark, d))
+
+
+# Every 50th click comes in the last file, far behind the watermark; every 10th has no session.
+LATE = "k % 50 = 7"
+
+
+@query("stream_sessions_late", f"""SELECT event_id FROM clicks WHERE {LATE}""")
+def _stream_late_sessions(spark, d):
+    """Rows that come after their watermark, kept beside the sessions."""
+    return _sessions(spark, d)[1].select("event_id")
+
+
+@query("stream_sessions", f"""WITH placed AS (SELECT * FROM clicks WHERE k % 50 <> 7 AND k % 10 <> 0),
+    gaps AS (SELECT *, CASE WHEN epoch_us(occurred_at) - epoch_us(lag(occurred_at) OVER s) > 1800000000 THEN 1 ELSE 0 END AS fresh FROM placed WINDOW s AS (PARTITION BY session_id ORDER BY occurred_at, event_id)),
+    seq AS (SELECT *, sum(fresh) OVER (PARTITION BY session_id ORDER BY occurred_at, event_id ROWS UNBOUNDED PRECEDING) AS q FROM gaps)
+    SELECT session_id, min(occurred_at) AS session_start, max(occurred_at) AS session_end, count(*) AS event_count, CAST(count_if(event_type = 'page_view') AS BIGINT) AS page_views,
+    bool_or(event_type = 'purchase') AS converted, arg_min(user_id_hash, (occurred_at, event_id)) AS user_id_hash, arg_min(page_url, (occurred_at, event_id)) AS entry_page,
+    arg_max(page_url, (occurred_at, event_id)) AS exit_page FROM seq GROUP BY session_id, q""")
+def _stream_sessions_kept(spark, d):
+    return _sessions(spark, d)[0].select("session_id", "session_start", "session_end", "event_count", "page_views", "converted", "user_id_hash", "entry_page", "exit_page")
+
+
+def _sessions(spark, d):
+    """Sessions and late rows of clicks in five files, rows up to an hour out of order; the late ones come last of all."""
+    out = scratch(spark, "sessions")
+    rows = t.clicks(spark, d).withColumn("k", F.col("event_id").cast("bigint"))
+    rows = rows.withColumn("session_id", F.when((F.col("k") % 10 != 0) | (F.col("k") % 50 == 7), F.col("session_id")))
+    late = (F.col("k") % 50) == 7
+    stream = arrivals(spark, rows.where(~late).drop("k"), jitter_seconds=3_600, then=rows.where(late).drop("k"))
+    sl.run_batches(ss.stream_sessions(stream, watermark="1 hour"), ss.session_sink(out), scratch(spark, "ckpt"))
+    return tuple(spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/{part}").filter("session_id <> 'sentinel'") for part in ("sessions", "late"))
+
+
+@query("stream_user_totals", f"""WITH RECURSIVE c AS (SELECT user_id_hash, epoch_us(occurred_at) AS t FROM scored WHERE churn_score >= {THRESHOLD}),
+    chain AS (SELECT user_id_hash, min(t) AS t FROM c GROUP BY 1
+        UNION ALL SELECT k.user_id_hash, (SELECT min(c.t) FROM c WHERE c.user_id_hash = k.user_id_hash AND c.t > k.t + {COOLDOWN * 1_000_000}) FROM chain k WHERE k.t IS NOT NULL)
+    SELECT event_id, order_count, total_spend, refunds, first_seen, previous_seen, churn_score, k.t IS NOT NULL AS alert
+    FROM scored s LEFT JOIN chain k ON s.user_id_hash = k.user_id_hash AND epoch_us(s.occurred_at) = k.t""")
+def _stream_totals(spark, d):
+    """Running user state carried through four micro-batches, in two levels."""
+    path = scratch(spark, "users")
+    stream = arrivals(spark, enriched(spark, d), last=False)
+    sl.run_batches(stream, su.user_totals_sink(spark, path, THRESHOLD, COOLDOWN, ttl_seconds=10_000 * 86_400), scratch(spark, "ckpt"))
+    return su.read_user_rows(spark, path).select("event_id", "order_count", "total_spend", "refunds", "first_seen", "previous_seen", "churn_score", "alert")
