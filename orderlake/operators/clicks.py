@@ -95,6 +95,33 @@ def sessionize(clicks: DataFrame, idle_seconds: int = IDLE_SECONDS) -> DataFrame
     )
 
 
+def session_parts(clicks: DataFrame, idle_seconds: int = IDLE_SECONDS) -> DataFrame:
+    """Sessions within each ``run_date``, with open ends at its borders: a date is worked on by itself and replaced by itself (see ``stitch_sessions``).
+
+    Only clicks with a readable time, as ``occurred_at`` timestamps, are taken.
+    """
+    keyed = clicks.where("session_id is not null and occurred_at is not null").withColumn("session_id", F.concat_ws("|", F.col("run_date").cast("string"), "session_id"))
+    parts = sessionize(keyed, idle_seconds)
+    day = F.substring_index("session_id", "|", 1)
+    return parts.withColumn("run_date", day.cast("date")).withColumn("session_id", F.substring(F.col("session_id"), F.length(day) + 2, F.length("session_id")))
+
+
+def stitch_sessions(parts: DataFrame, idle_seconds: int = IDLE_SECONDS) -> DataFrame:
+    """Whole sessions from the parts of all dates: parts of one session no further apart than the timeout are one. Equal to ``sessionize`` of all clicks."""
+    line = Window.partitionBy("session_id").orderBy("session_start", "session_end", "run_date", "session_seq")
+    before = F.max("session_end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    gap = F.unix_micros("session_start") - F.unix_micros(before)
+    numbered = parts.withColumn("_new", F.when(gap > idle_seconds * 1_000_000, 1).otherwise(0)).withColumn(
+        "_seq", (F.sum("_new").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + 1).cast("bigint"))
+    first, last = F.struct("session_start", "run_date", "session_seq"), F.struct("session_end", "run_date", "session_seq")
+    counts = ["event_count", "page_views", "product_views", "add_to_cart_count", "search_count"]
+    whole = numbered.groupBy("session_id", F.col("_seq").alias("seq")).agg(
+        F.min_by("user_id_hash", first).alias("user_id_hash"), F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+        *[F.sum(c).alias(c) for c in counts], F.max("converted").alias("converted"), F.min_by("entry_page", first).alias("entry_page"), F.max_by("exit_page", last).alias("exit_page"))
+    seconds = ((F.unix_micros("session_end") - F.unix_micros("session_start")) / F.lit(1_000_000)).cast("bigint")
+    return whole.select("session_id", F.col("seq").alias("session_seq"), "user_id_hash", "session_start", "session_end", seconds.alias("duration_seconds"), *counts, "converted", "entry_page", "exit_page")
+
+
 def missing_session(clicks: DataFrame) -> DataFrame:
     return clicks.filter(F.col("session_id").isNull())
 

@@ -169,6 +169,33 @@ def cluster_fact(fact: DataFrame, files: int) -> DataFrame:
     return fact.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
 
 
-def month_layout(fact: DataFrame) -> DataFrame:
-    """Rows ready for a write partitioned by ``order_ym``."""
-    return fact.withColumn("order_ym", F.date_format("order_date", "yyyy-MM"))
+def range_ranks(df: DataFrame, values: dict[str, Column], bits: int) -> DataFrame:
+    """Columns that say in which of ``2 ** bits`` ranges, of about equal numbers of rows, each numeric value falls; null is in the first. A value with
+    many rows may fill several ranges."""
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    cuts = df.agg(F.struct(*[F.percentile_approx(v, shares, 1 << (bits + 4)).alias(n) for n, v in values.items()])).scalar()
+    rows = df.withColumn("_cuts", cuts).withColumns({f"_v_{n}": v for n, v in values.items()})
+
+    def rank(name: str) -> Column:
+        passed = F.filter(F.col(f"_cuts.{name}"), lambda cut: cut <= F.col(f"_v_{name}"))
+        return F.greatest(F.coalesce(F.size(passed), F.lit(0)), F.lit(0)).cast("bigint")
+    return rows.withColumns({n: rank(n) for n in values}).drop("_cuts", *[f"_v_{n}" for n in values])
+
+
+def z_value(ranks: list[Column], bits: int) -> Column:
+    """The bits of all ranks in turn, highest first, as one number: rows that are near in every rank are near in it."""
+    parts = [F.shiftleft(F.shiftright(rank, b).bitwiseAND(1), b * len(ranks) + i) for b in range(bits) for i, rank in enumerate(ranks)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out + part
+    return out
+
+
+def z_order_fact(fact: DataFrame, files: int, bits: int = 6) -> DataFrame:
+    """Layout in which a date filter and a user filter each meet only a part of the row groups: range partitions on the interleaved bits of the
+    ranks of ``order_date`` and ``user_id_hash``, sorted inside each. The order id spreads a busy (day, user) cell over files."""
+    day = F.unix_date(F.col("order_date").cast("date"))
+    user = F.conv(F.substring("user_id_hash", 1, 8), 16, 10).cast("bigint")
+    ranked = range_ranks(fact, {"_user": user, "_day": day}, bits)
+    rows = ranked.withColumn("_z", z_value([F.col("_user"), F.col("_day")], bits))
+    return rows.repartitionByRange(files, "_z", "order_id").sortWithinPartitions("_z", "order_date", "user_id_hash").drop("_z", "_user", "_day")

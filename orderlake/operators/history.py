@@ -66,17 +66,30 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, as_of_time: Column, clos
     return closed.unionByName(timeline)
 
 
-def scd2_point_in_time(facts: DataFrame, history: DataFrame, ts: str, attributes: list[str]) -> DataFrame:
-    """Attributes valid at each fact's time (valid_from <= t < valid_to), NULL where none is valid."""
-    found = as_of(facts, history, "user_id_hash", ts, "valid_from", seconds=DAY)
-    valid = F.col("match.valid_to").isNull() | (F.col(ts) < F.col("match.valid_to"))
-    return found.select(*facts.columns, *[F.when(valid, F.col(f"match.{a}")).alias(a) for a in attributes])
+def scd2_point_in_time(facts: DataFrame, history: DataFrame, ts: str, attributes: list[str], slice_seconds: int = 90 * DAY) -> DataFrame:
+    """Attributes valid at each fact's time (valid_from <= t < valid_to), NULL where none is valid.
+
+    An interval is put into every time slice that it covers between the first and the last fact, so the range is tested within an equi-join on (user,
+    slice): facts and intervals are shuffled once each, and a user with most of the facts is spread over the slices. The intervals of
+    a user don't overlap, as in ``scd2_users``.
+    """
+    key = "user_id_hash"
+    reach = facts.agg(F.struct(time_slice(F.min(ts), slice_seconds).alias("low"), time_slice(F.max(ts), slice_seconds).alias("high"))).scalar()
+    intervals = history.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *[F.col(a).alias(f"_{a}") for a in attributes], reach.alias("_reach"))
+    first = F.greatest(time_slice(F.col("_from"), slice_seconds), F.col("_reach.low"))
+    last = F.least(F.coalesce(time_slice(F.col("_to"), slice_seconds), F.col("_reach.high")), F.col("_reach.high"))
+    pieces = intervals.withColumn("_covers", F.explode(F.when(first <= last, F.sequence(first, last)))).drop("_reach")
+    sliced = facts.withColumn(SLICE, time_slice(F.col(ts), slice_seconds))
+    inside = (F.col("_from") <= F.col(ts)) & (F.col("_to").isNull() | (F.col(ts) < F.col("_to")))
+    found = sliced.join(pieces, (F.col(key) == F.col("_key")) & (F.col(SLICE) == F.col("_covers")) & inside, "left")
+    return found.select(*facts.columns, *[F.col(f"_{a}").alias(a) for a in attributes])
 
 
 def asof_features(entities: DataFrame, features: DataFrame, key: str, entity_ts: str, feature_ts: str,
-                  values: list[str], ttl_seconds: int = 30 * DAY, slice_seconds: int = DAY, tie: list[str] | None = None) -> DataFrame:
+                  values: list[str], ttl_seconds: int = 30 * DAY, slice_seconds: int | None = None, tie: list[str] | None = None) -> DataFrame:
     """Latest feature row not after the entity time and not older than the time to live."""
-    found = as_of(entities, features, key, entity_ts, feature_ts, slice_seconds, tie)
+    found = as_of(entities, features, key, entity_ts, feature_ts, ttl_seconds, slice_seconds, tie)
     age = F.unix_micros(entity_ts) - F.unix_micros(F.col(f"match.{feature_ts}"))
     fresh = age <= F.lit(ttl_seconds * 1_000_000)
     return found.select(

@@ -84,34 +84,26 @@ def ranks(df: DataFrame, keys: list[str], order: list[str], slices: Column, name
     return running_sums(df, keys, order, slices, {name: F.lit(1).cast("bigint")})
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int,
+def as_of(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, reach_seconds: int, slice_seconds: int | None = None,
           tie: list[str] | None = None) -> DataFrame:
-    """Left rows with the newest right row of the same key whose ``right_ts`` is not after ``left_ts`` (as struct ``match``).
+    """Left rows with the newest right row of the same key whose ``right_ts`` is not after ``left_ts`` (as struct ``match``), as far as it lies in the slices
+    that ``reach_seconds`` before it touch; an older match may be missing.
 
-    Both sides are put on one time line per (key, slice); the newest right row of earlier slices is carried over as one row
-    per slice. No left x right pairs are formed and no key is handled by a single task.
+    Only the newest right row of a (key, slice) can be the answer for later slices, so it alone is copied into those that can still see it, a
+    bounded number. Then one window per (key, slice) serves all: no left x right pairs are formed, right rows are shuffled twice and left rows once.
     """
-    value = F.struct(*right.columns)
-    rkey = F.struct(F.col(right_ts), *[F.col(t) for t in tie or []], F.xxhash64(*right.columns))
-    rights = right.filter(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).groupBy(key, right_ts).agg(F.max_by(value, rkey).alias("_m"))
-    events = (
-        rights.select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), "_m",
-                      F.lit(None).cast(left.schema.simpleString()).alias("_l"))
-        .unionByName(left.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
-                                 F.lit(None).cast(rights.schema["_m"].dataType).alias("_m"), F.struct(*left.columns).alias("_l")))
-        .withColumn(SLICE, time_slice(F.col("_t"), seconds))
-    )
-    newest = rights.select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"), "_m").withColumn(SLICE, time_slice(F.col("_t"), seconds))
-    ends = newest.groupBy("_k", SLICE).agg(F.max_by("_m", "_t").alias("_end"))
-    spots = left.select(F.col(key).alias("_k"), time_slice(F.col(left_ts), seconds).alias(SLICE)).distinct()
-    line = ends.unionByName(spots.withColumn("_end", F.lit(None).cast(ends.schema["_end"].dataType)))
-    line = line.groupBy("_k", SLICE).agg(F.first("_end", ignorenulls=True).alias("_end"))
-    earlier = Window.partitionBy("_k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = line.select("_k", SLICE, F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
-    inside = Window.partitionBy("_k", SLICE).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = events.join(carry, ["_k", SLICE], "left")
-    return (
-        seen.withColumn("match", F.coalesce(F.last("_m", ignorenulls=True).over(inside), F.col("_carry")))
-        .filter("_side = 1")
-        .select("_l.*", "match")
-    )
+    seconds = slice_seconds or max(1, reach_seconds // 4)
+    steps = -(-reach_seconds // seconds)
+    order = F.struct(*[F.col(t) for t in tie or []], F.xxhash64(*right.columns))
+    rights = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(right_ts).alias("_t"), time_slice(F.col(right_ts), seconds).alias(SLICE), order.alias("_o"), F.struct(*right.columns).alias("_m"))
+    newest = latest_per_key(rights, ["_k", SLICE], [F.col("_t"), F.col("_o")])
+    carried = newest.withColumn(SLICE, F.explode(F.sequence(F.col(SLICE) + 1, F.col(SLICE) + steps)))
+    # Rows that can match nothing are spread over slices of their own.
+    alone = F.xxhash64(*left.columns)
+    lefts = left.select(
+        F.col(key).alias("_k"), F.col(left_ts).alias("_t"),
+        F.when(F.col(key).isNull() | F.col(left_ts).isNull(), alone).otherwise(time_slice(F.col(left_ts), seconds)).alias(SLICE), F.struct(*left.columns).alias("_l"))
+    line = rights.unionByName(carried).withColumn("_side", F.lit(0)).unionByName(lefts.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    inside = Window.partitionBy("_k", SLICE).orderBy("_t", "_side", "_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return line.withColumn("match", F.last("_m", ignorenulls=True).over(inside)).where("_side = 1").select("_l.*", "match")

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from orderlake.functions import CURRENCIES, ORDER_STATUSES
+from orderlake.operators import clicks as ck
 from orderlake.operators import features as ft
 from orderlake.operators import governance as gv
 from orderlake.operators import models as ml
@@ -16,7 +17,7 @@ from orderlake.plans import ingest, marts
 from orderlake.plans import tables as t
 from orderlake.plans.registry import query
 from orderlake.session import scratch
-from orderlake.sources import bronze, sinks
+from orderlake.sources import bronze, merge, sinks
 
 CHECK_DATE = "CAST('2001-08-01' AS DATE)"
 
@@ -152,6 +153,130 @@ def _backfill_totals(spark, d):
     return gv.backfill_totals(metrics, date(1995, 1, 1), date(2001, 12, 31))
 
 
+# --- stored tables changed by partition
+
+def month(column):
+    return f"CAST(date_trunc('month', {column}) AS DATE)"
+
+
+HOLDERS = f"""SELECT 'orders' AS name, user_id_hash, {month('created_at')} AS part FROM silver UNION ALL SELECT 'fact', user_id_hash, {month('order_date')} FROM fact
+    UNION ALL SELECT 'sessions', user_id_hash, CAST(session_start AS DATE) FROM sessions UNION ALL SELECT 'features', user_id_hash, {month('event_timestamp')} FROM features"""
+
+
+def holders(spark, d):
+    """Four stored tables that carry the hash."""
+    rows = {
+        "orders": by_month(spark, d), "fact": marts.lean_fact(spark, d).withColumn("run_date", F.trunc("order_date", "MM")),
+        "sessions": ck.sessionize(t.clicks(spark, d)).withColumn("run_date", F.to_date("session_start")),
+        "features": ft.user_features(marts.lean_fact(spark, d), t.AS_OF).withColumn("run_date", F.trunc("event_timestamp", "MM"))}
+    out = {}
+    for name, frame in rows.items():
+        out[name] = merge.Holder("silver" if name in ("orders", "sessions") else "gold", scratch(spark, name), "run_date")
+        sinks.write_partitioned(frame, out[name].path, ["run_date"])
+    return out
+
+
+@query("erase_everywhere", f"""SELECT name, CASE WHEN user_id_hash IN (SELECT user_id_hash FROM {WANTED}) THEN 'ERASED' ELSE user_id_hash END AS user_id_hash, count(*) AS n FROM ({HOLDERS}) GROUP BY 1, 2""")
+def _erase_all(spark, d):
+    """Erasure in all tables that carry the hash, read back."""
+    stored = holders(spark, d)
+    merge.erase_everywhere(spark, stored, requests(spark, d))
+    parts = [spark.read.parquet(h.path).select(F.lit(n).alias("name"), "user_id_hash") for n, h in stored.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).groupBy("name", "user_id_hash").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("erasure_records", f"""SELECT request_id, r.user_id_hash[1:8] || '...' AS user_id_hash_prefix,
+    count(DISTINCT CASE WHEN name = 'orders' THEN part END) + count(DISTINCT CASE WHEN name = 'sessions' THEN part END) AS silver_files, CAST(count_if(name IN ('orders', 'sessions')) AS BIGINT) AS silver_rows,
+    count(DISTINCT CASE WHEN name = 'fact' THEN part END) + count(DISTINCT CASE WHEN name = 'features' THEN part END) AS gold_files, CAST(count_if(name IN ('fact', 'features')) AS BIGINT) AS gold_rows
+    FROM {WANTED} r LEFT JOIN ({HOLDERS}) h ON r.user_id_hash = h.user_id_hash GROUP BY 1, 2""")
+def _erasure_records(spark, d):
+    """Audit records counted in what the erasure rewrote."""
+    wanted = requests(spark, d)
+    ledger = merge.erase_everywhere(spark, holders(spark, d), wanted)
+    records = merge.erasure_records(wanted, ledger, F.lit("2001-08-01 00:00:00").cast("timestamp"), "run-1")
+    return records.select("request_id", "user_id_hash_prefix", F.col("silver.affected_files").alias("silver_files"), F.col("silver.affected_rows").alias("silver_rows"),
+                          F.col("gold.affected_files").alias("gold_files"), F.col("gold.affected_rows").alias("gold_rows"))
+
+
+SYNC = "k % 97 = 0 AND created_at >= TIMESTAMP '1997-01-01' AND created_at < TIMESTAMP '1997-07-01'"
+
+
+def synced(spark, d):
+    """A keyed table of all orders and a sync of a hundredth of half a year: every second of these deleted, the others shipped."""
+    rows = by_month(spark, d).select("order_id", "status", "total_cents", "cdc_ts_ms", "run_date")
+    stored = merge.KeyedTable(scratch(spark, "keyed"), ["order_id"], "run_date")
+    stored.write(rows)
+    k = F.col("order_id").cast("bigint")
+    some = rows.where((k % 97 == 0) & (F.col("run_date") >= "1997-01-01") & (F.col("run_date") < "1997-07-01"))
+    changes = some.withColumns({"status": F.lit("shipped"), "cdc_ts_ms": F.col("cdc_ts_ms") + 1, "op": F.when(k % 2 == 0, "d").otherwise("u")})
+    return stored, stored.merge(changes, ["cdc_ts_ms"], F.col("op") == "d")
+
+
+@query("merge_by_partition", f"""SELECT order_id, CASE WHEN {SYNC} THEN 'shipped' ELSE status END AS status, total_cents, {month('created_at')} AS run_date FROM silver WHERE NOT ({SYNC} AND k % 2 = 0)""")
+def _merge_rows(spark, d):
+    return synced(spark, d)[0].read(spark).select("order_id", "status", "total_cents", "run_date")
+
+
+@query("merge_opened_partitions", f"""SELECT count(DISTINCT {month('created_at')}) AS partitions, count(DISTINCT CASE WHEN {SYNC} THEN {month('created_at')} END) AS opened FROM silver""")
+def _merge_opened(spark, d):
+    """How many of the table's partitions the sync opened."""
+    told = synced(spark, d)[1]
+    return spark.range(1).select(*[F.lit(told[c]).cast("bigint").alias(c) for c in ("partitions", "opened")])
+
+
+@query("expire_stored", f"SELECT order_id, {month('created_at')} AS run_date FROM silver WHERE date_trunc('month', created_at) >= DATE '{t.AS_OF}' - 365")
+def _expire_stored(spark, d):
+    """Partitions past their retention are deleted."""
+    path = scratch(spark, "silver")
+    sinks.write_silver_orders(by_month(spark, d).select("order_id", "run_date"), path)
+    merge.expire_stored(spark, path, "run_date", "2000-08-01")
+    return spark.read.parquet(path)
+
+
+@query("write_clustered_fact", "SELECT order_id, CAST(order_date AS TIMESTAMP) AS order_date, total_cents FROM fact WHERE order_date >= TIMESTAMP '1997-01-01' AND order_date < TIMESTAMP '1997-02-01' OR user_id_hash < '1'")
+def _clustered(spark, d):
+    """Facts in Z-order, read back by a month and by a range of users."""
+    path = scratch(spark, "clustered")
+    sinks.write_clustered_fact(marts.lean_fact(spark, d), path, 8, 1 << 20)
+    rows = spark.read.parquet(path).where((F.col("order_date") >= "1997-01-01") & (F.col("order_date") < "1997-02-01") | (F.col("user_id_hash") < "1"))
+    return rows.select("order_id", "order_date", "total_cents")
+
+
+def event_folder(spark, d, root):
+    t.click_lines(spark, d).hint("rebalance", "run_date").write.partitionBy("run_date").text(f"{root}/events")
+
+
+# Readable clicks of the range, as the lines carry them.
+RANGE = "FROM clicks WHERE k % 13 <> 0 AND CAST(occurred_at AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'"
+
+
+@query("backfill_sessions", f"""WITH c AS (SELECT * {RANGE}),
+    gaps AS (SELECT *, CASE WHEN epoch_us(occurred_at) - epoch_us(lag(occurred_at) OVER s) > 1800000000 THEN 1 ELSE 0 END AS cut FROM c WINDOW s AS (PARTITION BY session_id ORDER BY occurred_at, event_id)),
+    seq AS (SELECT *, 1 + sum(cut) OVER (PARTITION BY session_id ORDER BY occurred_at, event_id ROWS UNBOUNDED PRECEDING) AS q FROM gaps)
+    SELECT session_id, CAST(q AS BIGINT) AS session_seq, min(occurred_at) AS session_start, max(occurred_at) AS session_end, count(*) AS event_count, bool_or(event_type = 'purchase' AND k % 17 <> 0) AS converted,
+    arg_min(page_url, (occurred_at, event_id)) AS entry_page, arg_max(page_url, (occurred_at, event_id)) AS exit_page FROM seq GROUP BY session_id, q""")
+def _backfill_sessions(spark, d):
+    """Session parts of January backfilled in three ranges, the middle one twice, and stitched over their borders."""
+    root, silver_path, parts = scratch(spark, "bronze"), scratch(spark, "silver"), scratch(spark, "parts")
+    event_folder(spark, d, root)
+    for first, last in ((1, 10), (11, 20), (11, 20), (21, 31)):
+        gv.backfill_ledger(spark, root, silver_path, parts, date(2024, 1, first), date(2024, 1, last), t.SALT, pattern="*")
+    whole = ck.stitch_sessions(spark.read.parquet(parts))
+    return whole.select("session_id", "session_seq", "session_start", "session_end", "event_count", "converted", "entry_page", "exit_page")
+
+
+@query("backfill_summary", """WITH m AS (SELECT run_date, """ + ingest.METRICS + """ FROM checked WHERE run_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31' GROUP BY 1),
+    days AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '1995-12-31', INTERVAL 1 DAY)) AS DATE) AS run_date)
+    SELECT count(*) AS dates_attempted, CAST(count_if(processed IS NULL) AS BIGINT) AS dates_failed, string_agg(CASE WHEN processed IS NULL THEN strftime(days.run_date, '%Y-%m-%d') END, ',' ORDER BY days.run_date) AS failed_dates,
+    CAST(sum(processed) AS BIGINT) AS total_processed, CAST(sum(valid) AS BIGINT) AS total_valid, CAST(0 AS BIGINT) AS total_events, CAST(0 AS BIGINT) AS total_sessions FROM days LEFT JOIN m USING (run_date)""")
+def _backfill_summary(spark, d):
+    """A year of daily dates over monthly folders: the days without a folder have failed and are named."""
+    root, parts = ingest.line_folder(spark, d), scratch(spark, "parts")
+    ledger = gv.backfill_ledger(spark, root, scratch(spark, "silver"), parts, date(1995, 1, 1), date(1995, 12, 31), t.SALT, pattern="*")
+    sessions = ck.sessionize(t.clicks(spark, d))
+    return gv.backfill_summary(ledger, sessions).withColumn("failed_dates", F.array_join("failed_dates", ","))
+
+
 # --- models
 
 def training(spark, d):

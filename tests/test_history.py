@@ -65,6 +65,24 @@ def test_asof_many_slices_against_brute_force(spark):
     assert got == want
 
 
+def test_range_joins_shuffle_each_side_once(spark, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.createDataFrame([(f"o{i}", "hot" if i % 3 else f"u{i % 40}", ts(i % 900)) for i in range(600)], "order_id string, user_id_hash string, at timestamp")
+        history = spark.createDataFrame([(u, "xyz"[d % 3], ts(d), ts(d + 100) if d < 800 else None) for u in ("hot", "u3", "u6") for d in range(0, 900, 100)],
+                                        "user_id_hash string, acquisition_channel string, valid_from timestamp, valid_to timestamp")
+        found = hs.scd2_point_in_time(facts, history, "at", ["acquisition_channel"])
+        want = {(r.order_id): "xyz"[(r["at"] - ts(0)).days // 100 * 100 % 3] if r.user_id_hash in ("hot", "u3", "u6") else None for r in facts.collect()}
+        text = plan(found)
+        assert {r.order_id: r.acquisition_channel for r in found.collect()} == want
+        assert text.count("Exchange hashpartitioning") == 2 and "Window" not in text and "SinglePartition" not in text.split("Subquery")[0]
+        feats = spark.createDataFrame([(f"u{i % 40}", ts(i % 300), i) for i in range(500)], "user_id_hash string, ft timestamp, v int")
+        text = plan(hs.asof_features(facts, feats, "user_id_hash", "at", "ft", ["v"]))
+        assert text.count("Exchange hashpartitioning") == 2 and "SortAggregate" not in text and "Join" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_ranks_are_positions(spark):
     df = spark.range(500).selectExpr("id", "id % 2 as g")
     rows = keyed.ranks(df, ["g"], ["id"], F.floor(F.col("id") / 37).cast("bigint"), "r").collect()

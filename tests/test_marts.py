@@ -168,3 +168,33 @@ def test_forecast_keeps_null_keys_and_empty_days(spark):
     rows = ml.forecast_demand(daily, ["k"], horizon=5).collect()
     assert {k: sum(r.k == k for r in rows) for k in (None, 7)} == {None: 79 + 5, 7: 45}
     assert sum(r.yhat for r in rows if r.k is None and not r.is_future) < 0.6 * 79 * 4
+
+
+def test_clustered_facts_are_skipped_by_date_and_by_user(spark, tmp_path):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from orderlake.operators import gold
+    from orderlake.sources import sinks
+    fact = spark.range(40_000).select(
+        F.col("id").cast("string").alias("order_id"), F.date_add(F.lit("2020-01-01"), (F.col("id") % 997).cast("int")).cast("timestamp").alias("order_date"),
+        F.when(F.col("id") % 5 == 0, F.sha2(F.lit("hot"), 256)).otherwise(F.sha2((F.col("id") % 2000).cast("string"), 256)).alias("user_id_hash"))
+    sinks.write_clustered_fact(fact, str(tmp_path / "z"), 64)
+    fact.repartitionByRange(64, "order_date").write.parquet(str(tmp_path / "by_date"))
+    user = fact.where("user_id_hash <> sha2('hot', 256)").first().user_id_hash
+
+    def share(name, column, value):
+        groups = [pq.ParquetFile(p).metadata for p in Path(tmp_path / name).glob("*.parquet")]
+        stats = [g.row_group(i).column(j).statistics for g in groups for i in range(g.num_row_groups) for j in range(g.num_columns) if g.row_group(i).column(j).path_in_schema == column]
+        return sum(s.min <= value <= s.max for s in stats) / len(stats)
+    from datetime import datetime, timezone
+    day = datetime(2021, 3, 1, tzinfo=timezone.utc)
+    date_stat = "order_date"
+    try:
+        by_day = share("z", date_stat, day)
+    except TypeError:
+        by_day = share("z", date_stat, day.replace(tzinfo=None))
+    assert by_day < 0.35 and share("z", "user_id_hash", user) < 0.35 and share("by_date", "user_id_hash", user) > 0.9
+    assert spark.read.parquet(str(tmp_path / "z")).count() == 40_000
+    assert gold.z_order_fact(fact.limit(0), 4).count() == 0
