@@ -15,10 +15,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-GENERATION_BYTES = 48 << 20
+GENERATION_BYTES = 80 << 20
 ENTRY_BYTES = 200
 REMEMBERED_CHARS = 64
-JOINED = 256
+JOINED = 128
 TEXT_RUN = 1 << 20
 _CUTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _RUNS = ("  ", "\n\n", " \n", "\n ")
@@ -115,9 +115,9 @@ def library_encoder(path: str, kind: str) -> Remembered:
         alone = [p for p in pieces if mark in p or p == " "]
         found = dict(zip(alone, single(alone)))
         others = [p for p in pieces if p not in found]
-        for i in range(0, len(others), JOINED):
-            group = others[i : i + JOINED]
-            ids = np.array(tokenizer.encode(joint.join(group) + joint, add_special_tokens=False).ids, "<u4")
+        groups = [others[i : i + JOINED] for i in range(0, len(others), JOINED)]
+        for group, e in zip(groups, tokenizer.encode_batch_fast([joint.join(g) + joint for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
             ends = np.flatnonzero(ids == mark_ids[0])
             if len(mark_ids) != 1 or len(ends) != len(group):
                 found.update(zip(group, single(group)))
