@@ -9,9 +9,11 @@ from orderlake.plans import tables as t
 from orderlake.plans.registry import query
 from orderlake.schemas import LIVE_ORDER
 from orderlake.session import scratch
+from orderlake.sources import sinks
 from orderlake.sources.bronze import change_stream
 from orderlake.streaming import alerts as sa
 from orderlake.streaming import kpis as sk
+from orderlake.streaming import lake as lk
 from orderlake.streaming import live as sl
 from orderlake.streaming import sessions as ss
 from orderlake.streaming import users as su
@@ -377,3 +379,31 @@ def _stream_totals(spark, d):
     stream = arrivals(spark, enriched(spark, d), last=False)
     sl.run_batches(stream, su.user_totals_sink(spark, path, THRESHOLD, COOLDOWN, ttl_seconds=10_000 * 86_400), scratch(spark, "ckpt"))
     return su.read_user_rows(spark, path).select("event_id", "order_count", "total_spend", "refunds", "first_seen", "previous_seen", "churn_score", "alert")
+
+
+@query("stream_hourly_bronze", """SELECT CAST(date_part('year', ts) AS INT) AS year, CAST(date_part('month', ts) AS INT) AS month, CAST(date_part('day', ts) AS INT) AS day,
+    CAST(date_part('hour', ts) AS INT) AS hour, count(*) AS n FROM events GROUP BY 1, 2, 3, 4""")
+def _stream_bronze(spark, d):
+    """Events by their own hour from four micro-batches with rows out of order, each written twice."""
+    path = scratch(spark, "hourly")
+    rows = t.live_orders(spark, d).select("event_id", "order_id", "occurred_at", F.unix_millis("occurred_at").alias("ts_ms"))
+    stream = arrivals(spark, rows, jitter_seconds=86_400, last=False)
+    sink = lk.hourly_bronze_sink(path)
+
+    def each(batch, batch_id):
+        sink(batch, batch_id)
+        sink(batch, batch_id)
+    sl.run_batches(stream, each, scratch(spark, "ckpt"))
+    return spark.read.parquet(path).groupBy(*[F.col(c).cast("int").alias(c) for c in sinks.HOUR]).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_silver_lake", "SELECT order_id, user_id_hash, status, total_cents, ts_ms AS cdc_ts_ms FROM latest")
+def _stream_lake(spark, d):
+    """Change lines to clean orders in three micro-batches, each merged into its buckets; read without deduplicating."""
+    src = scratch(spark, "topic")
+    lines = t.order_lines(spark, d).select("value")
+    for part in range(3):
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == part).write.mode("append").text(src)
+    lake = lk.SilverLake(spark, scratch(spark, "lake"), t.SALT)
+    sl.run_batches(change_stream(spark, "text", src, per_trigger=4), lake.sink(), scratch(spark, "ckpt"))
+    return lake.read(spark).select("order_id", "user_id_hash", "status", "total_cents", "cdc_ts_ms")

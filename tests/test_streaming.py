@@ -119,6 +119,25 @@ def test_silver_sink_splits_and_repeats_safely(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "silver")).count() == 3
 
 
+def test_silver_lake_merges_each_batch_and_repeats_safely(spark, tmp_path):
+    from orderlake.streaming.lake import SilverLake
+
+    def lines(*rows):
+        texts = [json.dumps({"op": "c", "ts_ms": ts, "after": {"order_id": i, "user_id": "u", "status": status, "total_cents": 5}}) for i, status, ts in rows]
+        return spark.createDataFrame([(x,) for x in [*texts, "{bad"]], "value string")
+    lake = SilverLake(spark, str(tmp_path / "lake"), "salt", buckets=4)
+    sink = lake.sink()
+    first, second, third = lines(*[(f"o{i}", "placed", 1) for i in range(40)]), lines(("o1", "shipped", 5), ("o2", "lost", 9), ("x", "placed", 1)), lines(("o1", "placed", 2), ("o3", "delivered", 3))
+    for n, batch in ((0, first), (1, second), (1, second), (2, third), (2, third)):
+        sink(batch, n)
+    got = {r.order_id: r.status for r in lake.read(spark).collect()}
+    assert got == {**{f"o{i}": "placed" for i in range(40)}, "o1": "shipped", "o3": "delivered", "x": "placed"}
+    assert lake.read(spark).count() == 41
+    slots = spark.read.parquet(str(tmp_path / "lake" / "orders")).groupBy("bucket", "slot").count().count()
+    assert slots <= 8
+    assert spark.read.parquet(str(tmp_path / "lake" / "rejected")).count() == 4
+
+
 def test_recent_store_keeps_newest(spark, paths, tmp_path):
     src, _, ckpt = paths
     for n in range(3):
