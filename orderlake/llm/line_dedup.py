@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,9 +93,11 @@ def _occurrences(exact: int, least: int):
                     halves.append(sums.key(at.first, at.first + half, 4 * m + 2))
                     halves.append(sums.key(at.stop - (m - half), at.stop, 4 * m + 3))
                 short = n[once] < least
+                here, of = slice(chunk.first, chunk.first + len(chunk.at) - 1), pa.array(at.row[once])
                 yield pa.record_batch([
-                    batch.column(0).slice(chunk.first, len(chunk.at) - 1).take(pa.array(at.row[once])), pa.array(at.number[once].astype(np.int32)),
-                    pa.array(line.view(np.int64)[once]), *(pa.array(c.view(np.int64)[once], mask=short) for c in halves)], names=["doc", "number", "line", "p0", "s0", "p1", "s1"])
+                    batch.column(0)[here].take(of), batch.column(2)[here].take(of), pa.array(at.number[once].astype(np.int32)),
+                    pa.array(line.view(np.int64)[once]), *(pa.array(c.view(np.int64)[once], mask=short) for c in halves)],
+                    names=["doc", "body", "number", "line", "p0", "s0", "p1", "s1"])
     return run
 
 
@@ -103,11 +106,12 @@ def _neighbours(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, byte_powers = Powers(), Powers()
         for batch in batches:
-            wanted = batch.column(2).to_pylist()
+            wanted = batch.column(2)
+            listed = np.repeat(np.arange(len(wanted)), pc.list_value_length(wanted).to_numpy()) << 32 | wanted.flatten().to_numpy()
             for chunk in chunks(batch.column(1)):
                 w = words(chunk, byte_powers)
                 at = long_lines(chunk, w, least)
-                pick = np.array([k for k, (r, n) in enumerate(zip(at.row.tolist(), at.number.tolist())) if n in wanted[chunk.first + r]], np.int64)
+                pick = np.flatnonzero(np.isin((at.row + chunk.first) << 32 | at.number, listed))
                 if not len(pick):
                     continue
                 sums = Sums(w, powers)
@@ -145,20 +149,29 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array([within_one(a, b) for a, b in zip(*split)], pa.bool_())).select(["line", "witness"])
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5, exact_words: int | None = None) -> DataFrame:
+OCCURRENCES = "doc long, body long, number int, line long, p0 long, s0 long, p1 long, s1 long"
+
+
+def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, text, body``: a row is known by its id and the hash of its text, as very many rows may share an id or have none."""
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"), F.xxhash64(text).alias("body"))
+
+
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5, exact_words: int = 1) -> DataFrame:
     """Distinct lines: ``line`` (hash), ``times`` (documents that hold it), ``doc, number`` of the first occurrence, and ``witness``: the first
     occurrence of the earliest line that matches it up to one word, null if there is none. See ``dedup_lines``."""
     tuned(docs.sparkSession)
-    exact = least_words if exact_words is None else min(exact_words, least_words)
-    slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    seen = stored(slim.mapInArrow(_occurrences(exact, least_words), "doc long, number int, line long, p0 long, s0 long, p1 long, s1 long"), "lines")
+    slim = _slim(docs, id_col, text_col)
+    seen = stored(slim.mapInArrow(_occurrences(min(exact_words, least_words), least_words), OCCURRENCES), "lines")
     halves = ["p0", "s0", "p1", "s1"]
-    first = stored(seen.groupBy("line").agg(F.count("*").alias("times"), F.min("doc").alias("doc"), F.min_by("number", "doc").alias("number"), *(F.max(h).alias(h) for h in halves)), "first")
+    earliest = seen.groupBy("line").agg(F.count("*").alias("times"), F.min(F.struct("doc", "number", "body")).alias("at"), *(F.max(h).alias(h) for h in halves))
+    first = stored(earliest.select("line", "times", "at.*", *halves), "first")
     each = first.select("line", F.explode(F.array_distinct(F.array(*halves))).alias("half")).where("half is not null")
     several = each.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     able = stored(each.join(several, "half").select("line").distinct(), "able")
-    listed = first.join(able, "line").groupBy("doc").agg(F.collect_list("number").alias("numbers"))
-    near = stored(slim.join(listed.hint("merge"), "doc").mapInArrow(_neighbours(least_words), "key long, place int, role int, line long, doc long, number int, words string"), "near")
+    listed = first.join(able, "line").groupBy("doc", "body").agg(F.collect_list("number").alias("numbers"))
+    near = stored(slim.join(listed.hint("merge"), ["doc", "body"]).select("doc", "text", "numbers").mapInArrow(_neighbours(least_words), "key long, place int, role int, line long, doc long, number int, words string"), "near")
 
     rank = F.struct("doc", "number", "line")
     # Cut at the same place: one word replaced. Whole against cut: one word inserted or deleted.
@@ -206,25 +219,29 @@ def _rebuild(least: int, keep: int):
     return run
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5, exact_words: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 5, exact_words: int = 1) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, and ``n_lines`` (lines before) and ``n_dropped`` (those taken out).
 
-    Lines are parts between line feeds; their words are runs of other characters than white space (0x20, 0x09-0x0D). A line of at least
-    ``least_words`` words goes if an earlier line, in the order of id and line number, has equal words or matches it up to one word,
-    however long it is: a similarity of 0.8 at five words, and closer to 1 the longer the line. It goes whether the earlier line itself stays or not. Shorter lines stay, unless ``exact_words`` is given: then those of so many words or more go
-    if an earlier line has equal words. A text without such a repetition stays as it is, to the character. Null texts stay null with no lines; the empty text is one line. Documents
-    with one id are one for the order, and null ids come last. Columns ``n_lines`` and ``n_dropped`` of the input are replaced.
+    Lines are parts between line feeds; their words are runs of other characters than white space (0x20, 0x09-0x0D). A line of
+    ``exact_words`` words or more goes if an earlier line, in the order of id and line number, has equal words; one of ``least_words`` or
+    more also if an earlier line matches it up to one word, however long it is: a similarity of 0.8 at five words, and closer to 1 the
+    longer the line. It goes whether the earlier line itself stays or not. A text without such a repetition stays as it is, to the
+    character. Null texts stay null with no lines; the empty text is one line. Rows with one id are one document for the order, null ids
+    come last. Columns ``n_lines`` and ``n_dropped`` of the input are replaced; others may have any names.
     """
     kept = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
+    exact = min(exact_words, least_words)
     lines = repeated_lines(docs, id_col, text_col, least_words, exact_words)
-    exact = least_words if exact_words is None else min(exact_words, least_words)
-    slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"))
     repeats = lines.where("times > 1 or witness is not null").select("line", F.when(F.col("witness").isNull(), F.col("doc")).alias("keep_doc"))
     repeats = stored(repeats, "repeats")
-    seen = slim.mapInArrow(_occurrences(exact, least_words), "doc long, number int, line long, p0 long, s0 long, p1 long, s1 long").select("doc", "line")
-    gone = seen.join(repeats, "line").where("keep_doc is null or doc <> keep_doc").groupBy("doc").agg(F.collect_set("line").alias("gone"))
-    plain = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text_col}`").cast("string").alias("text"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("doc of the row"))
-    marked = plain.join(gone.hint("merge").withColumnRenamed("doc", "doc of the row"), "doc of the row", "left").select(*(F.col(f"`{c}`") for c in kept), "text", "gone")
-    fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*(F.col(f"`{c}`") for c in kept)).dtypes)
-    result = marked.mapInArrow(_rebuild(exact, len(kept)), f"{fields}, text string, n_lines long, n_dropped long")
-    return result.select(*(F.col("text").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")), "n_lines", "n_dropped")
+    seen = _slim(docs, id_col, text_col).mapInArrow(_occurrences(exact, least_words), OCCURRENCES).select("doc", "body", "line")
+    gone = seen.join(repeats, "line").where("keep_doc is null or doc <> keep_doc").groupBy("doc", "body").agg(F.collect_set("line").alias("gone"))
+    # The input's columns go by their place meanwhile, so that none clashes.
+    aside = [F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(kept)]
+    text = F.col(f"`{text_col}`").cast("string")
+    plain = docs.select(*aside, text.alias("text"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("body"))
+    marked = plain.join(gone.hint("merge"), ["doc", "body"], "left").select(*(f"in_{i}" for i in range(len(kept))), "text", "gone")
+    fields = "".join(f"{c} {t}, " for c, t in docs.select(*aside).dtypes)
+    result = marked.mapInArrow(_rebuild(exact, len(kept)), f"{fields}text string, n_lines long, n_dropped long")
+    place = {c: f"in_{i}" for i, c in enumerate(kept)} | {text_col: "text"}
+    return result.select(*(F.col(place[c]).alias(c) for c in docs.columns if c in place), "n_lines", "n_dropped")

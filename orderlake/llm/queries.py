@@ -156,18 +156,19 @@ LINES_SQL = r"""
 WITH lines AS (
   SELECT doc_id, no, l, list_filter(string_split_regex(l, '[\x20\x09-\x0D]+'), lambda x : x <> '') AS w
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents)),
-long AS (SELECT doc_id, no, w, array_to_string(w, ' ') AS k FROM lines WHERE len(w) >= 5),
-firsts AS (SELECT * FROM long QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, no) = 1),
+worded AS (SELECT doc_id, no, w, array_to_string(w, ' ') AS k FROM lines WHERE len(w) >= 1),
+firsts AS (SELECT * FROM worded QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, no) = 1),
+long AS (SELECT * FROM firsts WHERE len(w) >= 5),
 cuts AS (
   SELECT doc_id, no, k, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS rest
-  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM firsts)),
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM long)),
 matches AS (
   SELECT a.k, b.doc_id AS d, b.no AS n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.p = b.p
-  UNION ALL SELECT a.k, b.doc_id, b.no FROM cuts a JOIN firsts b ON a.rest = b.k
-  UNION ALL SELECT a.k, b.doc_id, b.no FROM firsts a JOIN cuts b ON a.k = b.rest),
-near AS (SELECT DISTINCT f.k FROM firsts f JOIN matches m ON m.k = f.k WHERE (m.d, m.n) < (f.doc_id, f.no)),
+  UNION ALL SELECT a.k, b.doc_id, b.no FROM cuts a JOIN long b ON a.rest = b.k
+  UNION ALL SELECT a.k, b.doc_id, b.no FROM long a JOIN cuts b ON a.k = b.rest),
+near AS (SELECT DISTINCT f.k FROM long f JOIN matches m ON m.k = f.k WHERE (m.d, m.n) < (f.doc_id, f.no)),
 gone AS (
-  SELECT o.doc_id, o.no FROM long o JOIN firsts f USING (k) LEFT JOIN near n USING (k)
+  SELECT o.doc_id, o.no FROM worded o JOIN firsts f USING (k) LEFT JOIN near n USING (k)
   WHERE n.k IS NOT NULL OR o.doc_id <> f.doc_id OR o.no <> f.no)
 SELECT d.doc_id, coalesce(s.n_lines, 0) AS n_lines, coalesce(s.n_dropped, 0) AS n_dropped, md5(coalesce(s.kept, d.text)) AS text_md5
 FROM documents d LEFT JOIN (
@@ -183,13 +184,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
-# Every line with a word counts for equality; those of five words or more also match up to one word.
-EVERY_LINE_SQL = (
-    LINES_SQL.replace("len(w) >= 5", "len(w) >= 1").replace("cuts AS (", "several AS (SELECT * FROM firsts WHERE len(w) >= 5),\ncuts AS (", 1)
-    .replace("AS p FROM firsts)", "AS p FROM several)").replace("JOIN firsts b", "JOIN several b").replace("FROM firsts a", "FROM several a"))
-
-
-@query("op4_line_dedup_every_line", EVERY_LINE_SQL)
+@query("op4_line_dedup_every_line", LINES_SQL)
 def op4_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.line_dedup import dedup_lines
     kept = dedup_lines(table(spark, sf_dir, "documents"), exact_words=1)

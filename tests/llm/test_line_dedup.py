@@ -32,7 +32,8 @@ def words(line):
 
 def brute(rows, least=5):
     order = {i: 1 << 63 if i is None else i for i, _ in rows}
-    long = sorted((order[i], n, words(x)) for i, t in rows for n, x in enumerate((t or "").split("\n")) if len(words(x)) >= least)
+    worded = sorted((order[i], n, words(x)) for i, t in rows for n, x in enumerate((t or "").split("\n")) if words(x))
+    long = [line for line in worded if len(line[2]) >= least]
     out = []
     for i, t in rows:
         if t is None:
@@ -41,9 +42,10 @@ def brute(rows, least=5):
         kept, dropped = [], 0
         for n, x in enumerate(t.split("\n")):
             w = words(x)
-            same = [(d, m) for d, m, v in long if v == w]
+            same = [(d, m) for d, m, v in worded if v == w]
             first = min(same) if same else None
-            go = len(w) >= least and (first[0] < order[i] or first[1] < n or any((d, m) < first and close(w, v) for d, m, v in long))
+            near = len(w) >= least and any((d, m) < first and close(w, v) for d, m, v in long)
+            go = bool(w) and (first[0] < order[i] or first[1] < n or near)
             dropped += go
             kept += [] if go else [x]
         out.append((i, "\n".join(kept), t.count("\n") + 1, dropped))
@@ -82,6 +84,21 @@ def test_repeated_rows_and_no_rows(spark):
 def test_short_lines_go_if_equal(spark):
     rows = [(1, "Les.\nAll rights reserved.\n\na b c d e\na b c d"), (2, " Les. \nall rights reserved.\n\na b c d x\na b c"), (3, "All rights  reserved.\nLes. Les.\nLes.\nLes.\na b c x"), (None, "a b c d")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in dedup_lines(docs, exact_words=1).collect()}
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in dedup_lines(docs).collect()}
     assert got == {1: (rows[0][1], 0), 2: ("all rights reserved.\n\na b c", 2), 3: ("Les. Les.\na b c x", 3), None: ("", 1)}
-    assert {r["doc_id"]: r["n_dropped"] for r in dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0, None: 0}
+    assert {r["doc_id"]: r["n_dropped"] for r in dedup_lines(docs, exact_words=5).collect()} == {1: 0, 2: 1, 3: 0, None: 0}
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "one two", "x", 5, None, 8, "body", 1), (2, "one two\nthree", "y", 6, [3], 9, None, 2)]
+    docs = spark.createDataFrame(rows, "key long, page string, text string, gone int, `doc of the row` array<int>, `in_0` int, body string, `a.b` int")
+    got = dedup_lines(docs, "key", "page")
+    assert got.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert sorted(map(tuple, got.collect())) == [(1, "one two", *rows[0][2:], 1, 0), (2, "three", *rows[1][2:], 2, 1)]
+
+
+def test_rows_without_an_id_keep_lines_of_their_own(spark):
+    rows = [(None, "a b\nown line"), (None, "c d\na b"), (1, "c d"), (None, "other line\nc d"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["n_dropped"]) for r in dedup_lines(docs).collect()) == [
+        (0, "", 0), (0, "a b", 1), (0, "a b\nown line", 0), (0, "other line", 1), (1, "c d", 0)]
