@@ -195,6 +195,25 @@ def _across(percent: int):
     return run
 
 
+def block_pairs(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``hub, id, label, i, j``: the blocks to be compared so that any two members of a hub with different labels meet.
+
+    Members under a group's most frequent label are linked already, so their blocks (``i >= 0``) meet only the blocks of all other members
+    (``j < 0``), which also meet each other. A group with one label has none.
+    """
+    sizes = members.groupBy("hub", "label").agg(F.count("*").alias("n"))
+    counts = sizes.groupBy("hub").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
+    blocks = counts.select(
+        "hub", F.col("most.label").alias("main"), F.ceil(F.col("most.n") / block).cast("int").alias("mains"),
+        F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("others")).where("others > 0")
+    dealt = members.join(blocks, "hub").withColumn("main", F.col("label") == F.col("main"))
+    dealt = dealt.withColumn("own", F.expr("cast(if(main, pmod(xxhash64(id), mains), -1 - pmod(xxhash64(id), others)) as int)"))
+    # A block of others goes to each block of the main label and to each block of others, its own included.
+    meets = F.when(F.col("main"), F.sequence(-F.col("others"), F.lit(-1))).otherwise(F.sequence(-F.col("others"), F.col("mains") - 1))
+    paired = dealt.select("hub", "id", "label", "own", F.explode(meets).alias("met"))
+    return paired.select("hub", "id", "label", F.greatest("own", "met").alias("i"), F.least("own", "met").alias("j"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, registers: int = 160,
     miss: float = 1e-6, slack: float = 14.0,
@@ -239,11 +258,7 @@ def near_duplicates(
     labels = components(links)
 
     now = members.join(labels, "id", "left").select("hub", "id", F.coalesce("label", "id").alias("label"))
-    mixed = now.groupBy("hub").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo <> hi")
-    dealt = now.join(mixed.select("hub", "blocks"), "hub").withColumn("own", F.expr("pmod(xxhash64(id), blocks)").cast("int"))
-    paired = dealt.select("hub", "id", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    paired = paired.select("hub", "id", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    crossed = paired.join(sets, "id").groupBy("hub", "i", "j").applyInArrow(_across(percent), "a long, b long")
+    crossed = block_pairs(now).join(sets, "id").groupBy("hub", "i", "j").applyInArrow(_across(percent), "a long, b long")
     labels = components(links.union(stored(crossed, "links")))
     out = signed.join(classes, ["h1", "h2", "n"], "left")
     out = out.join(labels.withColumnRenamed("id", "class_id"), "class_id", "left")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from orderlake.llm._graph import components
-from orderlake.llm.near_dedup import band_width, near_duplicates, register_equality, shared_counts, sketch, unlikely
+from orderlake.llm.near_dedup import band_width, block_pairs, near_duplicates, register_equality, shared_counts, sketch, unlikely
 
 
 def brute(rows, size, percent):
@@ -100,3 +100,22 @@ def test_long_paths_and_stars(spark):
     got = {r["id"]: r["label"] for r in components(df).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1200)}
     assert components(df.limit(0)).count() == 0
+
+
+def test_a_few_strays_meet_each_block_once(spark):
+    n, block = 5000, 64
+    members = spark.range(n).selectExpr("7 AS hub", "id", "if(id % 1000 = 3, id, 0) AS label").union(spark.range(50).selectExpr("8 AS hub", "id", "5 AS label"))
+    assert block_pairs(members, block).where("hub = 7").count() <= n + 5 * (n // block + 3)
+    assert block_pairs(members, block).where("hub = 8").count() == 0
+
+
+def test_any_two_labels_meet(spark):
+    rng = random.Random(5)
+    label = {i: rng.choice([0, 0, 0, 1, 2, i]) for i in range(120)}
+    members = spark.createDataFrame([(1, i, x) for i, x in label.items()], "hub long, id long, label long")
+    groups = {}
+    for r in block_pairs(members, 8).collect():
+        groups.setdefault((r["i"], r["j"]), set()).add(r["id"])
+    met = {(a, b) for g in groups.values() for a in g for b in g}
+    assert all((a, b) in met for a in label for b in label if label[a] != label[b])
+    assert max(map(len, groups.values())) < 60
