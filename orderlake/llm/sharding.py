@@ -51,18 +51,20 @@ def _shuffle(seed: int, memory_bytes: int):
 
 def write_shuffled(docs: DataFrame, path: str, seed: int = 17, key_cols: tuple[str, ...] = ("doc_id", "text"), text_col: str = "text",
                    bucket_bytes: int = 16 << 20, memory_bytes: int = 96 << 20) -> None:
-    """Write all rows and columns of ``docs`` in a random order that ``seed`` decides.
+    """Write all rows and columns of ``docs`` in a random order that ``seed`` decides, however the input is laid out.
 
-    Buckets are sized by the bytes of the texts. Rows are hashed by ``key_cols``; rows equal in all of them share a bucket, and a bucket that
-    outgrows ``memory_bytes`` is shuffled in blocks of that size, so memory stays bounded. Null keys and texts are values like others.
+    Buckets are sized by the bytes of the texts. Rows are hashed by ``key_cols``; rows equal in all of them share a bucket. A bucket is sorted
+    by two seeded hashes of the keys before it is shuffled, so the order in which rows arrive doesn't matter; rows equal in all keys may
+    change places. One that outgrows ``memory_bytes``, as rows equal in all keys or very long texts can make it, is shuffled in blocks of that
+    size, so memory stays bounded. Null keys and texts are values like others.
     Columns are kept in one ``row`` column, so theirs may have any names. An empty table writes a table without rows.
     """
     tuned(docs.sparkSession)
     total = docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64), F.lit(0))).first()[0]
     buckets = max(1, -(-int(total) // bucket_bytes))
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.lit(seed), *key_cols).alias("key"))
+    rows = docs.select(F.struct("*").alias("row"), *(F.xxhash64(F.lit(seed + i), *key_cols).alias(k) for i, k in enumerate(("key", "tie"))))
     schema = T.StructType([*PLACES, T.StructField("row", docs.schema)])
-    rows.repartition(buckets, "key").select("row").mapInArrow(_shuffle(seed, memory_bytes), schema).write.option("compression", "zstd").parquet(path)
+    rows.repartition(buckets, "key").sortWithinPartitions("key", "tie").select("row").mapInArrow(_shuffle(seed, memory_bytes), schema).write.option("compression", "zstd").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, shards: int) -> DataFrame:

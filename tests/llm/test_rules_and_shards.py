@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from orderlake.llm.quality_rules import POLICIES, RULES, ablation, mask, measure, passes
 from orderlake.llm.queries import QUERIES
 from orderlake.llm.sharding import read_shards, write_shuffled
@@ -62,6 +64,15 @@ def test_shards(spark, tmp_path):
     assert sorted(r["slot"] for r in read_shards(spark, str(tmp_path / "d"), 16).collect()) == [0, 0, 0]
 
 
+def test_order_is_the_seeds_under_any_layout(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i % 70}" * (i % 9)) for i in range(1000)], "doc_id long, text string")
+    places = []
+    for name, rows in (("a", docs.coalesce(1)), ("b", docs.repartition(7)), ("c", docs.orderBy(F.rand(3)))):
+        write_shuffled(rows, str(tmp_path / name), bucket_bytes=8000, memory_bytes=2000)
+        places.append({r["row"]["doc_id"]: (r["shard"], r["slot"]) for r in read_shards(spark, str(tmp_path / name), 16).collect()})
+    assert places[0] == places[1] == places[2] and len(places[0]) == 1000
+
+
 def test_shard_query(spark, sf):
     docs = {r["doc_id"]: r["text"].encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = QUERIES["op2_shards"](spark, sf).collect()
