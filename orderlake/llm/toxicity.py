@@ -1,9 +1,9 @@
-"""Toxicity by nearest labelled examples: TF-IDF cosine over selected terms, by block-max inverted indexes, distance-weighted votes, calibration.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine by a block-max inverted index, distance-weighted votes, calibration.
 
 Terms are lower-cased words and their first bytes (5, 6 and 7 of longer words). The vocabulary is the terms whose document frequencies differ
-most between the labels of the examples (thresholds: see ``fit``); inverse document frequencies come from all documents. Examples stand in blocks, and for every
-term each block keeps its postings and its largest weight. A query visits blocks by falling upper bound and stops when no bound beats its
-``k``-th cosine, so the neighbours are exact. Votes weigh by cosine and by how many labelled rows an example stands for.
+most between the labels of the examples; inverse document frequencies come from all documents. Examples of one vector are one entry. Entries stand in
+blocks, and every term keeps its postings and its largest weight for each block that holds it. A query reads the blocks of the highest upper bounds, then
+those others whose bound reaches its ``k``-th cosine, so the neighbours are exact. Votes weigh by cosine and by how many labelled rows an entry stands for.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ PREFIXES = (5, 6, 7)
 BLOCK = 64
 EXAMPLES_PER_LABEL = 10_000
 VOCABULARY = 4096
-LEAST_DOCUMENTS = 3
-LEAST_G = 15.0
-LEAST_RATIO = 3.0
+FIRST = 4
+TIE = 1e-9
 PRIOR = 0.25
 SALTS = {p: np.uint64(p * 0xD6E8FEB86659FD93 % (1 << 64)) for p in PREFIXES}
 APART = np.ones(256, bool)
@@ -82,7 +81,11 @@ class Vocabulary:
 
 
 class Model(NamedTuple):
-    """All that scoring needs; its size is bounded by the bounds on examples and vocabulary."""
+    """All that scoring needs; its size is bounded by the bounds on examples and vocabulary.
+
+    An entry is one vector: ``ids`` has the smallest id of its examples, ``votes`` their weight, ``labels`` the share of the weight that is toxic.
+    ``example`` (an entry's place), ``term`` and ``weight`` are the postings. ``member_*`` name the entry and label of each example.
+    """
 
     keys: np.ndarray
     idf: np.ndarray
@@ -96,6 +99,10 @@ class Model(NamedTuple):
     unknown: float
     raw: np.ndarray
     level: np.ndarray
+    member_ids: np.ndarray = np.zeros(0, np.int64)
+    member_entry: np.ndarray = np.zeros(0, np.int64)
+    member_label: np.ndarray = np.zeros(0)
+    member_votes: np.ndarray = np.ones(2)
 
 
 def unit(term: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -103,51 +110,69 @@ def unit(term: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weight / np.sqrt((weight * weight).sum())
 
 
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after the other."""
+    before = np.cumsum(size) - size
+    return np.arange(size.sum()) + np.repeat(start - before, size)
+
+
 class Index:
-    """Block-max inverted index over the examples of a model."""
+    """Block-max inverted index over the entries of a model. Only the cells (term, block) that hold a posting are stored."""
 
     def __init__(self, model: Model) -> None:
-        count, terms = len(model.ids), len(model.keys)
-        self.model = model
-        blocks = max(1, -(-count // BLOCK))
-        self.top = np.zeros((terms, blocks))
+        self.model, self.count, terms = model, len(model.ids), len(model.keys)
         block = model.example // BLOCK
-        np.maximum.at(self.top, (model.term, block), model.weight)
-        order = np.lexsort((model.example, model.term, block))
+        order = np.lexsort((model.example, block, model.term))
         self.example, self.weight = model.example[order], model.weight[order]
-        cell = block[order] * terms + model.term[order]
-        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.zeros(0, np.int64)
-        stops = np.append(starts[1:], len(cell))
-        self.postings = {c: (a, b) for c, a, b in zip(cell[starts].tolist(), starts.tolist(), stops.tolist())}
-        self.terms = terms
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the ``k`` nearest examples with a common term, nearest first."""
-        bounds = weight @ self.top[term]
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        pairs = list(zip(term.tolist(), weight.tolist()))
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] <= best[-1] + 1e-12):
-                break
-            scores = np.zeros(BLOCK)
-            for t, q in pairs:
-                span = self.postings.get(b * self.terms + t)
-                if span:
-                    scores[self.example[span[0] : span[1]] - b * BLOCK] += q * self.weight[span[0] : span[1]]
-            found = np.flatnonzero(scores > 0)
-            at = np.concatenate((best_at, found + b * BLOCK))
-            score = np.concatenate((best, scores[found]))
-            if leave_out is not None:
-                keep = self.model.ids[at] != leave_out
-                at, score = at[keep], score[keep]
-            order = np.lexsort((at, -score))[:k]
-            best_at, best = at[order], score[order]
-        return best_at, best
-
-    def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
-        power = cosine**2 * self.model.votes[at]
-        prior = PRIOR * self.model.votes[at].min() if len(at) else PRIOR
-        return float(((power * self.model.labels[at]).sum() + prior * self.model.base) / (power.sum() + prior))
+        block, term = block[order], model.term[order]
+        new = np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(term) else np.zeros(0, bool)
+        self.start = np.flatnonzero(new)
+        self.size = np.diff(np.append(self.start, len(term)))
+        self.block = block[self.start]
+        self.top = np.maximum.reduceat(self.weight, self.start) if len(term) else np.zeros(0)
+        self.cells = np.searchsorted(term[self.start], np.arange(terms + 1))
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, barred: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the ``k`` nearest entries with a common term, and of all that tie with the ``k``-th, nearest first.
+
+        The blocks of the highest bounds come first; of the others only those are read whose bound reaches the ``k``-th cosine found there.
+        """
+        size = self.cells[term + 1] - self.cells[term]
+        cell = spans(self.cells[term], size)
+        block, query = self.block[cell], np.repeat(weight, size)
+        bounds = np.bincount(block, query * self.top[cell], minlength=1)
+        chosen = np.zeros(len(bounds), bool)
+        chosen[np.argsort(-bounds, kind="stable")[:FIRST]] = True
+        chosen &= bounds > 0
+        cosines = self._cosines(cell, query, chosen[block], barred)
+        least = np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0.0
+        others = (bounds > 0) & (bounds >= least - TIE) & ~chosen
+        if others.any():
+            cosines = cosines + self._cosines(cell, query, others[block], barred)
+            least = np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0.0
+        at = np.flatnonzero((cosines > 0) & (cosines >= least - TIE))
+        at = at[np.lexsort((at, -cosines[at]))]
+        return at, cosines[at]
+
+    def _cosines(self, cell: np.ndarray, query: np.ndarray, wanted: np.ndarray, barred: int) -> np.ndarray:
+        """Cosines of the entries that stand in the wanted cells' blocks, 0 for all others."""
+        cell, query = cell[wanted], query[wanted]
+        size = self.size[cell]
+        at = spans(self.start[cell], size)
+        found = np.bincount(self.example[at], np.repeat(query, size) * self.weight[at], minlength=self.count)
+        if barred >= 0:
+            found[barred] = 0
+        return found
+
+    def vote(self, at: np.ndarray, cosine: np.ndarray, left_out: tuple[int, float] | None = None) -> float:
+        """Share of the toxic votes; ``left_out`` is the entry and label of one example whose vote doesn't count."""
+        every = self.model.votes[at]
+        toxic = every * self.model.labels[at]
+        if left_out is not None:
+            own = (at == left_out[0]) * self.model.member_votes[int(left_out[1])]
+            every, toxic = every - own, toxic - own * left_out[1]
+        power, prior = cosine**2, PRIOR * self.model.member_votes.min()
+        return float(((power * toxic).sum() + prior * self.model.base) / ((power * every).sum() + prior))
 
 
 def calibrate(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,14 +193,14 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", k: int = 15,
-        examples_per_label: int = EXAMPLES_PER_LABEL, vocabulary: int = VOCABULARY, least_documents: int = LEAST_DOCUMENTS, least_g: float = LEAST_G,
-        least_ratio: float = LEAST_RATIO) -> Model:
+        examples_per_label: int = EXAMPLES_PER_LABEL, vocabulary: int = VOCABULARY, least_documents: int = 1, least_g: float = 0.0,
+        least_ratio: float = 1.0) -> Model:
     """Learn from at most ``examples_per_label`` labelled rows of each label, spread by a hash of the id, none of them held out.
 
     The share of each label comes from all rows that may be learned from. Labels of an id that differ count as the larger one, null labels
-    as none. A term is kept if ``least_documents`` examples or more hold it, its G statistic against the label is ``least_g`` or more, and its
-    shares among the labels differ ``least_ratio`` times or more; of these, the ``vocabulary`` terms of the largest G. Cosines are over kept terms
-    only. ``least_documents=1, least_g=0, least_ratio=1`` keeps all; the index holds a number for each term and block of examples. Ids of the examples are sent to all tasks: ``2 * examples_per_label`` numbers at most.
+    as none. Terms are the ``vocabulary`` ones of the largest G statistic against the label; thresholds may leave out more of them: terms in fewer
+    than ``least_documents`` examples, of a G below ``least_g``, or whose shares among the labels differ less than ``least_ratio`` times. Cosines are
+    over these terms. Examples of equal vectors are one entry that votes with all their labels. Ids of the examples are sent to all tasks: ``2 * examples_per_label`` numbers at most.
     """
     spark = tuned(docs.sparkSession)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
@@ -242,20 +267,36 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x.astype(np.int64))) for x in (term, n)]
                 yield pa.record_batch([batch.column(0).slice(chunk.first, size), batch.column(1).slice(chunk.first, size), *lists], names=["id", "y", "term", "n"])
 
-    found = {}
-    for r in sample.mapInArrow(vectors, "id long, y int, term array<long>, n array<long>").collect():
-        found[r["id"]] = (r["y"], np.array(r["term"], np.int64), np.array(r["n"], np.int64))
-    weight_of = {v: totals.get(v, 0) / max(1, sum(y == v for y, _, _ in found.values())) for v in (0, 1)}
-    blank = [y for y, term, _ in found.values() if not len(term)]
-    unknown = sum(weight_of[y] * y for y in blank) / max(1e-9, sum(weight_of[y] for y in blank)) if blank else base
-    spoken = [(i, y, term, unit(term, n, idf)) for i, (y, term, n) in found.items() if len(term)]
-    # Examples with the same heaviest term stand together, so that few blocks have a high bound for it.
-    spoken.sort(key=lambda x: (int(x[2][x[3].argmax()]), x[1], x[0]))
-    sizes = [len(x[2]) for x in spoken]
-    flat = lambda part, kind: np.concatenate([x[part] for x in spoken]).astype(kind) if spoken else np.zeros(0, kind)
+    found = sample.mapInArrow(vectors, "id long, y int, term array<long>, n array<long>").toArrow().combine_chunks()
+    ids, labels_of = found.column("id").to_numpy(), found.column("y").to_numpy().astype(float)
+    lists = [column.combine_chunks() if isinstance(column := found.column(c), pa.ChunkedArray) else column for c in ("term", "n")]
+    at = np.concatenate(([0], np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
+    terms, counts = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+    weight_of = np.array([totals.get(v, 0) / max(1, (labels_of == v).sum()) for v in (0, 1)])
+    blank = labels_of[np.diff(at) == 0].astype(int)
+    unknown = float((weight_of[blank] * blank).sum() / max(1e-9, weight_of[blank].sum())) if len(blank) else base
+    entries: dict[bytes, list[int]] = {}
+    units: list[tuple[np.ndarray, np.ndarray]] = []
+    for i in np.argsort(ids, kind="stable").tolist():
+        term = terms[at[i] : at[i + 1]]
+        if len(term):
+            weight = unit(term, counts[at[i] : at[i + 1]], idf)
+            same = entries.setdefault(term.tobytes() + np.round(weight, 12).tobytes(), [])
+            if not same:
+                units.append((term, weight))
+            same.append(i)
+    # Entries of the same heaviest term stand together, so that few blocks have a high bound for it.
+    spoken = sorted(zip(entries.values(), units), key=lambda x: (int(x[1][0][x[1][1].argmax()]), int(ids[x[0][0]])))
+    sizes = [len(term) for _, (term, _) in spoken]
+    flat = lambda part, kind: np.concatenate([x[1][part] for x in spoken]).astype(kind) if spoken else np.zeros(0, kind)
+    member = np.array([i for same, _ in spoken for i in same], np.int64)
+    entry = np.repeat(np.arange(len(spoken)), [len(same) for same, _ in spoken])
+    votes = np.bincount(entry, weight_of[labels_of[member].astype(int)], minlength=len(spoken))
+    toxic = np.bincount(entry, weight_of[1] * labels_of[member], minlength=len(spoken))
     model = Model(
-        keys, idf, np.array([x[0] for x in spoken], np.int64), np.array([x[1] for x in spoken], float), np.array([weight_of[x[1]] for x in spoken]),
-        np.repeat(np.arange(len(spoken)), sizes), flat(2, np.int64), flat(3, float), base, unknown, np.zeros(0), np.zeros(0))
+        keys, idf, np.array([ids[same[0]] for same, _ in spoken], np.int64), toxic / np.maximum(votes, 1e-9), votes,
+        np.repeat(np.arange(len(spoken), dtype=np.int32), sizes), flat(0, np.int32), flat(1, float), base, unknown, np.zeros(0), np.zeros(0),
+        ids[member], entry, labels_of[member], np.where(weight_of > 0, weight_of, weight_of.max()))
     if not spoken:
         return model
     trial = apply(sample, model, k, text_col="text", id_col="id", leave_out=True).join(chosen, "id").where("known").select("raw", "y").collect()
@@ -266,13 +307,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", text_col: str = "text", leave_out: bool = False, keep: bool = False) -> DataFrame:
     """``id, raw, score, known, evidence`` of each row: the vote, the calibrated score, whether a term of the vocabulary occurs, and the nearest
-    examples as ``(id, cosine, label)``. With ``leave_out`` an example isn't its own neighbour; with ``keep`` the columns of ``docs`` come with it, but
+    entries as ``(id, cosine, label)``, the label being the toxic share of the entry's examples. With ``leave_out`` an example isn't its own neighbour; with ``keep`` the columns of ``docs`` come with it, but
     for those of these names."""
     tuned(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("id", "raw", "score", "known", "evidence")] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, lexicon, index = Powers(), Vocabulary(model.keys), Index(model)
+        own = {i: (e, y) for i, e, y in zip(model.member_ids.tolist(), model.member_entry.tolist(), model.member_label.tolist())} if leave_out else {}
+        members = np.bincount(model.member_entry, minlength=len(model.ids))
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for chunk in chunks(batch.column(1 + len(others))):
@@ -284,20 +327,22 @@ def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", te
                     a, b = cuts[i], cuts[i + 1]
                     near: list[dict] = []
                     if b > a:
-                        at, cosine = index.nearest(term[a:b], unit(term[a:b], n[a:b], model.idf), k, ids[chunk.first + i] if leave_out else None)
+                        out = own.get(ids[chunk.first + i])
+                        alone = out is not None and members[out[0]] == 1
+                        at, cosine = index.nearest(term[a:b], unit(term[a:b], n[a:b], model.idf), k, out[0] if alone else -1)
                         known[i] = len(at) > 0
-                        raw[i] = index.vote(at, cosine)
-                        near = [{"id": x, "cosine": c, "label": int(y)} for x, c, y in zip(model.ids[at].tolist(), cosine.tolist(), model.labels[at].tolist())]
+                        raw[i] = index.vote(at, cosine, None if alone else out)
+                        near = [{"id": x, "cosine": c, "label": y} for x, c, y in zip(model.ids[at].tolist(), cosine.tolist(), model.labels[at].tolist())]
                     evidence.append(near)
                 score = np.interp(raw, model.raw, model.level) if len(model.raw) else raw
                 score = np.clip(np.where(known, score, model.unknown), 0, 1)
                 yield pa.record_batch([
                     *(batch.column(c).slice(chunk.first, size) for c in range(1 + len(others))), pa.array(raw), pa.array(score), pa.array(known),
-                    pa.array(evidence, pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])))],
+                    pa.array(evidence, pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.float64())])))],
                     names=["id", *others, "raw", "score", "known", "evidence"])
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), *(F.col(f"`{c}`") for c in others), F.col(f"`{text_col}`").cast("string").alias("scored text"))
     fields = ", ".join(f"`{c}` {t}" for c, t in slim.dtypes[:-1])
-    return slim.mapInArrow(run, f"{fields}, raw double, score double, known boolean, evidence array<struct<id: long, cosine: double, label: int>>")
+    return slim.mapInArrow(run, f"{fields}, raw double, score double, known boolean, evidence array<struct<id: long, cosine: double, label: double>>")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options: float) -> DataFrame:

@@ -99,7 +99,40 @@ def test_a_rare_insult_is_found_without_thresholds(spark):
     learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
     rows = [(i, f"plain words of row {i}", 0) for i in learned[:-2]] + [(i, "zorgle plain words", 1) for i in learned[-2:]] + [(9003, "zorgle", None)]
     docs, labels = frames(spark, rows)
-    assert not len(fit(docs, labels).keys)
-    model = fit(docs, labels, least_documents=1, least_g=0, least_ratio=1)
+    assert not len(fit(docs, labels, least_documents=3, least_g=15, least_ratio=3).keys)
+    model = fit(docs, labels)
     (got,) = [r for r in apply(docs, model).collect() if r["id"] == 9003]
-    assert got["known"] and {e["id"] for e in got["evidence"]} == set(learned[-2:])
+    assert got["known"] and [(e["id"], e["label"]) for e in got["evidence"]] == [(learned[-2], 1.0)]
+
+
+def test_examples_of_one_vector_vote_together(spark):
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, "zorgle plain", int(n % 4 > 0)) for n, i in enumerate(learned[:80])] + [(i, f"other talk {i}", 0) for i in learned[80:]] + [(9003, "plain zorgle", None)]
+    docs, labels = frames(spark, rows)
+    model = fit(docs, labels)
+    same = model.ids.tolist().index(learned[0])
+    assert abs(model.labels[same] - 0.75) < 1e-9 and len(model.ids) == 1 + len(learned) - 80 and len(model.member_ids) == len(learned)
+    (got,) = [r for r in apply(docs, model).collect() if r["id"] == 9003]
+    assert [(e["id"], round(e["cosine"], 9), round(e["label"], 9)) for e in got["evidence"]] == [(learned[0], 1.0, 0.75)] and 0.6 < got["score"] < 0.85
+    turned = frames(spark, rows[::-1])
+    assert [r["score"] for r in apply(turned[0], fit(*turned)).orderBy("id").collect()] == [r["score"] for r in apply(docs, model).orderBy("id").collect()]
+
+
+def test_a_left_out_example_has_no_vote():
+    one = Model(
+        np.arange(1, dtype=np.uint64), np.ones(1), np.array([5]), np.array([0.5]), np.array([2.0]), np.array([0]), np.array([0]), np.ones(1), 0.0, 0.5, np.zeros(0),
+        np.zeros(0), np.array([5, 6]), np.array([0, 0]), np.array([1.0, 0.0]), np.ones(2))
+    index = Index(one)
+    at, cosine = index.nearest(np.array([0]), np.ones(1), 15)
+    assert at.tolist() == [0] and index.vote(at, cosine) == 1 / 2.25
+    assert index.vote(at, cosine, (0, 1.0)) == 0 and index.vote(at, cosine, (0, 0.0)) == 1 / 1.25
+    assert index.nearest(np.array([0]), np.ones(1), 15, barred=0)[0].tolist() == []
+
+
+def test_all_that_tie_with_the_last_neighbour_are_found():
+    count = 500
+    model = Model(
+        np.arange(count + 1, dtype=np.uint64), np.ones(count + 1), np.arange(count), np.zeros(count), np.ones(count), np.repeat(np.arange(count), 2),
+        np.stack((np.zeros(count, int), np.arange(1, count + 1)), 1).ravel(), np.full(2 * count, 0.5**0.5), 0.5, 0.5, np.zeros(0), np.zeros(0))
+    at, cosine = Index(model).nearest(np.array([0]), np.ones(1), 15)
+    assert at.tolist() == list(range(count)) and np.allclose(cosine, 0.5**0.5)
