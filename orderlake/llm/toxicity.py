@@ -2,8 +2,8 @@
 
 Terms are lower-cased words and their first bytes (5, 6 and 7 of longer words). The vocabulary is the terms whose document frequencies differ
 most between the labels of the examples; inverse document frequencies come from all documents. Examples of one vector are one entry. Entries stand in
-blocks, and every term keeps its postings and its largest weight for each block that holds it. A query reads the blocks of the highest upper bounds, then
-those others whose bound reaches its ``k``-th cosine, so the neighbours are exact. Votes weigh by cosine and by how many labelled rows an entry stands for.
+blocks, and every term keeps its postings and its largest weight for each block that holds it. A query reads only blocks whose upper bound reaches its
+``k``-th cosine, so the neighbours are exact. Votes weigh by cosine and by how many labelled rows an entry stands for.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ PREFIXES = (5, 6, 7)
 BLOCK = 64
 EXAMPLES_PER_LABEL = 10_000
 VOCABULARY = 4096
-FIRST = 4
+ROWS = 512
+SHARE = 20
 TIE = 1e-9
 PRIOR = 0.25
 SALTS = {p: np.uint64(p * 0xD6E8FEB86659FD93 % (1 << 64)) for p in PREFIXES}
@@ -116,53 +117,84 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - before, size)
 
 
+def kth(values: np.ndarray, k: int) -> float:
+    """The ``k``-th largest value, 0 if there are fewer or it is negative."""
+    return max(0.0, float(np.partition(values, len(values) - k)[len(values) - k])) if len(values) >= k else 0.0
+
+
 class Index:
-    """Block-max inverted index over the entries of a model. Only the cells (term, block) that hold a posting are stored."""
+    """Block-max inverted index over the entries of a model.
+
+    A term in a large share of the entries (at most ``ROWS`` terms) has its weights as a row over all entries, any other term its postings and
+    largest weights by block, stored only for the blocks that hold it. Each entry's own terms stand together once more, for its exact cosine.
+    """
 
     def __init__(self, model: Model) -> None:
         self.model, self.count, terms = model, len(model.ids), len(model.keys)
-        block = model.example // BLOCK
-        order = np.lexsort((model.example, block, model.term))
-        self.example, self.weight = model.example[order], model.weight[order]
-        block, term = block[order], model.term[order]
+        self.blocks = max(1, -(-self.count // BLOCK))
+        self.own_term, self.own_weight = model.term, model.weight
+        self.own = np.searchsorted(model.example, np.arange(self.count + 1))
+        holds = np.bincount(model.term, minlength=terms)
+        frequent = np.argsort(-holds, kind="stable")[:ROWS]
+        frequent = frequent[holds[frequent] * SHARE > self.count]
+        self.row_of = np.full(terms, -1)
+        self.row_of[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), self.blocks * BLOCK), np.float32)
+        here = self.row_of[model.term] >= 0
+        self.rows[self.row_of[model.term[here]], model.example[here]] = model.weight[here]
+        order = np.flatnonzero(~here)
+        order = order[np.argsort(model.term[order], kind="stable")]
+        self.example, self.weight, term = model.example[order].astype(np.int64), model.weight[order], model.term[order]
+        block = self.example // BLOCK
         new = np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(term) else np.zeros(0, bool)
         self.start = np.flatnonzero(new)
         self.size = np.diff(np.append(self.start, len(term)))
         self.block = block[self.start]
         self.top = np.maximum.reduceat(self.weight, self.start) if len(term) else np.zeros(0)
         self.cells = np.searchsorted(term[self.start], np.arange(terms + 1))
+        self.query = np.zeros(terms)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, barred: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the ``k`` nearest entries with a common term, and of all that tie with the ``k``-th, nearest first.
 
-        The blocks of the highest bounds come first; of the others only those are read whose bound reaches the ``k``-th cosine found there.
+        The rows of frequent terms come first. With them every block has a best entry, and the ``k``-th best of these is a cosine that the
+        ``k``-th neighbour reaches. Postings of the other terms are read only in blocks that can reach it. The sums are of single precision; all
+        entries that reach the ``k``-th best within its error then get their exact cosine.
         """
-        size = self.cells[term + 1] - self.cells[term]
-        cell = spans(self.cells[term], size)
-        block, query = self.block[cell], np.repeat(weight, size)
-        bounds = np.bincount(block, query * self.top[cell], minlength=1)
-        chosen = np.zeros(len(bounds), bool)
-        chosen[np.argsort(-bounds, kind="stable")[:FIRST]] = True
-        chosen &= bounds > 0
-        cosines = self._cosines(cell, query, chosen[block], barred)
-        least = np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0.0
-        others = (bounds > 0) & (bounds >= least - TIE) & ~chosen
-        if others.any():
-            cosines = cosines + self._cosines(cell, query, others[block], barred)
-            least = np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0.0
-        at = np.flatnonzero((cosines > 0) & (cosines >= least - TIE))
-        at = at[np.lexsort((at, -cosines[at]))]
-        return at, cosines[at]
-
-    def _cosines(self, cell: np.ndarray, query: np.ndarray, wanted: np.ndarray, barred: int) -> np.ndarray:
-        """Cosines of the entries that stand in the wanted cells' blocks, 0 for all others."""
+        slack = (len(term) + 4) * 2.0**-23
+        row, single = self.row_of[term], weight.astype(np.float32)
+        total, part = np.zeros(self.blocks * BLOCK, np.float32), np.empty(self.blocks * BLOCK, np.float32)
+        for r, q in zip(row[row >= 0].tolist(), single[row >= 0]):
+            total += np.multiply(self.rows[r], q, out=part)
+        if barred >= 0:
+            total[barred] = -1
+        seldom = term[row < 0]
+        size = self.cells[seldom + 1] - self.cells[seldom]
+        cell, query = spans(self.cells[seldom], size), np.repeat(weight[row < 0], size)
+        best = total.reshape(-1, BLOCK).max(1)
+        bounds = np.maximum(best, 0) + np.bincount(self.block[cell], query * self.top[cell], minlength=self.blocks)
+        wanted = (bounds >= kth(best, k) - slack)[self.block[cell]]
         cell, query = cell[wanted], query[wanted]
         size = self.size[cell]
-        at = spans(self.start[cell], size)
-        found = np.bincount(self.example[at], np.repeat(query, size) * self.weight[at], minlength=self.count)
+        place = spans(self.start[cell], size)
+        total += np.bincount(self.example[place], np.repeat(query, size) * self.weight[place], minlength=len(total)).astype(np.float32)
         if barred >= 0:
-            found[barred] = 0
-        return found
+            total[barred] = -1
+        at = np.flatnonzero(total >= max(kth(total.reshape(-1, BLOCK).max(1), k) - slack, 2.0**-60))
+        self.query[term] = weight
+        cosines = self._cosines(at)
+        self.query[term] = 0
+        keep = cosines >= kth(cosines, k) - TIE
+        at, cosines = at[keep], cosines[keep]
+        order = np.lexsort((at, -cosines))
+        return at[order], cosines[order]
+
+    def _cosines(self, at: np.ndarray) -> np.ndarray:
+        if not len(at):
+            return np.zeros(0)
+        size = self.own[at + 1] - self.own[at]
+        place = spans(self.own[at], size)
+        return np.add.reduceat(self.query[self.own_term[place]] * self.own_weight[place], np.cumsum(size) - size)
 
     def vote(self, at: np.ndarray, cosine: np.ndarray, left_out: tuple[int, float] | None = None) -> float:
         """Share of the toxic votes; ``left_out`` is the entry and label of one example whose vote doesn't count."""
@@ -316,29 +348,34 @@ def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", te
         powers, lexicon, index = Powers(), Vocabulary(model.keys), Index(model)
         own = {i: (e, y) for i, e, y in zip(model.member_ids.tolist(), model.member_entry.tolist(), model.member_label.tolist())} if leave_out else {}
         members = np.bincount(model.member_entry, minlength=len(model.ids))
+        nothing = np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for chunk in chunks(batch.column(1 + len(others))):
                 size = len(chunk.at) - 1
                 row, term, n = lexicon.counts(chunk, powers)
                 cuts = np.searchsorted(row, np.arange(size + 1)).tolist()
-                raw, known, evidence = np.full(size, model.base), np.zeros(size, bool), []
+                raw, known = np.full(size, model.base), np.zeros(size, bool)
+                found: list[tuple[np.ndarray, np.ndarray]] = []
                 for i in range(size):
                     a, b = cuts[i], cuts[i + 1]
-                    near: list[dict] = []
+                    at, cosine = nothing
                     if b > a:
                         out = own.get(ids[chunk.first + i])
                         alone = out is not None and members[out[0]] == 1
                         at, cosine = index.nearest(term[a:b], unit(term[a:b], n[a:b], model.idf), k, out[0] if alone else -1)
                         known[i] = len(at) > 0
                         raw[i] = index.vote(at, cosine, None if alone else out)
-                        near = [{"id": x, "cosine": c, "label": y} for x, c, y in zip(model.ids[at].tolist(), cosine.tolist(), model.labels[at].tolist())]
-                    evidence.append(near)
+                    found.append((at, cosine))
+                near = np.concatenate([nothing[0], *(at for at, _ in found)])
+                cosines = np.concatenate([nothing[1], *(cosine for _, cosine in found)])
+                until = np.concatenate(([0], np.cumsum([len(at) for at, _ in found]))).astype(np.int32)
+                evidence = pa.StructArray.from_arrays([pa.array(model.ids[near]), pa.array(cosines), pa.array(model.labels[near])], names=["id", "cosine", "label"])
                 score = np.interp(raw, model.raw, model.level) if len(model.raw) else raw
                 score = np.clip(np.where(known, score, model.unknown), 0, 1)
                 yield pa.record_batch([
                     *(batch.column(c).slice(chunk.first, size) for c in range(1 + len(others))), pa.array(raw), pa.array(score), pa.array(known),
-                    pa.array(evidence, pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.float64())])))],
+                    pa.ListArray.from_arrays(pa.array(until), evidence)],
                     names=["id", *others, "raw", "score", "known", "evidence"])
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), *(F.col(f"`{c}`") for c in others), F.col(f"`{text_col}`").cast("string").alias("scored text"))
     fields = ", ".join(f"`{c}` {t}" for c, t in slim.dtypes[:-1])
