@@ -14,10 +14,10 @@ YEAR = 366 * DAY
 
 
 def silver_users(users: DataFrame, salt: str) -> DataFrame:
-    """Users without identifiers; the hash is the only key."""
+    """Users without identifiers; the hash is the only key. Times that can't be read are null."""
     return users.select(
         hash_pii("user_id", salt).alias("user_id_hash"), "country_code", "acquisition_channel",
-        F.col("created_at").cast("timestamp").alias("created_at"), F.col("updated_at").cast("timestamp").alias("updated_at"),
+        F.col("created_at").try_cast("timestamp").alias("created_at"), F.col("updated_at").try_cast("timestamp").alias("updated_at"),
     )
 
 
