@@ -31,12 +31,20 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 def worker_state(name: str, make: Callable[[], Any], large: bool = False) -> Any:
     """One object per Python worker process, kept between its tasks (functions travel by value, their globals do not stay). A worker keeps one
-    ``large`` object: the next one takes its place."""
+    ``large`` object: the next one takes its place, and ``free_worker_state`` drops it."""
     home = sys.modules.setdefault("orderlake_worker_state", types.ModuleType("orderlake_worker_state"))
     if not hasattr(home, name):
         if large:
-            for other in getattr(home, "large objects", ()):
-                delattr(home, other)
+            free_worker_state()
             setattr(home, "large objects", (name,))
         setattr(home, name, make())
     return getattr(home, name)
+
+
+def free_worker_state() -> None:
+    """Drop the large object that an operator before has left in this worker; operators without one call it when a task starts."""
+    home = sys.modules.get("orderlake_worker_state")
+    for name in getattr(home, "large objects", ()):
+        delattr(home, name)
+    if home is not None:
+        setattr(home, "large objects", ())

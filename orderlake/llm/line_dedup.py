@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._runtime import stored, tuned
+from orderlake.llm._runtime import free_worker_state, stored, tuned
 from orderlake.llm._text import Chunk, Powers, Words, chunks, mix, words
 
 LAST = (1 << 63) - 1
@@ -74,6 +74,7 @@ class Sums:
 def _occurrences(exact: int, least: int):
     """Lines of ``exact`` words or more; those under ``least`` words have no halves, so nothing but an equal line matches them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers, byte_powers = Powers(), Powers()
         for batch in batches:
             for chunk in chunks(batch.column(1)):
@@ -104,6 +105,7 @@ def _occurrences(exact: int, least: int):
 def _neighbours(least: int):
     """Rows ``doc, text, numbers``: for each listed line its whole key with its words, and its keys without one word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers, byte_powers = Powers(), Powers()
         for batch in batches:
             wanted = batch.column(2)
@@ -192,6 +194,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _rebuild(least: int, keep: int):
     """Rows carry the id, other columns, the text and its ``gone`` lines; ``keep`` counts the columns before the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers, byte_powers = Powers(), Powers()
         for batch in batches:
             gone = [set(g or ()) for g in batch.column(keep + 1).to_pylist()]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm._graph import components
-from orderlake.llm._runtime import stored, tuned
+from orderlake.llm._runtime import free_worker_state, stored, tuned
 from orderlake.llm._text import Powers, binaries, chunks, mix, shingles, words
 
 SPACING = 1.1
@@ -81,6 +81,7 @@ def unlikely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, thres
 
 def _signatures(id_col: str, text_col: str, size: int, registers: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers = Powers()
         for batch in batches:
             ids, text = batch.column(0), batch.column(1)
@@ -128,6 +129,7 @@ def _likely(threshold: float, registers: int, slack: float):
 
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers = Powers()
         for batch in batches:
             for chunk in chunks(batch.column(1)):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._runtime import tuned
+from orderlake.llm._runtime import free_worker_state, tuned
 from orderlake.llm._text import Powers, chunks, mix, runs, words
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters"]
@@ -100,6 +100,7 @@ def _lines(data: np.ndarray, text_at: np.ndarray, word_start: np.ndarray, powers
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The last column is the text; the others are handed on."""
+    free_worker_state()
     powers = Powers()
     is_symbol = np.zeros(256, bool)
     is_symbol[list(SYMBOLS)] = True

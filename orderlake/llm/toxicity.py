@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm._runtime import tuned
+from orderlake.llm._runtime import free_worker_state, tuned
 from orderlake.llm._text import BYTES, Chunk, Powers, chunks, mix, words
 
 PREFIXES = (5, 6, 7)
@@ -249,6 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = slim.join(chosen, "id").select("id", "y", "text")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers = Powers()
         for batch in batches:
             y = batch.column(1).to_numpy()
@@ -275,6 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lexicon = Vocabulary(keys)
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers, seen, rows = Powers(), np.zeros(len(keys) + 1, np.int64), 0
         for batch in batches:
             for chunk in chunks(batch.column(1)):
@@ -345,6 +347,7 @@ def apply(docs: DataFrame, model: Model, k: int = 15, id_col: str = "doc_id", te
     others = [c for c in docs.columns if c not in ("id", "raw", "score", "known", "evidence")] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_state()
         powers, lexicon, index = Powers(), Vocabulary(model.keys), Index(model)
         own = {i: (e, y) for i, e, y in zip(model.member_ids.tolist(), model.member_entry.tolist(), model.member_label.tolist())} if leave_out else {}
         members = np.bincount(model.member_entry, minlength=len(model.ids))
