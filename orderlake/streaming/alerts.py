@@ -1,4 +1,4 @@
-"""Alert dispatcher: several rules into one state per (type, entity), with a cooldown and two logs.
+"""Alert dispatcher: several rules into one state, with a cooldown per (type, entity) and two logs.
 
 Candidates wait in the state until the watermark has passed their time, so decisions are made in event time and don't depend on how rows were cut into
 micro-batches. An alert is sent if the cooldown since the last *sent* one of its key is over, else it is suppressed; forced alerts are always
@@ -7,9 +7,12 @@ sent and leave the cooldown alone.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -21,6 +24,7 @@ from orderlake.streaming.frames import frame
 
 CHURN_FROM = 0.80
 COOLDOWN_SECONDS = 300
+BUCKETS = 64
 RECORD = ["alert_type", "entity", "severity", "title", "body", "data", "forced", "event_id", "fired_at"]
 
 
@@ -57,72 +61,99 @@ def stall_candidates(depths: DataFrame, threshold: int) -> DataFrame:
 
 
 class Dispatcher(StatefulProcessor):
-    """Per (type, entity): candidates not decided yet, and the time of the last sent one, which is forgotten when its cooldown is over."""
+    """Per bucket of (type, entity) pairs: candidates not decided yet, and the time of the last sent one of each pair, which is forgotten when its cooldown is over.
+
+    Candidates wait as Arrow data, so a bucket costs a few calls to the state store in a batch, however many pairs and rows it holds.
+    """
 
     ROW = "t bigint, event_id string, forced boolean, severity string, title string, body string, data string"
+    NAMES = ["alert_type", "entity", *(f.split()[0] for f in ROW.split(", "))]
+    FIELDS = pa.schema([(n, pa.int64() if n == "t" else pa.bool_() if n == "forced" else pa.string()) for n in NAMES])
+    CHUNK = 20_000
 
     def __init__(self, cooldown_seconds: int):
         self.need = cooldown_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.ROW)
-        self.sent = handle.getValueState("sent", "t bigint")
+        self.waiting = handle.getListState("waiting", "least bigint, rows binary")
+        self.sent = handle.getValueState("sent", "pairs binary")
 
     def _wake(self, at_us: int) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(-(-at_us // 1000))
 
+    def _chunks(self, rows: pa.Table) -> list[tuple[int, bytes]]:
+        out = []
+        for start in range(0, len(rows), self.CHUNK):
+            part, sink = rows.slice(start, self.CHUNK).combine_chunks(), pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, self.FIELDS) as writer:
+                writer.write_table(part)
+            out.append((pc.min(part["t"]).as_py(), sink.getvalue().to_pybytes()))
+        return out
+
+    def _sent(self) -> dict[tuple, int]:
+        return {(kind, entity): t for kind, entity, t in json.loads(self.sent.get()[0])} if self.sent.exists() else {}
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = [f.split()[0] for f in self.ROW.split(", ")]
-        new = [tuple(r) for pdf in rows for r in pdf[names].astype(object).where(pdf[names].notna(), None).itertuples(index=False)]
-        new = [(int(t), e, bool(f), *rest) for t, e, f, *rest in new]
-        earlier = [r[0] for r in self.waiting.get()] if self.waiting.exists() else []
-        self.waiting.appendList(new)
-        self._wake(min(earlier + [r[0] for r in new]))
+        new = pa.concat_tables([pa.table({n: pa.array(pdf[n].astype(object).where(pdf[n].notna(), None), f.type, from_pandas=True)
+                                          for n, f in zip(self.NAMES, self.FIELDS)}, self.FIELDS) for pdf in rows])
+        if new["t"].null_count:
+            raise ValueError("a candidate without a time")
+        chunks = self._chunks(new)
+        earlier = [at for (at,) in [r[:1] for r in self.waiting.get()]] if self.waiting.exists() else []
+        self.waiting.appendList(chunks)
+        expiries = [t + self.need for t in self._sent().values()]
+        self._wake(min([*earlier, *expiries, *(at for at, _ in chunks)]))
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(map(tuple, self.waiting.get()), key=lambda r: (r[0], r[1] or "")) if self.waiting.exists() else []
-        ready, rest = [r for r in rows if r[0] <= now], [r for r in rows if r[0] > now]
-        last = self.sent.get()[0] if self.sent.exists() else None
-        outcomes = []
-        for t, _, forced, *_ in ready:
-            free = forced or last is None or t - last >= self.need
+        held = [pa.ipc.open_stream(r[1]).read_all() for r in self.waiting.get()] if self.waiting.exists() else []
+        rows = pa.concat_tables(held) if held else self.FIELDS.empty_table()
+        due = pc.less_equal(rows["t"], now)
+        ready, rest = rows.filter(due), rows.filter(pc.invert(due))
+        ready = ready.append_column("_tie", pc.fill_null(ready["event_id"], "")).sort_by([("t", "ascending"), ("_tie", "ascending")]).drop_columns("_tie")
+        last, outcomes = self._sent(), []
+        told = {n: ready[n].to_pylist() for n in self.NAMES}
+        for kind, entity, t, forced in zip(told["alert_type"], told["entity"], told["t"], told["forced"]):
+            before = last.get((kind, entity))
+            free = bool(forced) or before is None or t - before >= self.need
             outcomes.append("sent" if free else "suppressed")
             if free and not forced:
-                last = t
-        if rest:
-            self.waiting.put(rest)
+                last[kind, entity] = t
+        open_pairs = set(zip(rest["alert_type"].to_pylist(), rest["entity"].to_pylist()))
+        last = {pair: t for pair, t in last.items() if pair in open_pairs or t + self.need > now}
+        if len(rest):
+            self.waiting.put(self._chunks(rest))
         else:
             self.waiting.clear()
-        if last is not None and (rest or last + self.need > now):
-            self.sent.update((last,))
+        if last:
+            self.sent.update((json.dumps([[*pair, t] for pair, t in last.items()]).encode(),))
         elif self.sent.exists():
             self.sent.clear()
-            last = None
-        if rest:
-            self._wake(rest[0][0])
-        elif last is not None:
-            self._wake(last + self.need)
-        columns = list(zip(*ready)) or [()] * 7
-        names = [f.split()[0] for f in self.ROW.split(", ")]
-        told = {"alert_type": [key[0]] * len(ready), "entity": [key[1]] * len(ready), **dict(zip(names, map(list, columns))), "outcome": outcomes}
-        yield frame(list(told), told)
+        # A pair with rows to come is looked at again when they are due.
+        wakes = [t + self.need for pair, t in last.items() if pair not in open_pairs]
+        if len(rest):
+            wakes.append(pc.min(rest["t"]).as_py())
+        if wakes:
+            self._wake(min(wakes))
+        yield frame([*self.NAMES, "outcome"], {**told, "outcome": outcomes})
 
     def close(self) -> None:
         pass
 
 
-def dispatch(candidates: DataFrame, cooldown_seconds: int = COOLDOWN_SECONDS, watermark: str = "10 minutes") -> DataFrame:
-    """Each candidate with its ``outcome``, ``sent`` or ``suppressed``; at exactly the cooldown an alert is sent again. Candidates without a type, an entity or a
-    time are left to the caller. What a key keeps is bounded by the candidates within the watermark's delay. Needs the RocksDB store."""
-    names = [f.split()[0] for f in Dispatcher.ROW.split(", ")]
+def dispatch(candidates: DataFrame, cooldown_seconds: int = COOLDOWN_SECONDS, watermark: str = "10 minutes", buckets: int = BUCKETS) -> DataFrame:
+    """Each candidate with its ``outcome``, ``sent`` or ``suppressed``; at exactly the cooldown an alert is sent again. Candidates without a time are left to
+    the caller. What a bucket of pairs keeps is bounded by their candidates within the watermark's delay and their last sent ones; the number of
+    buckets must stay while a checkpoint lives. Needs the RocksDB store."""
+    names = Dispatcher.NAMES[3:]
     # The time goes on as a number, so a row later than the watermark isn't dropped; it is decided at once, against what was sent before.
-    rows = candidates.withWatermark("fired_at", watermark).select("alert_type", "entity", F.unix_micros("fired_at").alias("t"), *names[1:])
-    out = rows.groupBy("alert_type", "entity").transformWithStateInPandas(
+    rows = candidates.withWatermark("fired_at", watermark).select(
+        F.pmod(F.xxhash64("alert_type", "entity"), F.lit(buckets)).cast("int").alias("_bucket"), "alert_type", "entity", F.unix_micros("fired_at").alias("t"), *names)
+    out = rows.groupBy("_bucket").transformWithStateInPandas(
         Dispatcher(cooldown_seconds), outputStructType=f"alert_type string, entity string, {Dispatcher.ROW}, outcome string", outputMode="append", timeMode="EventTime")
     return out.withColumn("fired_at", F.timestamp_micros("t")).select(*RECORD, "outcome")
 
