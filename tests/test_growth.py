@@ -45,3 +45,21 @@ def test_dispatcher_state_has_a_row_a_bucket_not_one_a_pair(spark, tmp_path):
     query.awaitTermination()
     held = max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"])
     assert 0 < held <= 4 * sa.BUCKETS
+
+
+def test_many_small_groups_are_cut_from_sorted_batches(spark, plan):
+    rows = [(None if i % 40 == 0 else f"k{i % 40}" if i % 3 else "big", i * 7 % 501, None if i % 11 == 0 else i) for i in range(500)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        def fn(key, columns):
+            return None if key[0] == "k7" else {"n": [len(columns["t"])], "ts": [columns["t"].tolist()], "v": [float(sum(x for x in columns["v"].tolist() if x == x))]}
+        out = map_groups(spark.createDataFrame(rows, "k string, t bigint, v bigint"), ["k"], ["t"], "n bigint, ts array<bigint>, v double", fn)
+        got = {r.k: (r.n, r.ts, r.v) for r in out.collect()}
+        text = plan(out)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for k in {r[0] for r in rows} - {"k7"}:
+        own = [r for r in rows if r[0] == k]
+        want[k] = (len(own), sorted(r[1] for r in own), float(sum(r[2] or 0 for r in own)))
+    assert got == want and "MapInArrow" in text and "FlatMapGroups" not in text
