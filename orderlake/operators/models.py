@@ -17,6 +17,7 @@ LEAKY = ["days_since_last_order"]
 MIN_ROWS = 10
 MIN_POINTS = 14
 BAND_80 = 1.2815515655446004
+AROUND = 366
 
 
 def model_features(exclude_leaky: bool = False) -> list[str]:
@@ -113,10 +114,9 @@ def score_churn(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(rows).select("user_id_hash", vector_to_array("probability")[1].alias("churn_probability"))
 
 
-def _seasonal(days: np.ndarray, origin: int, span: float) -> np.ndarray:
-    """Trend with a few possible bends, weekly and yearly Fourier terms."""
-    t = (days - origin) / span
-    columns = [np.ones_like(t), t, *[np.maximum(0.0, t - bend) for bend in np.linspace(0.1, 0.8, 8)]]
+def _waves(days: np.ndarray) -> np.ndarray:
+    """Weekly and yearly Fourier terms, which depend on the day alone."""
+    columns = []
     for period, order in ((7.0, 3), (365.25, 10)):
         for k in range(1, order + 1):
             angle = 2 * np.pi * k * days / period
@@ -124,6 +124,12 @@ def _seasonal(days: np.ndarray, origin: int, span: float) -> np.ndarray:
     return np.column_stack(columns)
 
 
+def _trend(days: np.ndarray, origin: int, span: float) -> np.ndarray:
+    """Trend with a few possible bends."""
+    t = (days - origin) / span
+    return np.column_stack([np.ones_like(t), t, *[np.maximum(0.0, t - bend) for bend in np.linspace(0.1, 0.8, 8)]])
+
+
 def forecast_demand(daily: DataFrame, keys: list[str], horizon: int = 30) -> DataFrame:
     """Fitted and future demand per series: yhat with an 80 % band, clipped at zero, one decimal.
 
@@ -132,29 +138,35 @@ def forecast_demand(daily: DataFrame, keys: list[str], horizon: int = 30) -> Dat
     ``too_short`` and no values; all others are ``ok``. A NULL key is a series like any other.
     """
 
+    known: dict = {}
+
+    def waves(first: int, last: int) -> np.ndarray:
+        """Terms of the days of a series; neighbouring series share most of their days, so a task keeps them."""
+        if not known or first < known["first"] or last > known["last"]:
+            known.update(first=first - AROUND, last=last + AROUND, terms=_waves(np.arange(first - AROUND, last + AROUND + 1).astype(float)))
+        return known["terms"][first - known["first"] : last - known["first"] + 1]
+
     def fit(key: tuple, columns: dict) -> dict | None:
         seen = np.array(columns["ds"], dtype="datetime64[D]").astype("int64")
         if len(seen) < MIN_POINTS:
             none = [None] * len(seen)
-            return {"ds": seen.astype("datetime64[D]").astype(object), "yhat": none, "yhat_lower": none, "yhat_upper": none, "is_future": [False] * len(seen),
-                    "status": ["too_short"] * len(seen)}
-        days = np.arange(seen[0], seen[-1] + 1)
-        y = np.zeros(len(days))
-        np.add.at(y, seen - seen[0], columns["y"].astype(float))
-        span = max(1.0, float(days[-1] - days[0]))
-        x = _seasonal(days.astype(float), int(days[0]), span)
+            return {"ds": seen.astype("datetime64[D]"), "yhat": none, "yhat_lower": none, "yhat_upper": none, "is_future": [False] * len(seen)}
+        first, last = int(seen[0]), int(seen[-1])
+        ahead = np.arange(first, last + horizon + 1)
+        y = np.zeros(last - first + 1)
+        np.add.at(y, seen - first, columns["y"].astype(float))
+        span = max(1.0, float(last - first))
+        terms = np.concatenate([_trend(ahead.astype(float), first, span), waves(first, last + horizon)], axis=1)
+        x = terms[: len(y)]
         penalty = np.diag([1e-9, 1e-9, *[1.0] * 8, *[0.1] * (x.shape[1] - 10)])
         beta = np.linalg.solve(x.T @ x + penalty, x.T @ y)
         band = BAND_80 * float(np.std(y - x @ beta))
-        ahead = np.concatenate([days, days[-1] + np.arange(1, horizon + 1)])
-        yhat = _seasonal(ahead.astype(float), int(days[0]), span) @ beta
+        yhat = terms @ beta
 
         def shown(values: np.ndarray) -> np.ndarray:
             return np.maximum(0, values).round(1)
 
-        return {"ds": ahead.astype("datetime64[D]").astype(object), "yhat": shown(yhat), "yhat_lower": shown(yhat - band),
-                "yhat_upper": shown(yhat + band), "is_future": ahead > days[-1],
-                "status": ["ok"] * len(ahead)}
+        return {"ds": ahead.astype("datetime64[D]"), "yhat": shown(yhat), "yhat_lower": shown(yhat - band), "yhat_upper": shown(yhat + band), "is_future": ahead > last}
 
-    return map_groups(daily.filter(F.col("ds").isNotNull()), keys, ["ds"],
-                      "ds date, yhat double, yhat_lower double, yhat_upper double, is_future boolean, status string", fit)
+    fitted = map_groups(daily.filter(F.col("ds").isNotNull()), keys, ["ds"], "ds date, yhat double, yhat_lower double, yhat_upper double, is_future boolean", fit)
+    return fitted.withColumn("status", F.when(F.col("yhat").isNull(), "too_short").otherwise("ok"))
