@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -12,10 +15,12 @@ from pyspark.sql import functions as F
 
 from orderlake.functions import FEATURE_COLUMNS
 from orderlake.operators.keyed import map_groups, ranks, running_sums
+from orderlake.session import scratch
 
 LEAKY = ["days_since_last_order"]
 MIN_ROWS = 10
 MIN_POINTS = 14
+ROWS_PER_TASK = 50_000
 BAND_80 = 1.2815515655446004
 AROUND = 366
 
@@ -78,24 +83,36 @@ def fold_metrics(scored: DataFrame) -> DataFrame:
 def train_churn(features: DataFrame, trees: int = 200, folds: int = 5, exclude_leaky: bool = False) -> tuple[PipelineModel, DataFrame]:
     """Cross-validated boosted trees, then a fit on all rows. Returns the model and a (metric, mean, std) table that also lists
     feature importances."""
-    rows = training_rows(features, folds).persist()
+    spark = features.sparkSession
+    # Every job plans its whole lineage anew, so the rows are written once, and what thousands of jobs go back to is a scan.
+    ranked, path = training_rows(features, folds), scratch(spark, "training")
+    ranked.write.parquet(path)
+    rows = spark.read.schema(ranked.schema).parquet(path)
+    total = rows.count()
+    # A tree is some five passes over the rows, each a job: few tasks a job, and all fits side by side, so their jobs fill the cluster together.
+    rows = rows.coalesce(max(1, min(spark.sparkContext.defaultParallelism, total // ROWS_PER_TASK))).persist()
     try:
-        if rows.limit(MIN_ROWS).count() < MIN_ROWS:
+        if total < MIN_ROWS:
             raise ValueError(f"need at least {MIN_ROWS} training rows")
         names = model_features(exclude_leaky)
+
+        def fit(fold: int) -> PipelineModel:
+            return _estimator(names, trees).fit(rows.filter(F.col("fold") != fold))
+
+        with ThreadPoolExecutor(folds + 1) as pool:
+            # Fold ``folds`` doesn't occur, so that fit takes all rows.
+            *models, final = pool.map(inheritable_thread_target(spark)(fit), range(folds + 1))
         scored = None
-        for fold in range(folds):
-            model = _estimator(names, trees).fit(rows.filter(F.col("fold") != fold))
+        for fold, model in enumerate(models):
             part = _scores(model, rows.filter(F.col("fold") == fold))
             scored = part if scored is None else scored.unionByName(part)
         metrics = ["roc_auc", "f1", "precision", "recall"]
         pairs = F.array(*[F.struct(F.lit(f"cv_{m}").alias("metric"), F.col(m).alias("value")) for m in metrics])
         table = fold_metrics(scored).select(F.inline(pairs)).groupBy("metric").agg(
             F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")).collect()
-        final = _estimator(names, trees).fit(rows)
         importances = zip(names, final.stages[-1].featureImportances.toArray())
         listed = [(r["metric"], r["mean"], r["std"]) for r in table] + [(f"feature_importance_{n}", float(v), None) for n, v in importances]
-        return final, features.sparkSession.createDataFrame(listed, "metric string, mean double, std double")
+        return final, spark.createDataFrame(listed, "metric string, mean double, std double")
     finally:
         rows.unpersist()
 

@@ -63,3 +63,18 @@ def test_many_small_groups_are_cut_from_sorted_batches(spark, plan):
         own = [r for r in rows if r[0] == k]
         want[k] = (len(own), sorted(r[1] for r in own), float(sum(r[2] or 0 for r in own)))
     assert got == want and "MapInArrow" in text and "FlatMapGroups" not in text
+
+
+def test_all_fits_of_a_training_run_side_by_side(spark, sf, monkeypatch):
+    together, real = threading.Barrier(4), ml._estimator
+
+    class Waits:
+        def __init__(self, names, trees):
+            self.real = real(names, trees)
+
+        def fit(self, rows):
+            together.wait(60)
+            return self.real.fit(rows)
+    monkeypatch.setattr(ml, "_estimator", Waits)
+    table = ml.train_churn(control.training(spark, sf), trees=2, folds=3)[1]
+    assert {r.metric for r in table.collect()} >= {"cv_roc_auc", "cv_f1", "cv_precision", "cv_recall"}
