@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from orderlake.functions import ERASED
 from orderlake.operators.keyed import latest_per_key
 from orderlake.session import scratch
-from orderlake.sources.sinks import write_partitioned
+from orderlake.sources.sinks import STORED, write_partitioned
 
 
 def _among(column: str, values: list) -> Column:
@@ -123,7 +123,7 @@ def erase_everywhere(spark: SparkSession, holders: dict[str, Holder], requests:
             continue
         rows = table.where(_among(holder.partition, parts)).join(wanted, F.col(holder.column) == F.col("_erased"), "left")
         path = scratch(spark, f"erase-{name}")
-        rows.withColumn(holder.column, F.when(F.col("_erased").isNotNull(), F.lit(ERASED)).otherwise(F.col(holder.column))).write.partitionBy(holder.partition).parquet(path)
+        rows.withColumn(holder.column, F.when(F.col("_erased").isNotNull(), F.lit(ERASED)).otherwise(F.col(holder.column))).write.option("compression", STORED).partitionBy(holder.partition).parquet(path)
         staged[name] = (path, table, spark.read.schema(spark.read.parquet(path).schema).parquet(path))
     for name, (_, _, rows) in staged.items():
         holder = holders[name]
@@ -137,7 +137,9 @@ def erase_everywhere(spark: SparkSession, holders: dict[str, Holder], requests:
     path = scratch(spark, "erasure-ledger")
     ledger.write.parquet(path)
     for name, (_, table, rows) in staged.items():
-        write_partitioned(rows.select(*table.columns), holders[name].path, [holders[name].partition])
+        # Staged files hold one partition each, so they go over as they are, without another shuffle.
+        swap = rows.select(*table.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", STORED)
+        swap.partitionBy(holders[name].partition).parquet(holders[name].path)
     for folder, _, _ in staged.values():
         delete_folder(spark, folder)
     return spark.read.schema(schema).parquet(path)
