@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orderlake.operators import live as lv
 from orderlake.plans import tables as t
+from orderlake.plans.ingest import LINES
 from orderlake.plans.registry import query
 from orderlake.schemas import LIVE_ORDER
 from orderlake.session import scratch
@@ -21,6 +22,7 @@ from orderlake.streaming import users as su
 COOLDOWN = 86_400
 THRESHOLD = 0.255
 END = "2030-01-01 00:00:00"
+ROWS_PER_FILE = 100_000
 
 
 def valid(spark, d):
@@ -226,19 +228,27 @@ def _stream_store(spark, d):
     """Newest orders kept across micro-batches."""
     store = scratch(spark, "store")
     path = scratch(spark, "live-source")
-    t.live_orders(spark, d).repartitionByRange(3, "occurred_at").write.parquet(path)
-    stream = lv.valid_live(sl.read_live(spark, path, LIVE_ORDER, per_trigger=1)).select("order_id", "occurred_at")
+    rows = t.live_orders(spark, d)
+    files = max(1, rows.count() // (3 * ROWS_PER_FILE))
+    rows.repartitionByRange(3 * files, "occurred_at").write.parquet(path)
+    stream = lv.valid_live(sl.read_live(spark, path, LIVE_ORDER, per_trigger=files)).select("order_id", "occurred_at")
     sl.run_batches(stream, sl.recent_store(store, 1000), scratch(spark, "ckpt"))
     return sl.read_recent_store(spark, store).select("order_id", "occurred_at")
 
 
+def topic(spark, d, path, batches):
+    """Order change lines as files for so many micro-batches; returns how many files a micro-batch has."""
+    files = max(1, t.table(spark, d, "orders").count() // (batches * ROWS_PER_FILE))
+    t.order_lines(spark, d).select("value").repartition(batches * files).write.option("compression", LINES).text(path)
+    return files
+
+
 @query("stream_to_silver", "SELECT order_id, user_id_hash, status, total_cents, ts_ms AS cdc_ts_ms FROM latest")
 def _stream_silver(spark, d):
     """Change lines to clean orders in micro-batches."""
     src, out, bad = scratch(spark, "topic"), scratch(spark, "silver"), scratch(spark, "dead-letters")
-    t.order_lines(spark, d).select("value").repartition(2).write.text(src)
-
-    sl.run_batches(change_stream(spark, "text", src, per_trigger=1), sl.silver_sink(out, bad, t.SALT), scratch(spark, "ckpt"))
+    files = topic(spark, d, src, 2)
+    sl.run_batches(change_stream(spark, "text", src, per_trigger=files), sl.silver_sink(out, bad, t.SALT), scratch(spark, "ckpt"))
     return sl.read_streamed_silver(spark, out).select("order_id", "user_id_hash", "status", "total_cents", "cdc_ts_ms")
 
 
@@ -255,23 +265,39 @@ def _stream_alerts(spark, d):
 
 # --- streams over several micro-batches, with rows out of order
 
+def batches(spark, path, parts):
+    """Each frame of ``parts`` as one micro-batch, written to ``path`` in order; returns how many files a batch has. A part is as many files as the
+    largest one needs, so that no task reads or writes more than ``ROWS_PER_FILE`` rows by much; files without rows fill up a part that lacks some."""
+    files = max(1, -(-max(rows for _, rows in parts) // ROWS_PER_FILE))
+    done = 0
+    for frame, _ in parts:
+        frame.repartition(files).write.mode("append").parquet(path)
+        done += files
+        while len(spark.read.schema(frame.schema).parquet(path).inputFiles()) < done:
+            spark.createDataFrame([], frame.schema).write.mode("append").parquet(path)
+    return files
+
+
 def arrivals(spark, rows, files=4, jitter_seconds=0, key="event_id", last=True, then=None):
-    """``rows`` as files in order of arrival: their time plus up to ``jitter_seconds``, so a row is at most so late. A far-future row closes all;
-    rows of ``then`` come after it."""
-    path = scratch(spark, "arrivals")
+    """``rows`` in order of arrival, one micro-batch for each of ``files`` parts: their time plus up to ``jitter_seconds``, so a row is at most so late. A
+    far-future row closes all; rows of ``then`` come after it."""
+    path, staged = scratch(spark, "arrivals"), scratch(spark, "staged")
     jitter = F.pmod(F.xxhash64(key), F.lit(jitter_seconds)) * 1_000_000 if jitter_seconds else F.lit(0)
-    placed = rows.withColumn("_at", (F.unix_micros("occurred_at") + jitter).cast("bigint")).withColumn("_at", F.coalesce("_at", F.lit(0)))
+    at = F.coalesce((F.unix_micros("occurred_at") + jitter).cast("bigint"), F.lit(0))
+    rows.withColumn("_at", at).write.parquet(staged)  # the rows may come from a long plan, which the cuts and parts would each run again
+    placed = spark.read.schema(rows.withColumn("_at", at).schema).parquet(staged)
     cuts = [float("-inf"), *placed.approxQuantile("_at", [i / files for i in range(1, files)], 0.01), float("inf")]
-    for low, high in zip(cuts[:-1], cuts[1:]):
-        placed.where((F.col("_at") > low) & (F.col("_at") <= high)).drop("_at").write.mode("append").parquet(path)
+    part = sum((F.col("_at") > c).cast("int") for c in cuts[1:-1]) if files > 1 else F.lit(0)
+    sizes = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
+    parts = [(placed.where(part == i).drop("_at"), sizes.get(i, 0)) for i in range(files)]
     if last:
         only = {"occurred_at": F.lit(END).cast("timestamp")}
         end = spark.range(1).select(*[(only[c] if c in only else F.lit("sentinel") if ty == "string" else F.lit(None)).cast(ty).alias(c) for c, ty in rows.dtypes])
-        end.write.mode("append").parquet(path)
+        parts.append((end, 1))
     if then is not None:
-        then.write.mode("append").parquet(path)
+        parts.append((then, then.count()))
     sl.use_rocksdb(spark)
-    return sl.read_live(spark, path, rows.schema, per_trigger=1)
+    return sl.read_live(spark, path, rows.schema, per_trigger=batches(spark, path, parts))
 
 
 KPI_CHANGES = """WITH s AS (SELECT {key}epoch_us(occurred_at) // 1000000 + 1 AS e, sum(total_cents) AS v, count(*) AS n FROM live_ok GROUP BY ALL),
@@ -401,9 +427,7 @@ def _stream_bronze(spark, d):
 def _stream_lake(spark, d):
     """Change lines to clean orders in three micro-batches, each merged into its buckets; read without deduplicating."""
     src = scratch(spark, "topic")
-    lines = t.order_lines(spark, d).select("value")
-    for part in range(3):
-        lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == part).write.mode("append").text(src)
+    files = topic(spark, d, src, 3)
     lake = lk.SilverLake(spark, scratch(spark, "lake"), t.SALT)
-    sl.run_batches(change_stream(spark, "text", src, per_trigger=4), lake.sink(), scratch(spark, "ckpt"))
+    sl.run_batches(change_stream(spark, "text", src, per_trigger=files), lake.sink(), scratch(spark, "ckpt"))
     return lake.read(spark).select("order_id", "user_id_hash", "status", "total_cents", "cdc_ts_ms")

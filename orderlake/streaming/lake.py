@@ -55,11 +55,11 @@ class SilverLake:
     def sink(self):
         def each(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
-            lines = parse_json_lines(batch.select("value")).persist()
+            lines, fresh = parse_json_lines(batch.select("value")).persist(), None
             try:
                 valid, rejected = dead_letter_split(lines, self.salt)
                 rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={batch_id}")
-                fresh = dedup_latest(valid.select(*SILVER_COLUMNS)).withColumn("bucket", _bucket(self.buckets))
+                fresh = dedup_latest(valid.select(*SILVER_COLUMNS)).withColumn("bucket", _bucket(self.buckets)).persist()
                 touched = [r[0] for r in fresh.select("bucket").distinct().collect()]
                 if not touched:
                     return
@@ -73,4 +73,6 @@ class SilverLake:
                 write_partitioned(out.select(*SILVER_COLUMNS, "version", "bucket", "slot"), f"{self.path}/orders", ["bucket", "slot"])
             finally:
                 lines.unpersist()
+                if fresh is not None:
+                    fresh.unpersist()
         return each

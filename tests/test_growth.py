@@ -78,3 +78,42 @@ def test_all_fits_of_a_training_run_side_by_side(spark, sf, monkeypatch):
     monkeypatch.setattr(ml, "_estimator", Waits)
     table = ml.train_churn(control.training(spark, sf), trees=2, folds=3)[1]
     assert {r.metric for r in table.collect()} >= {"cv_roc_auc", "cv_f1", "cv_precision", "cv_recall"}
+
+
+@pytest.mark.parametrize("batches", [2, 3])
+def test_topics_have_as_many_files_as_their_lines_need(spark, sf, tmp_path, monkeypatch, batches):
+    monkeypatch.setattr(pl, "ROWS_PER_FILE", 100, raising=False)
+    files = pl.topic(spark, sf, str(tmp_path / "topic"), batches)
+    assert files == 1500 // (100 * batches) and len(glob.glob(f"{tmp_path}/topic/part-*.lz4")) == files * batches
+
+
+def test_the_recent_store_takes_three_micro_batches_of_bounded_files(spark, sf, monkeypatch):
+    monkeypatch.setattr(pl, "ROWS_PER_FILE", 100, raising=False)
+    told, read = [], sl.read_live
+
+    def reads(spark, path, schema, per_trigger):
+        told.append((per_trigger, len(glob.glob(f"{path}/part-*"))))
+        return read(spark, path, schema, per_trigger=per_trigger)
+    monkeypatch.setattr(sl, "read_live", reads)
+    assert pl._stream_store(spark, sf).count() and told == [(3, 9)]
+
+
+def test_change_lines_are_stored_compressed(spark, sf):
+    files = glob.glob(f"{ingest.line_folder(spark, sf)}/orders/run_date=*/part-*")
+    assert files and all(f.endswith(".lz4") for f in files)
+    assert all(f.endswith(".lz4") for f in ingest.changes(spark, sf).inputFiles())
+
+
+def test_erasure_swaps_staged_files_as_they_are(spark, sf):
+    stored = control.holders(spark, sf)
+    before = {n: spark.read.parquet(h.path).count() for n, h in stored.items()}
+    written = []
+    real, merge.write_partitioned = merge.write_partitioned, lambda *a: written.append(a)
+    try:
+        merge.erase_everywhere(spark, stored, control.requests(spark, sf))
+    finally:
+        merge.write_partitioned = real
+    assert not written and {n: spark.read.parquet(h.path).count() for n, h in stored.items()} == before
+    assert spark.read.parquet(stored["orders"].path).where("user_id_hash = 'ERASED'").count()
+    (file, *_) = glob.glob(f"{stored['orders'].path}/run_date=*/*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
