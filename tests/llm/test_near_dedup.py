@@ -3,8 +3,9 @@ import random
 import numpy as np
 import pytest
 
+import orderlake.llm.near_dedup as near_dedup
 from orderlake.llm._graph import components
-from orderlake.llm.near_dedup import band_width, block_pairs, near_duplicates, register_equality, shared_counts, sketch, unlikely
+from orderlake.llm.near_dedup import STRANGERS, band_width, block_pairs, near_duplicates, register_equality, shared_counts, sketch, sketch_size, unlikely
 
 
 def brute(rows, size, percent):
@@ -87,6 +88,34 @@ def test_bands_reach_the_bound():
         assert (1 - p**width) ** (160 // width) <= 1e-6 < (1 - p ** (width + 1)) ** (160 // (width + 1))
 
 
+def test_sketches_grow_so_that_strangers_stay_few():
+    for similarity in (0.8, 0.85, 0.9):
+        p = register_equality(similarity)
+        assert sketch_size(1000, 160, similarity, 1e-6) == (160, band_width(160, similarity, 1e-6))
+        for documents in (20_000, 10**6, 10**8, 10**9):
+            registers, width = sketch_size(documents, 160, similarity, 1e-6)
+            assert documents * (registers // width) * register_equality(0) ** width <= STRANGERS
+            assert (1 - p**width) ** (registers // width) <= 1e-6 and 160 <= registers < 600
+    assert sketch_size(10**9, 160, 0.3, 1e-6)[0] <= near_dedup.MOST_REGISTERS
+
+
+def test_unlike_documents_rarely_share_a_bucket(spark, monkeypatch):
+    rows = {}
+
+    def counted(df, name, store=near_dedup.stored, **options):
+        out = store(df, name, **options)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    n = 12_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 40), k -> concat('w', hash(id, k))), ' ') AS text")
+    copies = spark.range(9).selectExpr(f"id + {n} AS doc_id", "array_join(transform(sequence(1, 40), k -> concat('w', hash(id, k))), ' ') || ' x' AS text")
+    gone = near_duplicates(docs.union(copies)).where("not kept").collect()
+    assert sorted((r["id"], r["component_id"]) for r in gone) == [(n + i, i) for i in range(9)]
+    # By chance some 1,800 documents shared a band of four registers; full sets are made of those that share one.
+    assert rows["sets"] < 150
+
+
 def test_shared_counts():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64)) for n in (1, 50, 5000, 7000, 3)]
