@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderlake.llm._pieces import Remembered, byte_pieces, text_runs
+from orderlake.llm._pieces import Remembered, byte_borders, id_bytes, text_runs
 from orderlake.llm._runtime import tuned, worker_state
 
 KNOWN_PAIRS = 1_000_000
@@ -91,7 +91,7 @@ class Bpe:
         self.width = len(self.bytes)
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
         self.pre_tokens = pre_tokens(path)
-        self.memory = Remembered(self.encode_pieces, byte_pieces, list(self.added))
+        self.memory = Remembered(lambda pieces: id_bytes(self.encode_pieces(pieces.to_pylist())), byte_borders, list(self.added))
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: always the pair that stands first in the merge list, leftmost first."""
@@ -234,7 +234,7 @@ def _mapped(df: DataFrame, old: str, new: str, kind: str, change) -> DataFrame:
 def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256``: the ids of each text and the text decoded from them, in one pass.
 
-    Null and empty texts have no ids and the digests of the empty string. Texts are encoded whole, in runs of about a million characters or one longer text.
+    Null and empty texts have no ids and the digests of the empty string. Texts are encoded whole, in runs of about eight million characters or one longer text.
     Rows that repeat, and null ids, give a row each. An empty table gives no rows; other columns don't matter, names included.
     """
     tuned(docs.sparkSession)

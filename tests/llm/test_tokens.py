@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -55,6 +56,38 @@ def test_pieces_equal_whole_texts(path, kind, text):
     assert np.frombuffer(encoder.ids([text])[0], "<u4").tolist() == reference(path, text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(pieces, st.sampled_from([",", ".", "a,", ", b", "é.", "÷.", "İ,", "", "\n", " ", "0", "a 0, b", "x  y."])), max_size=8))
+def test_texts_of_one_run_keep_apart(texts):
+    for path, kind in ((BYTE, "byte"), (WORD, "word")):
+        coder = CODERS[path] if path in CODERS else CODERS.setdefault(path, library_encoder(path, kind))
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.ids(texts)] == [reference(path, t) for t in texts]
+
+
+@pytest.mark.parametrize("path,kind", [(BYTE, "byte"), (WORD, "word")])
+def test_known_pieces_cost_less_than_a_look_at_each(path, kind):
+    rng = random.Random(3)
+    known = [f"{rng.choice('abcdeghkl')}{rng.choice('aeiou')}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(15_000)]
+    texts = [" ".join(rng.choices(known, k=5000)) + "." for _ in range(100)]
+    coder = library_encoder(path, kind)
+    want = coder.ids(texts)
+
+    def one_by_one():
+        cut = [t.replace(" ", "\x1e ").replace("\n", "\x1e\n\x1e").split("\x1e") for t in texts]
+        ids = dict.fromkeys({p for pieces in cut for p in pieces}, b"12345678")
+        return [b"".join([ids[p] for p in pieces]) for pieces in cut]
+
+    def least(work):
+        took = []
+        for _ in range(4):
+            began = time.process_time()
+            work()
+            took.append(time.process_time() - began)
+        return min(took)
+    assert least(lambda: coder.ids(texts)) < 0.75 * least(one_by_one)
+    assert coder.ids(texts) == want and coder.new.nbytes + coder.new_ids.nbytes < 60 * len(coder.new)
+
+
 CODERS = {}
 POINTS = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x34000), *range(0xE0000, 0xE0200)]]
 
