@@ -234,7 +234,7 @@ def _mapped(df: DataFrame, old: str, new: str, kind: str, change) -> DataFrame:
 def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256``: the ids of each text and the text decoded from them, in one pass.
 
-    Null and empty texts have no ids and the digests of the empty string. Texts are encoded whole, in runs of about eight million characters or one longer text.
+    Null and empty texts have no ids and the digests of the empty string. Texts are encoded whole, in runs of about four million characters or one longer text.
     Rows that repeat, and null ids, give a row each. An empty table gives no rows; other columns don't matter, names included.
     """
     tuned(docs.sparkSession)
