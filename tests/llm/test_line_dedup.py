@@ -5,7 +5,8 @@ from collections import Counter
 from hypothesis import given
 from hypothesis import strategies as st
 
-from orderlake.llm.line_dedup import dedup_lines, within_one
+from orderlake.llm import line_dedup
+from orderlake.llm.line_dedup import CUT, dedup_lines, within_one
 
 
 def distance(a, b):
@@ -102,3 +103,38 @@ def test_rows_without_an_id_keep_lines_of_their_own(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r["doc_id"] or 0, r["text"] or "", r["n_dropped"]) for r in dedup_lines(docs).collect()) == [
         (0, "", 0), (0, "a b", 1), (0, "a b\nown line", 0), (0, "other line", 1), (1, "c d", 0)]
+
+
+def test_few_neighbours_and_texts_hashed_once(spark, monkeypatch):
+    kept, hashed = {}, []
+    stored, occurrences = line_dedup.stored, line_dedup._occurrences
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    monkeypatch.setattr(line_dedup, "_occurrences", lambda *a: hashed.append(a) or occurrences(*a))
+    ten, twelve = [f"a{i}" for i in range(10)], [f"b{i}" for i in range(12)]
+    rows = [ten, [*ten[:7], "x", *ten[8:]], twelve, [*twelve[:2], *twelve[3:]], [*ten[:2], "y", "y", *ten[4:7], "y", "y", "y"], [f"c{i}" for i in range(9)]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_dropped"]) for r in dedup_lines(docs).collect()) == [(0, 0), (1, 1), (2, 0), (3, 1), (4, 0), (5, 0)]
+    # The second half of two lines of ten words, the first of the one of twelve; keys that only one line has are not joined.
+    assert kept["near"].where(f"role = {CUT}").count() == 5 + 5 + 5
+    assert kept["meet"].count() == 4
+    assert len(hashed) == 1
+
+
+def test_one_word_at_every_place(spark):
+    rows = []
+    for n in range(5, 11):
+        for at in range(n + 1):
+            for kind in range(4):
+                line = [f"w{len(rows)}x{i}" for i in range(n)]
+                edit = [["new"], ["new"], [], line[at - 1 : at]][kind]
+                rows += [line, line[:at] + edit + line[at + (kind in (0, 2)) :]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    gone = {r["doc_id"] for r in dedup_lines(docs).where("n_dropped = 1").collect()}
+    assert gone == {i for i in range(1, len(rows), 2) if len(rows[i]) >= 5 or rows[i] == rows[i - 1]}
+
+
+def test_lines_repeated_within_texts(spark):
+    rows = [(1, "a b\n\na b\nc\na b"), (2, "c\nd\nd\nc\n"), (2, "c\nd\nd\nc\n"), (3, "e\n" * 3000 + "end"), (4, "\n\n"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in dedup_lines(docs).collect())
+    assert got == [(1, "a b\n\nc", 5, 2), (2, "d\n", 5, 3), (2, "d\n", 5, 3), (3, "e\nend", 3001, 2999), (4, "\n\n", 3, 0), (5, None, 0, 0)]
