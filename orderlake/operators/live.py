@@ -64,12 +64,15 @@ def event_envelope(rows: DataFrame, kind: str, ts: Column) -> DataFrame:
     return rows.select(F.to_json(F.struct(F.lit(kind).alias("type"), F.struct(*rows.columns).alias("data"), ts.alias("ts"))).alias("value"))
 
 
-def running_user_state(events: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+def running_user_state(events: DataFrame, slice_seconds: int = 3600, earlier: DataFrame | None = None) -> DataFrame:
     """Each event with its user's totals so far, first and previous seen time, and channels in first-seen order.
 
     Two levels: totals per (user, time slice) are carried into the slice, and only rows of one slice are windowed together, so
     a user who owns a third of all events is spread over as many tasks as there are slices. The channel list is bounded by the
     number of channels.
+
+    ``earlier`` has one row per user with totals from before these events (orders, spend, refunds, first_seen, last_seen, channels). They
+    enter what is carried into the slices, so the events are not shuffled for them.
     """
     user, seq = "user_id_hash", ["occurred_at", "event_id"]
     rows = events.withColumn(SLICE, time_slice(F.col("occurred_at"), slice_seconds))
@@ -88,6 +91,12 @@ def running_user_state(events: DataFrame, slice_seconds: int = 3600) -> DataFram
         user, SLICE, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ("n", "spend", "refunds")],
         F.min("t0").over(before).alias("_t0"), F.max("t1").over(before).alias("_t1"),
         F.transform(F.flatten(found), lambda x: x["channel"]).alias("_channels"))
+    if earlier is not None:
+        own = {"orders": "_n", "spend": "_spend", "refunds": "_refunds", "first_seen": "_t0", "last_seen": "_t1", "channels": "_channels"}
+        carry = carry.join(earlier.select(user, *(F.col(c).alias(f"_earlier{n}") for c, n in own.items())), user, "left").select(
+            user, SLICE, *[(F.col(n) + F.coalesce(f"_earlier{n}", F.lit(0))).alias(n) for n in ("_n", "_spend", "_refunds")],
+            F.coalesce("_earlier_t0", "_t0").alias("_t0"), F.coalesce("_t1", "_earlier_t1").alias("_t1"),
+            F.concat(F.coalesce("_earlier_channels", F.array().cast("array<string>")), "_channels").alias("_channels"))
     inside = Window.partitionBy(user, SLICE).orderBy(*seq)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fresh = F.row_number().over(Window.partitionBy(user, SLICE, "channel").orderBy(*seq)) == 1

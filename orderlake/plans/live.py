@@ -9,9 +9,10 @@ from orderlake.plans import tables as t
 from orderlake.plans.ingest import LINES
 from orderlake.plans.registry import query
 from orderlake.schemas import LIVE_ORDER
-from orderlake.session import scratch
+from orderlake.session import scratch, shuffles_dropped
 from orderlake.sources import sinks
 from orderlake.sources.bronze import change_stream
+from orderlake.sources.merge import delete_folder
 from orderlake.streaming import alerts as sa
 from orderlake.streaming import kpis as sk
 from orderlake.streaming import lake as lk
@@ -271,7 +272,7 @@ def batches(spark, path, parts):
     files = max(1, -(-max(rows for _, rows in parts) // ROWS_PER_FILE))
     done = 0
     for frame, _ in parts:
-        frame.repartition(files).write.mode("append").parquet(path)
+        frame.repartition(files).write.mode("append").option("compression", sinks.STORED).parquet(path)
         done += files
         while len(spark.read.schema(frame.schema).parquet(path).inputFiles()) < done:
             spark.createDataFrame([], frame.schema).write.mode("append").parquet(path)
@@ -284,11 +285,12 @@ def arrivals(spark, rows, files=4, jitter_seconds=0, key="event_id", last=True,
     path, staged = scratch(spark, "arrivals"), scratch(spark, "staged")
     jitter = F.pmod(F.xxhash64(key), F.lit(jitter_seconds)) * 1_000_000 if jitter_seconds else F.lit(0)
     at = F.coalesce((F.unix_micros("occurred_at") + jitter).cast("bigint"), F.lit(0))
-    rows.withColumn("_at", at).write.parquet(staged)  # the rows may come from a long plan, which the cuts and parts would each run again
+    rows.withColumn("_at", at).write.option("compression", sinks.STORED).parquet(staged)  # the rows may come from a long plan, which the cuts and parts would each run again
     placed = spark.read.schema(rows.withColumn("_at", at).schema).parquet(staged)
     cuts = [float("-inf"), *placed.approxQuantile("_at", [i / files for i in range(1, files)], 0.01), float("inf")]
     part = sum((F.col("_at") > c).cast("int") for c in cuts[1:-1]) if files > 1 else F.lit(0)
-    sizes = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
+    with shuffles_dropped(spark):
+        sizes = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
     parts = [(placed.where(part == i).drop("_at"), sizes.get(i, 0)) for i in range(files)]
     if last:
         only = {"occurred_at": F.lit(END).cast("timestamp")}
@@ -296,8 +298,11 @@ def arrivals(spark, rows, files=4, jitter_seconds=0, key="event_id", last=True,
         parts.append((end, 1))
     if then is not None:
         parts.append((then, then.count()))
+    with shuffles_dropped(spark):
+        files = batches(spark, path, parts)
+    delete_folder(spark, staged)
     sl.use_rocksdb(spark)
-    return sl.read_live(spark, path, rows.schema, per_trigger=batches(spark, path, parts))
+    return sl.read_live(spark, path, rows.schema, per_trigger=files)
 
 
 KPI_CHANGES = """WITH s AS (SELECT {key}epoch_us(occurred_at) // 1000000 + 1 AS e, sum(total_cents) AS v, count(*) AS n FROM live_ok GROUP BY ALL),

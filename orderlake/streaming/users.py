@@ -2,7 +2,8 @@
 
 Inside a micro-batch, totals are carried over time slices (``running_user_state``); between micro-batches, one row per user is carried through a table in the
 shared folder. The table is cut into buckets of users with two slots each: a batch reads a bucket's newest slot from before it and replaces the other, so a
-repeated batch is harmless, only buckets with users of the batch are written, and users that are silent for longer than the time to live go.
+repeated batch is harmless, only buckets with users of the batch are written, and users that are silent for longer than the time to live go. A batch's scored rows are
+staged in the shared folder until it ends, so nothing is computed twice and no batch is held in memory.
 """
 
 from __future__ import annotations
@@ -11,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.operators.live import cooldown_alerts, live_churn_score, running_user_state
+from orderlake.session import scratch, shuffles_dropped
+from orderlake.sources.merge import delete_folder
+from orderlake.sources.sinks import STORED
 
 TOTALS = ("user_id_hash string, orders bigint, spend bigint, refunds bigint, first_seen timestamp, last_seen timestamp, channels array<string>, "
           "alerted timestamp, version bigint, bucket int, slot int")
@@ -38,49 +42,52 @@ def user_totals_sink(spark: SparkSession, path: str, threshold: float = 0.7, coo
     spark.createDataFrame([], TOTALS).write.mode("append").partitionBy("bucket", "slot").parquet(totals)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        spark = batch.sparkSession
+        if batch.isEmpty():
+            return
+        staged = scratch(spark, "user-rows")
         try:
-            if batch.isEmpty():
-                return
-            newest = batch.agg(F.max("occurred_at")).first()[0]
-            alive = F.col("last_seen") >= F.lit(newest) - F.make_dt_interval(secs=F.lit(ttl_seconds))
-            held = read_user_totals(batch.sparkSession, totals, batch_id)
-            carried = held.where(alive).select("user_id_hash", *(F.col(c).alias(f"_{c}") for c in ("orders", "spend", "refunds", "first_seen", "last_seen", "channels", "alerted")))
-            running = running_user_state(batch).join(carried, "user_id_hash", "left")
-
-            def plus(name: str, carry: str):
-                return F.col(name) + F.coalesce(carry, F.lit(0))
-            state = running.withColumns({
-                "order_count": plus("order_count", "_orders"), "total_spend": plus("total_spend", "_spend"), "refunds": plus("refunds", "_refunds"),
-                "first_seen": F.coalesce("_first_seen", "first_seen"), "previous_seen": F.coalesce("previous_seen", "_last_seen"),
-                "channels": F.array_distinct(F.concat(F.coalesce("_channels", F.array().cast("array<string>")), "channels"))})
-            scored = live_churn_score(state, faithful).drop(*(f"_{c}" for c in ("orders", "spend", "refunds", "first_seen", "last_seen", "channels")))
-            rows = scored.drop("_alerted")
-            # The last alert of earlier batches is the first link of the user's chain.
-            past = carried.where("_alerted is not null").select(F.lit(None).cast("string").alias("event_id"), "user_id_hash", F.col("_alerted").alias("occurred_at"))
-            chain = scored.where(F.col("churn_score") >= threshold).select("event_id", "user_id_hash", "occurred_at").unionByName(
-                past.join(batch.select("user_id_hash").distinct(), "user_id_hash", "left_semi"))
-            fired = cooldown_alerts(chain, "user_id_hash", "occurred_at", cooldown_seconds, inclusive, tie=["event_id"]).where("event_id is not null")
-            marked = rows.join(fired.select("event_id", F.lit(True).alias("alert")), "event_id", "left").withColumn("alert", F.coalesce("alert", F.lit(False)))
-            written = f"{out}/batch_id={batch_id}"
-            marked.write.mode("overwrite").parquet(written)
-
-            last = batch.sparkSession.read.parquet(written).groupBy("user_id_hash").agg(
-                F.max("order_count").alias("orders"), F.max("total_spend").alias("spend"), F.max("refunds").alias("refunds"), F.min("first_seen").alias("first_seen"),
-                F.max("occurred_at").alias("last_seen"), F.max_by("channels", F.size("channels")).alias("channels"), F.max(F.when(F.col("alert"), F.col("occurred_at"))).alias("alerted"))
-            bucket = F.pmod(F.xxhash64("user_id_hash"), F.lit(buckets)).cast("int")
-            fresh = last.withColumn("bucket", bucket)
-            touched = F.broadcast(fresh.select("bucket").distinct())
-            slots = _newest(read_user_totals(batch.sparkSession, totals, batch_id)).groupBy("bucket").agg(F.max("slot").alias("slot"))
-            old = held.where(alive).drop("version", "slot").join(touched, "bucket", "left_semi")
-            earlier = old.select("user_id_hash", F.col("alerted").alias("_alerted"))
-            fresh = fresh.join(earlier, "user_id_hash", "left").withColumn("alerted", F.coalesce("alerted", "_alerted")).drop("_alerted")
-            kept = old.join(fresh.select("user_id_hash"), "user_id_hash", "left_anti").unionByName(fresh)
-            new = kept.join(F.broadcast(slots), "bucket", "left").withColumns({"slot": F.coalesce(F.lit(1) - F.col("slot"), F.lit(0)), "version": F.lit(batch_id).cast("bigint")})
-            fields = [f.split()[0] for f in TOTALS.replace("array<string>", "list").split(", ")]
-            new.select(*fields).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "slot").parquet(totals)
+            with shuffles_dropped(spark):
+                newest = batch.agg(F.max("occurred_at")).first()[0]
+                alive = F.col("last_seen") >= F.lit(newest) - F.make_dt_interval(secs=F.lit(ttl_seconds))
+                held = read_user_totals(spark, totals, batch_id).where(alive)
+                written = f"{out}/batch_id={batch_id}"
+                write_rows(batch, held, staged, written)
+                write_totals(spark.read.parquet(written), held, batch_id)
         finally:
-            batch.unpersist()
+            delete_folder(spark, staged)
+
+    def write_rows(batch: DataFrame, held: DataFrame, staged: str, written: str) -> None:
+        spark = batch.sparkSession
+        scored = live_churn_score(running_user_state(batch, earlier=held), faithful)
+        # The cooldown reads its candidates several times and its result meets all rows: as tables, both are computed once and take no memory.
+        scored.write.option("compression", STORED).parquet(f"{staged}/rows")
+        rows = spark.read.schema(scored.schema).parquet(f"{staged}/rows")
+        # The last alert of earlier batches is the first link of the user's chain.
+        past = held.where("alerted is not null").select(F.lit(None).cast("string").alias("event_id"), "user_id_hash", F.col("alerted").alias("occurred_at"))
+        links = rows.where(F.col("churn_score") >= threshold).select("event_id", "user_id_hash", "occurred_at").unionByName(
+            past.join(rows.select("user_id_hash").distinct(), "user_id_hash", "left_semi"))
+        links.write.option("compression", STORED).parquet(f"{staged}/chain")
+        chain = spark.read.schema(links.schema).parquet(f"{staged}/chain")
+        fired = cooldown_alerts(chain, "user_id_hash", "occurred_at", cooldown_seconds, inclusive, tie=["event_id"]).where("event_id is not null")
+        marked = rows.join(fired.select("event_id", F.lit(True).alias("alert")), "event_id", "left").withColumn("alert", F.coalesce("alert", F.lit(False)))
+        marked.write.mode("overwrite").option("compression", STORED).parquet(written)
+
+    def write_totals(rows: DataFrame, held: DataFrame, batch_id: int) -> None:
+        last = rows.groupBy("user_id_hash").agg(
+            F.max("order_count").alias("orders"), F.max("total_spend").alias("spend"), F.max("refunds").alias("refunds"), F.min("first_seen").alias("first_seen"),
+            F.max("occurred_at").alias("last_seen"), F.max_by("channels", F.size("channels")).alias("channels"), F.max(F.when(F.col("alert"), F.col("occurred_at"))).alias("alerted"))
+        bucket = F.pmod(F.xxhash64("user_id_hash"), F.lit(buckets)).cast("int")
+        fresh = last.withColumn("bucket", bucket)
+        touched = F.broadcast(fresh.select("bucket").distinct())
+        slots = _newest(read_user_totals(rows.sparkSession, totals, batch_id)).groupBy("bucket").agg(F.max("slot").alias("slot"))
+        old = held.drop("version", "slot").join(touched, "bucket", "left_semi")
+        earlier = old.select("user_id_hash", F.col("alerted").alias("_alerted"))
+        fresh = fresh.join(earlier, "user_id_hash", "left").withColumn("alerted", F.coalesce("alerted", "_alerted")).drop("_alerted")
+        kept = old.join(fresh.select("user_id_hash"), "user_id_hash", "left_anti").unionByName(fresh)
+        new = kept.join(F.broadcast(slots), "bucket", "left").withColumns({"slot": F.coalesce(F.lit(1) - F.col("slot"), F.lit(0)), "version": F.lit(batch_id).cast("bigint")})
+        fields = [f.split()[0] for f in TOTALS.replace("array<string>", "list").split(", ")]
+        new.select(*fields).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "slot").parquet(totals)
     return each
 
 

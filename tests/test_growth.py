@@ -9,12 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake.operators import models as ml
+from orderlake.operators import live as lv
 from orderlake.operators.keyed import map_groups
 from orderlake.plans import control, ingest
 from orderlake.plans import live as pl
+from orderlake.schemas import LIVE_ORDER
 from orderlake.sources import merge
 from orderlake.streaming import alerts as sa
 from orderlake.streaming import live as sl
+from orderlake.streaming import users as su
 
 BASE = datetime(2024, 1, 1)
 
@@ -117,3 +120,41 @@ def test_erasure_swaps_staged_files_as_they_are(spark, sf):
     assert spark.read.parquet(stored["orders"].path).where("user_id_hash = 'ERASED'").count()
     (file, *_) = glob.glob(f"{stored['orders'].path}/run_date=*/*.parquet")
     assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+
+
+def stored_blocks(spark):
+    return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+
+def test_user_totals_compute_a_batch_once_and_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    rows = [(f"e{i:03d}", f"o{i}", "c", f"u{i % 9}", "s", "w", "placed", "USD", "abc"[i % 3], 1, 5, 0, 0, 5, BASE + timedelta(seconds=i * 900)) for i in range(200)]
+    plans, real, path = [], su.cooldown_alerts, str(tmp_path / "users")
+
+    def told(candidates, *args, **kw):
+        plans.append(candidates._jdf.queryExecution().executedPlan().toString())
+        plans.append(stored_blocks(spark) - held)
+        return real(candidates, *args, **kw)
+    monkeypatch.setattr(su, "cooldown_alerts", told)
+    sink = su.user_totals_sink(spark, path, 0.2, 2_000)
+    before, held = shuffle_files(spark), stored_blocks(spark)
+    for n in range(2):
+        sink(lv.enrich_live(spark.createDataFrame(rows[n * 100 : n * 100 + 100], LIVE_ORDER)), n)
+    assert not shuffle_files(spark) - before
+    assert all("Window" not in p and "Join" not in p for p in plans[::2]) and not any(plans[1::2])
+    assert su.read_user_rows(spark, path).count() == 200
+    assert not glob.glob(f"{spark.sparkContext.getConf().get('spark.checkpoint.dir')}/user-rows-*")
+    assert all(f.endswith(".zstd.parquet") for f in glob.glob(f"{path}/rows/*/part-*"))
+
+
+def test_arrivals_leave_neither_a_second_copy_nor_shuffle_files(spark, tmp_path):
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    rows = spark.range(300, numPartitions=5).select(F.col("id").cast("string").alias("event_id"), F.timestamp_seconds(F.col("id") + 10**9).alias("occurred_at"))
+    before, copies = shuffle_files(spark), set(glob.glob(f"{root}/staged-*"))
+    stream = pl.arrivals(spark, rows, files=2)
+    assert not shuffle_files(spark) - before
+    assert set(glob.glob(f"{root}/staged-*")) <= copies and sum(batches_of(stream, tmp_path)) == 301
