@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.keyed import latest_per_key
 from orderlake.operators.orders import SILVER_COLUMNS, dead_letter_split, dedup_latest, parse_json_lines
+from orderlake.session import scratch, shuffles_dropped
 from orderlake.sources.bronze import record_time
-from orderlake.sources.sinks import HOUR, write_partitioned
+from orderlake.sources.merge import delete_folder
+from orderlake.sources.sinks import HOUR, STORED
 
 BUCKETS = 16
+TURN = 4  # buckets merged at a time: so much of the table is in shuffle files at once
 
 
 def hourly_bronze_sink(path: str, ts_ms: str = "ts_ms"):
@@ -34,6 +37,7 @@ class SilverLake:
 
     A batch is merged into the buckets it touches: the newest slot from before the batch is read, merged, and written to the other slot. So the
     current table is one slot per bucket, nothing is left to deduplicate when it is read, and space stays within twice the table. Rejected lines stand under the batch id.
+    Nothing is held in executors' memory between steps: a batch's clean orders are staged in the shared folder.
     """
 
     def __init__(self, spark: SparkSession, path: str, salt: str, buckets: int = BUCKETS) -> None:
@@ -55,24 +59,37 @@ class SilverLake:
     def sink(self):
         def each(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
-            lines, fresh = parse_json_lines(batch.select("value")).persist(), None
+            staged = scratch(spark, "lake-batch")
             try:
-                valid, rejected = dead_letter_split(lines, self.salt)
-                rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={batch_id}")
-                fresh = dedup_latest(valid.select(*SILVER_COLUMNS)).withColumn("bucket", _bucket(self.buckets)).persist()
-                touched = [r[0] for r in fresh.select("bucket").distinct().collect()]
-                if not touched:
-                    return
-                rows, newest = self._slots(spark, batch_id)
-                held = rows.where(F.col("bucket").isin(touched) & (F.col("version") < batch_id)).join(F.broadcast(newest), ["bucket", "slot"])
-                merged = latest_per_key(held.select(*SILVER_COLUMNS, "bucket").unionByName(fresh), ["order_id"],
-                                        [F.col("cdc_ts_ms"), F.col("updated_at"), F.xxhash64(*SILVER_COLUMNS)])
-                slots = newest.withColumnRenamed("slot", "_slot")
-                out = merged.join(F.broadcast(slots), "bucket", "left").withColumns(
-                    {"version": F.lit(batch_id).cast("bigint"), "slot": F.coalesce(F.lit(1) - F.col("_slot"), F.lit(0))})
-                write_partitioned(out.select(*SILVER_COLUMNS, "version", "bucket", "slot"), f"{self.path}/orders", ["bucket", "slot"])
+                with shuffles_dropped(spark):
+                    # Lines and their parse take several times the room of the clean orders, so those are what is kept until the batch ends.
+                    valid, rejected = dead_letter_split(parse_json_lines(batch.select("value")), self.salt)
+                    rejected.write.mode("overwrite").option("compression", STORED).parquet(f"{self.path}/rejected/batch_id={batch_id}")
+                    fresh = dedup_latest(valid.select(*SILVER_COLUMNS)).withColumn("bucket", _bucket(self.buckets))
+                    fresh.write.option("compression", STORED).parquet(staged)
+                    fresh = spark.read.schema(fresh.schema).parquet(staged)
+                    touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())
+                    for i in range(0, len(touched), TURN):
+                        self._merge(fresh, touched[i : i + TURN], batch_id)
             finally:
-                lines.unpersist()
-                if fresh is not None:
-                    fresh.unpersist()
+                delete_folder(spark, staged)
         return each
+
+    def _merge(self, fresh: DataFrame, buckets: list[int], batch_id: int) -> None:
+        """Merge these buckets' part of a batch. Rows are shuffled once, to parts of a bucket that are written as they are."""
+        spark = fresh.sparkSession
+        rows, newest = self._slots(spark, batch_id)
+        slots = {r["bucket"]: r["slot"] for r in newest.where(F.col("bucket").isin(buckets)).collect()}
+        known = F.lit(False)
+        for bucket, slot in slots.items():
+            known |= (F.col("bucket") == bucket) & (F.col("slot") == slot)
+        held = rows.where(known & (F.col("version") < batch_id))
+        parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // len(buckets))
+        part = F.pmod(F.shiftright(F.xxhash64("order_id"), 32), F.lit(parts))
+        both = held.select(*SILVER_COLUMNS, "bucket").unionByName(fresh.where(F.col("bucket").isin(buckets))).withColumn("_part", part)
+        merged = latest_per_key(both.repartition("bucket", "_part"), ["bucket", "_part", "order_id"],
+                                [F.col("cdc_ts_ms"), F.col("updated_at"), F.xxhash64(*SILVER_COLUMNS)])
+        first = [b for b in buckets if slots.get(b) != 0]
+        out = merged.withColumns({"version": F.lit(batch_id).cast("bigint"), "slot": F.when(F.col("bucket").isin(first), 0).otherwise(1)})
+        writer = out.select(*SILVER_COLUMNS, "version", "bucket", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.option("compression", STORED).partitionBy("bucket", "slot").parquet(f"{self.path}/orders")

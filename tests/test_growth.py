@@ -1,6 +1,7 @@
 """What keeps the work of a query in proportion to its input: micro-batches, state rows, group calls, tasks and stored bytes."""
 
 import glob
+import json
 import threading
 from datetime import datetime, timedelta
 
@@ -13,9 +14,11 @@ from orderlake.operators import live as lv
 from orderlake.operators.keyed import map_groups
 from orderlake.plans import control, ingest
 from orderlake.plans import live as pl
+from orderlake.plans import tables as tb
 from orderlake.schemas import LIVE_ORDER
 from orderlake.sources import merge
 from orderlake.streaming import alerts as sa
+from orderlake.streaming import lake as lk
 from orderlake.streaming import live as sl
 from orderlake.streaming import users as su
 
@@ -158,3 +161,43 @@ def test_arrivals_leave_neither_a_second_copy_nor_shuffle_files(spark, tmp_path)
     stream = pl.arrivals(spark, rows, files=2)
     assert not shuffle_files(spark) - before
     assert set(glob.glob(f"{root}/staged-*")) <= copies and sum(batches_of(stream, tmp_path)) == 301
+
+
+def test_the_silver_lake_holds_nothing_in_memory_and_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lk, "TURN", 1, raising=False)
+
+    def lines(ts, orders):
+        texts = [json.dumps({"op": "c", "ts_ms": ts, "after": {"order_id": f"o{i}", "user_id": "u", "status": "placed", "total_cents": ts}}) for i in orders]
+        return spark.createDataFrame([(x,) for x in [*texts, "{bad"]], "value string")
+    split, seen = lk.dedup_latest, []
+
+    def watched(orders, *args):
+        seen.append(stored_blocks(spark) - held)
+        return split(orders, *args)
+    monkeypatch.setattr(lk, "dedup_latest", watched)
+    lake = lk.SilverLake(spark, str(tmp_path / "lake"), "salt", buckets=3)
+    before, held = shuffle_files(spark), stored_blocks(spark)
+    for n, batch in enumerate((lines(1, range(30)), lines(5, range(20, 40)), lines(3, range(25)))):
+        batch = batch.unionByName(batch)
+        lake.sink()(batch, n)
+        if n == 1:
+            lake.sink()(batch, n)
+    assert seen == [set()] * 4 and not shuffle_files(spark) - before
+    got = sorted((r.order_id, r.total_cents) for r in lake.read(spark).collect())
+    assert got == sorted((f"o{i}", 5 if i >= 20 else 3) for i in range(40))
+    assert not glob.glob(f"{spark.sparkContext.getConf().get('spark.checkpoint.dir')}/lake-batch-*")
+
+
+def test_topics_are_dealt_out_before_they_are_text(spark, sf, plan):
+    text = plan(tb.order_lines(spark, sf, 5))
+    below = text[text.index("RoundRobinPartitioning(5)"):]
+    assert "StructsToJson" in text and "StructsToJson" not in below
+    assert sorted(tb.order_lines(spark, sf, 5).collect()) == sorted(tb.order_lines(spark, sf).collect())
+
+
+def test_an_early_topic_has_the_same_lines_and_files(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(pl, "ROWS_PER_FILE", 100, raising=False)
+    plain, early = str(tmp_path / "plain"), str(tmp_path / "early")
+    assert pl.topic(spark, sf, plain, 3) == pl.topic(spark, sf, early, 3, early=True)
+    assert len(glob.glob(f"{early}/part-*.lz4")) == len(glob.glob(f"{plain}/part-*.lz4"))
+    assert sorted(spark.read.text(early).collect()) == sorted(spark.read.text(plain).collect())
